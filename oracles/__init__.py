@@ -1 +1,5 @@
 """DuckDB SQL that recomputes each registered query independently."""
+
+from oracles import investigate
+
+SQL: dict[str, str] = {**investigate.SQL}

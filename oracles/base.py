@@ -38,7 +38,7 @@ ev AS (
   FROM src
 )"""
 
-ALERTS = EVENTS + """,
+ALERTS = """
 login AS (
   SELECT * FROM ev WHERE source_system = 'CLOUD-IAM' AND event_type = 'interactive_login' AND action = 'login'
 ),
@@ -147,7 +147,7 @@ alerts AS (
     UNION ALL SELECT * FROM r4 UNION ALL SELECT * FROM r5 UNION ALL SELECT * FROM r6)
 )"""
 
-EVIDENCE = ALERTS + """,
+EVIDENCE = """
 alert_evidence AS (
   SELECT DISTINCT dataset_id, alert_id, event_id FROM (
     SELECT a.dataset_id, a.alert_id, a.lead_event_id AS event_id FROM alerts a
@@ -157,7 +157,7 @@ alert_evidence AS (
 )"""
 
 # Grouping: islands for alerts with a user; for the rest the literal first-fit, one alert at a time.
-ASSIGNED = EVIDENCE + """,
+ASSIGNED = """
 user_flags AS (
   SELECT *, CASE WHEN first_us <= max(last_us) OVER (PARTITION BY dataset_id, related_username
       ORDER BY first_us, rule_no, anchor_t, anchor_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 86400000000
@@ -203,7 +203,7 @@ assigned AS (
   ON g.alert_id = a.alert_id AND g.dataset_id IS NOT DISTINCT FROM a.dataset_id
 )"""
 
-INCIDENTS = ASSIGNED + """,
+INCIDENTS = """
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY incident_id ORDER BY first_us, rule_no, anchor_t, anchor_id) AS pos,
     CASE lower(severity) WHEN 'low' THEN 1 WHEN 'medium' THEN 2 WHEN 'high' THEN 3 WHEN 'critical' THEN 4 ELSE 0 END AS rank
@@ -243,3 +243,59 @@ incident_events AS (
   SELECT DISTINCT a.incident_id, a.dataset_id, e.event_id FROM assigned a JOIN alert_evidence e
     ON e.alert_id = a.alert_id AND e.dataset_id IS NOT DISTINCT FROM a.dataset_id
 )"""
+
+# Scoped evidence. Adapter incidents never mix scopes, but the condition is stated anyway.
+BUNDLE = """
+b_alerts AS (
+  SELECT a.* FROM assigned a JOIN incidents i ON i.incident_id = a.incident_id AND i.dataset_id IS NOT DISTINCT FROM a.dataset_id
+),
+b_events AS (
+  SELECT l.incident_id, e.* FROM incident_events l JOIN incidents i USING (incident_id) JOIN ev e ON e.event_id = l.event_id
+  WHERE e.dataset_id IS NOT DISTINCT FROM i.dataset_id
+),
+sizes AS (
+  SELECT i.incident_id, i.dataset_id, coalesce(a.n, 0) AS alerts, coalesce(e.n, 0) AS events, e.lo AS first_event_id, e.hi AS last_event_id
+  FROM incidents i LEFT JOIN (SELECT incident_id, count(*) AS n FROM b_alerts GROUP BY 1) a USING (incident_id)
+  LEFT JOIN (SELECT incident_id, count(*) AS n, min(event_id) AS lo, max(event_id) AS hi FROM b_events GROUP BY 1) e USING (incident_id)
+),
+entities AS (
+  SELECT DISTINCT incident_id, kind, value FROM (
+    SELECT incident_id, 'user' AS kind, affected_user AS value FROM incidents
+    UNION ALL SELECT incident_id, 'user', related_username FROM b_alerts
+    UNION ALL SELECT incident_id, 'user', username FROM b_events
+    UNION ALL SELECT incident_id, 'asset', related_asset FROM b_alerts
+    UNION ALL SELECT incident_id, 'asset', asset FROM b_events)
+  WHERE value <> ''
+),
+texts AS (
+  SELECT z.*, u.names AS users, s.names AS assets, r.names AS rules, d.ids
+  FROM sizes z
+  LEFT JOIN (SELECT incident_id, string_agg(value, ', ' ORDER BY value) AS names FROM entities WHERE kind = 'user' GROUP BY 1) u USING (incident_id)
+  LEFT JOIN (SELECT incident_id, string_agg(value, ', ' ORDER BY value) AS names FROM entities WHERE kind = 'asset' GROUP BY 1) s USING (incident_id)
+  LEFT JOIN (SELECT incident_id, string_agg(alert_rule_name, ', ' ORDER BY alert_rule_name) AS names
+             FROM (SELECT DISTINCT incident_id, alert_rule_name FROM b_alerts) GROUP BY 1) r USING (incident_id)
+  LEFT JOIN (SELECT incident_id, string_agg(event_id::VARCHAR, ', ' ORDER BY event_id) AS ids FROM b_events GROUP BY 1) d USING (incident_id)
+),
+summaries AS (
+  SELECT i.incident_id, i.dataset_id, 'mock-deterministic-v1' AS model_name,
+    'Incident ' || i.incident_id || ' is a ' || coalesce(nullif(i.severity, ''), 'unknown') || ' severity investigation involving '
+      || coalesce(t.users, 'unknown users') || ' and ' || coalesce(t.assets, 'unknown assets')
+      || '. The suspected attack path is: ' || coalesce(nullif(i.suspected_attack_path, ''), 'not available') || '.' AS executive_summary,
+    'Correlated ' || t.alerts || ' alerts and ' || t.events || ' normalized events. Alert rules observed: '
+      || coalesce(t.rules, 'none') || '. Evidence event IDs: ' || coalesce(t.ids, '') || '.' AS technical_summary,
+    coalesce(t.users, '') AS users, coalesce(t.assets, '') AS assets,
+    concat_ws(chr(10),
+      'Preserve incident evidence and keep original normalized event IDs attached to the case.',
+      'Review and validate each alert before taking irreversible remediation action.',
+      'Disable or reset sessions for affected user accounts: ' || t.users || '.',
+      'Isolate or increase monitoring on affected assets: ' || t.assets || '.',
+      'Revoke suspicious access keys, tokens, and VPN sessions tied to the incident.',
+      'Review API export activity and confirm whether data left the environment.') AS steps,
+    t.alerts AS alert_count, t.events AS event_count
+  FROM incidents i JOIN texts t USING (incident_id)
+)"""
+
+
+def chain(*parts: str, events: str = EVENTS) -> str:
+    """A WITH clause of the adapter and the given parts."""
+    return "WITH RECURSIVE " + ",\n".join([events.strip(), *(part.strip() for part in parts)])

@@ -92,16 +92,22 @@ def alert_evidence(
     rules: tuple[Rule, ...] = RULES,
     cfg: RuleSettings = DEFAULTS,
 ) -> DataFrame:
-    """(dataset_id, alert_id, event_id): every event each alert rests on.
+    """(dataset_id, alert_id, event_id, lead, t): every event each alert rests on.
 
     One row per link. The number of links is what the alerts themselves claim
-    (``sum(evidence_count)``); nothing else is generated.
+    (``sum(evidence_count)``); nothing else is generated. Pool events order by (t, event_id);
+    the lead event comes before or after them, as its rule says.
     """
-    leads = alerts.select("dataset_id", "alert_id", F.col("lead_event_id").alias("event_id"))
+    leads = alerts.select(
+        "dataset_id", "alert_id", F.col("lead_event_id").alias("event_id"),
+        F.lit(True).alias("lead"), F.unix_micros("first_seen").alias("t"),
+    )
     members = _members(_windows(alerts, "alert_id", "lead_event_id"), events, rules, cfg)
     # The lead event of a serious-events window is also a pool member.
     members = members.where(F.col("event_id") != F.col("lead_event_id"))
-    return leads.unionByName(members.select("dataset_id", "alert_id", "event_id"))
+    return leads.unionByName(
+        members.select("dataset_id", "alert_id", "event_id", F.lit(False).alias("lead"), "t")
+    )
 
 
 def incident_events(

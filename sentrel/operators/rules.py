@@ -507,24 +507,25 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str)
 class Rule:
     """A rule and, if it is windowed, the pool its windows refer to.
 
-    Alerts of a windowed rule must only refer to events of the alert's own user.
+    ``lead_last`` says whether the lead event ends or starts the evidence list. Alerts of a windowed rule must only refer to events of the alert's own user.
     """
 
     rule_no: int
     candidates: Callable[[DataFrame, RuleSettings], DataFrame]
     pool: Callable[[RuleSettings], Column] | None = None
     pool_by_ip: bool = False
+    lead_last: bool = False
     width_us: Callable[[RuleSettings], int] | None = None
 
 
 RULES: tuple[Rule, ...] = (
-    Rule(1, brute_force, lambda cfg: is_login("failure"), True,
-         lambda cfg: cfg.brute_force_window_us),
+    Rule(1, brute_force, pool=lambda cfg: is_login("failure"), pool_by_ip=True, lead_last=True,
+         width_us=lambda cfg: cfg.brute_force_window_us),
     Rule(2, unusual_ip),
-    Rule(3, vpn_privilege, is_privilege_action, False, lambda cfg: cfg.vpn_window_us),
+    Rule(3, vpn_privilege, pool=is_privilege_action, width_us=lambda cfg: cfg.vpn_window_us),
     Rule(4, api_download),
     Rule(5, endpoint_credential),
-    Rule(6, multiple_high, is_serious, False, lambda cfg: cfg.high_window_us),
+    Rule(6, multiple_high, pool=is_serious, width_us=lambda cfg: cfg.high_window_us),
 )
 
 
