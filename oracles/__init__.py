@@ -1,5 +1,5 @@
 """DuckDB SQL that recomputes each registered query independently."""
 
-from oracles import investigate
+from oracles import ingest, investigate
 
-SQL: dict[str, str] = {**investigate.SQL}
+SQL: dict[str, str] = {**investigate.SQL, **ingest.SQL}

@@ -10,14 +10,22 @@ SEVERITY_RANK = {"low": 1, "medium": 2, "high": 3, "critical": 4}
 
 NOT_SET = "Not set"
 
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# From the first to the last character that is not whitespace.
+_CORE = r"(?sU)[^\s\x1c-\x1f](?:.*[^\s\x1c-\x1f])?"
+
+# The usual form, which Spark casts as it stands.
+_PLAIN_ISO = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})$"
 
 # ISO 8601 calendar dates in extended or basic form, any one-character separator, optional
 # time, fraction and offset. Week dates are not accepted.
 _ISO = (
-    r"^(\d{4}-\d{2}-\d{2}|\d{8})"
-    r"(?:.(\d{2}(?::\d{2}(?::\d{2})?)?|\d{4}|\d{6})(?:[.,](\d+))?"
-    r"(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+    r"^(?:\d{4}-\d{2}-\d{2}|\d{8})"
+    r"(?:.(?:\d{2}(?::\d{2})?|\d{4}|(?:\d{2}:\d{2}:\d{2}|\d{6})(?:[.,]\d+)?)"
+    r"(?:Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+)
+_ISO_PARTS = (
+    r"^(\d{4})-?(\d{2})-?(\d{2})(?:.(\d{2}):?(\d{2})?:?(\d{2})?(?:[.,](\d+))?"
+    r"(Z|[+-]\d{2}:?(?:\d{2})?)?)?$"
 )
 
 
@@ -27,7 +35,7 @@ def blank_to_null(value: Column) -> Column:
 
 def clean(value: Column) -> Column:
     """Strip surrounding whitespace; blank becomes null."""
-    return blank_to_null(F.regexp_replace(value, _EDGE_SPACE, ""))
+    return F.get(F.regexp_extract_all(value, F.lit(_CORE), F.lit(0)), 0)
 
 
 def lower_clean(value: Column) -> Column:
@@ -91,32 +99,18 @@ def iso_text(value: Column) -> Column:
 
 
 def safe_timestamp(value: Column) -> Column:
-    """ISO text to timestamp, null when it is not one; a missing offset means UTC."""
-    date_digits = F.replace(F.regexp_extract(value, _ISO, 1), F.lit("-"), F.lit(""))
-    time_digits = F.rpad(
-        F.replace(F.regexp_extract(value, _ISO, 2), F.lit(":"), F.lit("")), 6, "0"
-    )
-    fraction = F.substring(F.rpad(F.regexp_extract(value, _ISO, 3), 6, "0"), 1, 6)
-    offset = F.regexp_extract(value, _ISO, 4)
-    offset_digits = F.rpad(F.regexp_replace(offset, "[^0-9]", ""), 4, "0")
-    offset_text = F.when(offset.isin("", "Z"), F.lit("+00:00")).otherwise(
-        F.concat(
-            F.substring(offset, 1, 1),
-            F.substring(offset_digits, 1, 2),
-            F.lit(":"),
-            F.substring(offset_digits, 3, 2),
-        )
-    )
-    rebuilt = F.concat(
-        F.substring(date_digits, 1, 4), F.lit("-"),
-        F.substring(date_digits, 5, 2), F.lit("-"),
-        F.substring(date_digits, 7, 2), F.lit("T"),
-        F.substring(time_digits, 1, 2), F.lit(":"),
-        F.substring(time_digits, 3, 2), F.lit(":"),
-        F.substring(time_digits, 5, 2), F.lit("."),
-        fraction, offset_text,
-    )
-    return F.when(value.rlike(_ISO), rebuilt).try_cast("timestamp")
+    """ISO text to timestamp, null when it is not one; a missing offset means UTC.
+
+    Pass a plain column: the text is tested before it is read.
+    """
+    spread = F.regexp_replace(value, _ISO_PARTS, "$1-$2-$3T$4:$5:$6.$7|$8")
+    filled = F.regexp_replace(spread, r"(?<=[T:])(?=[:.])", "00")
+    with_fraction = F.regexp_replace(filled, r"\.\|", ".0|")
+    utc = F.regexp_replace(with_fraction, r"\|Z?$", "+00:00")
+    offset = F.regexp_replace(utc, r"\|([+-]\d{2}):?(\d{2})?$", "$1:$2")
+    rebuilt = F.regexp_replace(offset, r":$", ":00")
+    text = F.when(value.rlike(_PLAIN_ISO), value).when(value.rlike(_ISO), rebuilt)
+    return text.try_cast("timestamp")
 
 
 def floor_cell(micros: Column, width_us: int) -> Column:

@@ -5,7 +5,6 @@ Times are returned as epoch microseconds or text, id lists as rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,29 +14,16 @@ from sentrel.operators import (
     browse, correlate, dashboard, evidence, ownership, report, rules, summary,
 )
 from sentrel.plans import investigate as inv
-from sentrel.session import configure, materialize
+from sentrel.plans.registry import Query, query
+from sentrel.session import materialize
 from sentrel.sources.telemetry import canonical_events
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-
 GENERATED_AT = "2024-02-01 00:00:00"
 RERUN_FROM = datetime(2024, 1, 15)
 BROWSE_FROM = datetime(2024, 1, 8)
 BROWSE_TO = datetime(2024, 1, 22, 2, 0, 0)
 
 
-def query(fn: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(configure(spark), sf_dir)
-
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
-    QUERIES[fn.__name__] = run
-    return run
-
-
 def _us(name: str, alias: str) -> Column:
     return F.unix_micros(name).alias(alias)
 
