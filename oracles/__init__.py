@@ -1,5 +1,5 @@
 """DuckDB SQL that recomputes each registered query independently."""
 
-from oracles import ingest, investigate
+from oracles import ingest, investigate, stream
 
-SQL: dict[str, str] = {**investigate.SQL, **ingest.SQL}
+SQL: dict[str, str] = {**investigate.SQL, **ingest.SQL, **stream.SQL}
