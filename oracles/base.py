@@ -89,7 +89,7 @@ r3 AS (
     g.n + 1 AS evidence_count, v.event_id AS lead_event_id, v.t AS anchor_t, v.event_id AS anchor_id
   FROM ev v JOIN (
     SELECT vid, count(*) AS n, max(pt) AS last_t, arg_max(pid, (pt, pid)) AS last_id,
-           arg_max(passet, (pt, pid)) AS last_asset
+           arg_max_null(passet, (pt, pid)) AS last_asset
     FROM r3_pairs GROUP BY vid) g ON g.vid = v.event_id
 ),
 r4 AS (
@@ -121,7 +121,7 @@ r6_windows AS (
 ),
 r6_starts AS (
   SELECT dataset_id, username, start_t, start_id, count(*) AS n, max(bt) AS last_t,
-         arg_max(bid, (bt, bid)) AS last_id, arg_max(basset, (bt, bid)) AS last_asset
+         arg_max(bid, (bt, bid)) AS last_id, arg_max_null(basset, (bt, bid)) AS last_asset
   FROM r6_windows GROUP BY ALL HAVING count(*) >= 3
 ),
 r6_first AS (
