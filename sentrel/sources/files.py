@@ -21,8 +21,6 @@ from sentrel.sources.records import ndjson_records, ndjson_rejects
 # Upload formats by file suffix.
 SUFFIXES = (".csv", ".json", ".ndjson")
 
-_NO_NULL_TEXT = "\u0000"  # never occurs in a CSV file, so empty cells stay empty text
-
 
 @dataclass(frozen=True)
 class SourceFile:
@@ -129,22 +127,29 @@ def csv_rejects(spark: SparkSession, path: str | list[str], multiline: bool = Fa
 
 
 def _csv_rows(spark: SparkSession, path: str | list[str], multiline: bool) -> DataFrame:
-    reader = spark.read.option("header", True).option("multiLine", multiline).option(
-        "nullValue", _NO_NULL_TEXT
-    )
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
     names = reader.csv(path).columns
     schema = ", ".join(f"`{name}` string" for name in (*names, "_corrupt_record"))
     rows = (
         reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
     )
-    # Short and overlong rows are both reported as corrupt; only the latter fill every column.
-    filled = F.lit(True)
-    for name in names[-1:]:
-        filled = F.col(f"`{name}`").isNotNull()
-    payload = F.to_json(F.struct(*(F.col(f"`{name}`") for name in names)), {"ignoreNullFields": "false"})
+    # Short and overlong rows are both reported as corrupt; their cells tell them apart.
+    raw = F.col("_corrupt_record")
+    unquoted = F.regexp_replace(raw, '"[^"]*"', "")
+    commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
+    filled = sum((F.col(f"`{name}`").isNotNull().cast("int") for name in names), F.lit(0))
+    cells = F.when(raw.isNull(), filled).otherwise(commas + 1)
+    overlong = cells > len(names)
+    # Empty cells read as null; only those a short row lacks stay null.
+    values = [
+        F.when(raw.isNull(), F.coalesce(F.col(f"`{name}`"), F.lit("")))
+        .otherwise(F.col(f"`{name}`")).alias(name)
+        for name in names
+    ]
+    payload = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
     return (
         _numbered(rows, "record_no")
-        .withColumn("overlong", F.col("_corrupt_record").isNotNull() & filled)
+        .withColumn("overlong", overlong)
         .withColumn("payload", payload)
         .select("file_name", "record_no", "payload", "overlong")
     )

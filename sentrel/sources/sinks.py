@@ -223,6 +223,8 @@ def read_document(store: Store, table: str, incident_id: str) -> DataFrame:
 
 def write_reports(documents: DataFrame, path: str, name: Column) -> None:
     """Write one Markdown file per document row, in a folder named after the report."""
-    documents.select(name.alias("report"), F.col("document").alias("value")).write.mode(
+    # The text writer ends each value with the line break that ends the document.
+    body = F.regexp_replace("document", r"\n\z", "")
+    documents.select(name.alias("report"), body.alias("value")).write.mode(
         "overwrite"
-    ).partitionBy("report").option("lineSep", "").text(path)
+    ).partitionBy("report").text(path)
