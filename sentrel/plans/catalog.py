@@ -59,8 +59,13 @@ def _flat_pieces(df: DataFrame) -> DataFrame:
     )
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical event table as stored: every rule scans it, with its own columns."""
+    return materialize(canonical_events(spark, sf_dir), "canonical-events")
+
+
 def _state(spark: SparkSession, sf_dir: str) -> inv.Investigation:
-    return inv.investigate(canonical_events(spark, sf_dir))
+    return inv.investigate(_events(spark, sf_dir))
 
 
 def _evidence(state: inv.Investigation) -> summary.Evidence:
@@ -92,20 +97,20 @@ for _position, _name in enumerate(
 @query
 def alerts_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate of every rule and scope."""
-    return _flat_alerts(rules.detect(canonical_events(spark, sf_dir)))
+    return _flat_alerts(rules.detect(_events(spark, sf_dir)))
 
 
 @query
 def alerts_by_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts and claimed evidence per scope and rule, all scopes in one pass."""
-    return rules.detect(canonical_events(spark, sf_dir)).groupBy("dataset_id", "rule_no").agg(
+    return rules.detect(_events(spark, sf_dir)).groupBy("dataset_id", "rule_no").agg(
         F.count(F.lit(1)).alias("alerts"), F.sum("evidence_count").alias("evidence"),
         F.max(F.unix_micros("last_seen")).alias("last_us"),
     )
 
 
 def _early_and_all(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    events = canonical_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     early = events.where(F.col("event_timestamp") < F.lit(RERUN_FROM))
     return events, inv.detect(early), rules.detect(events)
 
@@ -120,7 +125,7 @@ def alerts_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def alert_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event ids behind each alert."""
-    events = canonical_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     links = evidence.alert_evidence(inv.detect(events), events)
     return links.select("dataset_id", "alert_id", "event_id")
 
@@ -131,7 +136,7 @@ def alert_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def incident_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size and span of each group of related alerts."""
-    assigned = inv.correlate_alerts(inv.detect(canonical_events(spark, sf_dir)))
+    assigned = inv.correlate_alerts(inv.detect(_events(spark, sf_dir)))
     return assigned.groupBy("incident_id", "dataset_id").agg(
         F.count(F.lit(1)).alias("alerts"),
         F.min(F.unix_micros("first_seen")).alias("first_us"),
@@ -142,20 +147,20 @@ def incident_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def alert_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Incident of every alert."""
-    assigned = inv.correlate_alerts(inv.detect(canonical_events(spark, sf_dir)))
+    assigned = inv.correlate_alerts(inv.detect(_events(spark, sf_dir)))
     return assigned.select("dataset_id", "alert_id", "incident_id")
 
 
 @query
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    assigned = inv.correlate_alerts(inv.detect(canonical_events(spark, sf_dir)))
+    assigned = inv.correlate_alerts(inv.detect(_events(spark, sf_dir)))
     return _flat_incidents(correlate.build_incidents(assigned))
 
 
 @query
 def attack_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often each suspected attack path occurs."""
-    assigned = inv.correlate_alerts(inv.detect(canonical_events(spark, sf_dir)))
+    assigned = inv.correlate_alerts(inv.detect(_events(spark, sf_dir)))
     return (
         correlate.build_incidents(assigned).groupBy("dataset_id", "suspected_attack_path")
         .agg(F.count(F.lit(1)).alias("incidents"))
@@ -165,7 +170,7 @@ def attack_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def incident_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct evidence events of each incident."""
-    events = canonical_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     assigned = inv.correlate_alerts(inv.detect(events))
     return evidence.incident_events(assigned, events)
 
@@ -202,14 +207,14 @@ def _legacy_incidents(alerts: DataFrame) -> DataFrame:
 
 @query
 def ownership_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = canonical_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     legacy = _legacy_alerts(inv.detect(events))
     return _flat_alerts(ownership.own_alerts(legacy, events))
 
 
 @query
 def ownership_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = canonical_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     legacy = _legacy_alerts(inv.detect(events))
     owned = ownership.own_alerts(legacy, events)
     return ownership.own_incidents(_legacy_incidents(legacy), owned)
@@ -218,7 +223,7 @@ def ownership_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scope_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sample incidents none of whose alerts belongs to a dataset, over legacy groups."""
-    events = canonical_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     legacy = _legacy_alerts(inv.detect(events))
     owned = ownership.own_alerts(legacy, events)
     return browse.sample_incidents(_legacy_incidents(legacy), owned)
@@ -238,7 +243,7 @@ def browse_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def browse_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = rules.detect(canonical_events(spark, sf_dir))
+    found = rules.detect(_events(spark, sf_dir))
     page = browse.browse_alerts(
         found, severity="medium", alert_rule_name="Successful login from unusual IP",
         skip=10, limit=100,
@@ -393,7 +398,7 @@ def _datasets(events: DataFrame) -> DataFrame:
 @query
 def dataset_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Datasets (one per scope and source) that still need normalization or analysis."""
-    events = canonical_events(spark, sf_dir)
+    events = _events(spark, sf_dir)
     split = events.where(F.col("dataset_id").isNotNull()).withColumn(
         "dataset_id", F.col("dataset_id") * 10 + F.length("source_system") % 10
     )

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,6 +71,8 @@ def append_events(store: Store, normalized: DataFrame) -> dict[str, int]:
     The normalized table is checked on its own, so a run that died between the two appends
     is completed by the next.
     """
+    seen = Observation()
+    normalized = normalized.observe(seen, F.count(F.lit(1)).alias("processed"))
     distinct = materialize(
         first_of_each(normalized).withColumn("raw_payload", canonical_json(F.col("payload"))),
         "distinct-events",
@@ -108,7 +110,7 @@ def append_events(store: Store, normalized: DataFrame) -> dict[str, int]:
         "normalized-events",
     )
     store.append("normalized_events", fresh, "event_timestamp")
-    processed, added = normalized.count(), fresh.count()
+    processed, added = seen.get["processed"], fresh.count()
     return {
         "processed": processed,
         "raw_inserted": raw.count(),

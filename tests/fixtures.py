@@ -71,9 +71,9 @@ def random_events(seed: int, size: int, days: float, step_minutes: int = 5) -> l
         slot = max(0, rng.choice(centres) + rng.randrange(-4, 5))
         at = START + timedelta(minutes=slot * step_minutes)
         fields = dict(
-            dataset_id=rng.choice([None, 1, 2]),
-            username=rng.choice([None, None, "kim", "lee", "max"]),
-            source_ip=rng.choice(["203.0.113.9", "198.51.100.24"]),
+            dataset_id=rng.choice([None, None, None, 1]),
+            username=rng.choice([None, None, None, "kim", "lee"]),
+            source_ip=rng.choice(["203.0.113.9"] * 4 + ["198.51.100.24"]),
             asset=rng.choice([None, "A", "B", "C", "D", "E"]),
             severity=rng.choice([None, "low", "High", "critical"]),
         )

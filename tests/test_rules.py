@@ -142,11 +142,12 @@ def test_rerun_adds_only_changed_alerts(spark):
     assert (fresh["rule_no"], fresh["evidence_count"]) == (1, 5)
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_random_events_match_plain_joins(spark, seed):
     rows = random_events(seed, 400, 4)
     events = frame(spark, rows)
     found = rules.detect(events)
+    assert {row["rule_no"] for row in found.collect()} == {1, 2, 3, 4, 5, 6}
     assert brute.spark_set(flat(found)) == brute.run(rows, (base.ALERTS,), f"SELECT {COLS} FROM alerts")
     links = evidence.alert_evidence(found, events).select("dataset_id", "alert_id", "event_id")
     assert brute.spark_set(links) == brute.run(
