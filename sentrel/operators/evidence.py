@@ -8,6 +8,8 @@ alerts of a busy user do not multiply: an event meets at most two merged windows
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,8 +52,9 @@ def pool_events(
         ),
         lambda label: label.isNotNull(),
     )
+    in_any = reduce(Column.__or__, (rule.pool(cfg) for rule in _windowed(rules)))
     rows = (
-        events.where(F.col("event_timestamp").isNotNull())
+        events.where(F.col("event_timestamp").isNotNull() & in_any)
         .select(
             "dataset_id", "username", "event_id",
             F.unix_micros("event_timestamp").alias("t"),

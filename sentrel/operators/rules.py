@@ -47,13 +47,12 @@ class RuleSettings:
 DEFAULTS = RuleSettings()
 
 
-def _holds(condition: Column) -> Column:
-    """A predicate over missing values is false, not unknown."""
-    return F.coalesce(condition, F.lit(False))
+# Predicates are plain comparisons, so that they can be pushed to the scan; a comparison with
+# a missing value is unknown, which a filter treats as false.
 
 
 def is_login(outcome: str) -> Column:
-    return _holds(
+    return (
         (F.col("source_system") == "CLOUD-IAM")
         & (F.col("event_type") == "interactive_login")
         & (F.col("action") == "login")
@@ -62,7 +61,7 @@ def is_login(outcome: str) -> Column:
 
 
 def is_vpn_connect() -> Column:
-    return _holds(
+    return (
         (F.col("source_system") == "vpn")
         & (F.col("action") == "connect")
         & (F.col("outcome") == "success")
@@ -70,28 +69,27 @@ def is_vpn_connect() -> Column:
 
 
 def is_privilege_action(cfg: RuleSettings = DEFAULTS) -> Column:
-    return _holds(
-        (F.col("source_system") == "cloud_identity")
-        & F.col("action").isin(*cfg.privilege_actions)
+    return (F.col("source_system") == "cloud_identity") & F.col("action").isin(
+        *cfg.privilege_actions
     )
 
 
 def is_endpoint_detection(cfg: RuleSettings = DEFAULTS) -> Column:
     message = F.lower(F.col("normalized_message"))
-    named = _holds(F.col("event_type").isin(*cfg.endpoint_event_types))
-    technique = _holds(F.col("mitre_technique_id") == cfg.endpoint_technique)
-    worded = F.lit(False)
+    signs = F.col("event_type").isin(*cfg.endpoint_event_types) | (
+        F.col("mitre_technique_id") == cfg.endpoint_technique
+    )
     for word in cfg.endpoint_words:
-        worded = worded | _holds(message.contains(word))
-    return _holds(F.col("source_system") == "endpoint-edr") & (named | technique | worded)
+        signs = signs | message.contains(word)
+    return (F.col("source_system") == "endpoint-edr") & signs
 
 
 def is_serious(cfg: RuleSettings = DEFAULTS) -> Column:
-    return _holds(F.lower("severity").isin(*cfg.high_severities)) & has_user()
+    return F.lower("severity").isin(*cfg.high_severities) & has_user()
 
 
 def has_user() -> Column:
-    return blank_to_null(F.col("username")).isNotNull()
+    return F.col("username") != ""
 
 
 # --------------------------------------------------------------------------- assembly
@@ -149,7 +147,6 @@ def _by_instant(pool: DataFrame, keys: list[str]) -> DataFrame:
         .groupBy(*keys, "t")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.min("event_id").alias("first_id"),
             F.max(F.struct("event_id", "asset")).alias("last"),
         )
     )
@@ -255,9 +252,7 @@ def unusual_ip(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
     """Successful login from an address outside the allowlist."""
     ip = F.col("source_ip")
     hits = events.where(
-        is_login("success")
-        & blank_to_null(ip).isNotNull()
-        & ~F.coalesce(ip.isin(*cfg.normal_login_ips), F.lit(False))
+        is_login("success") & (ip != "") & ~ip.isin(*cfg.normal_login_ips)
     )
     return _single_event(
         hits,
@@ -404,51 +399,40 @@ def endpoint_credential(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> Data
 def multiple_high(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
     """First 24-hour window in which a user has three or more serious events.
 
-    Only the first three instants of a user's day can decide where that window starts: a day
-    with three events qualifies by its first one, so later instants of the day never matter.
-    The ranking is a group limit, which Spark applies before the shuffle as well, so a busy
-    user costs three rows per day. The window's totals are then summed by instant.
+    Only the first three events of a user's day can decide where that window starts: a day
+    with three events qualifies by its first one, so later ones never matter. The ranking is
+    a group limit, which Spark also applies before the shuffle, so however busy a user is, a
+    task passes on three rows per user and day.
     """
     keys = ["dataset_id", "username"]
     width = cfg.high_window_us
     serious = events.where(is_serious(cfg)).select(
-        *keys, "event_id", "event_timestamp", "asset"
+        *keys, "event_id", "asset", F.unix_micros("event_timestamp").alias("t")
     )
-    instants = _by_instant(serious, keys)
-    day = Window.partitionBy(*keys, "day").orderBy("t")
+    day = Window.partitionBy(*keys, "day").orderBy("t", "event_id")
     leading = (
-        instants.select(*keys, "t", "n", "first_id", floor_cell(F.col("t"), width).alias("day"))
+        serious.select(*keys, "t", "event_id", floor_cell(F.col("t"), width).alias("day"))
         .withColumn("place", F.row_number().over(day))
         .where(F.col("place") <= 3)
     )
-    by_user = Window.partitionBy(*keys).orderBy("t")
-    reach = F.col("t") + width
-    in_window = F.col("n")
-    for step in (1, 2):
-        in_window = in_window + F.when(
-            F.lead("t", step).over(by_user) <= reach, F.lead("n", step).over(by_user)
-        ).otherwise(0)
+    # Events without a time come first in a user's order and never start a window.
+    by_user = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("t"), "event_id")
     starts = (
-        leading.withColumn("in_window", in_window)
+        leading.withColumn("third_t", F.lead("t", 2).over(by_user))
         .groupBy(*keys)
         .agg(
-            F.min(F.when(F.col("in_window") >= 3, F.struct("t", "first_id"))).alias("start"),
-            F.min(F.struct("t", "first_id")).alias("anchor"),
+            F.min(F.when(F.col("third_t") <= F.col("t") + width, F.struct("t", "event_id")))
+            .alias("start"),
+            F.min(F.struct("t", "event_id")).alias("anchor"),
         )
         .where(F.col("start").isNotNull())
-    )
-    # A user's events without a time come first in the user's order.
-    untimed = (
-        serious.where(F.col("event_timestamp").isNull())
-        .groupBy(*keys)
-        .agg(F.min("event_id").alias("untimed_id"))
-    )
-    starts = null_safe_join(starts, untimed, keys, "left").select(
-        *keys,
-        F.col("start.t").alias("start_t"),
-        F.col("start.first_id").alias("start_id"),
-        F.when(F.col("untimed_id").isNull(), F.col("anchor.t")).alias("anchor_t"),
-        F.coalesce("untimed_id", "anchor.first_id").alias("anchor_id"),
+        .select(
+            *keys,
+            F.col("start.t").alias("start_t"),
+            F.col("start.event_id").alias("start_id"),
+            F.col("anchor.t").alias("anchor_t"),
+            F.col("anchor.event_id").alias("anchor_id"),
+        )
     )
     cells = F.explode(
         F.sequence(
@@ -456,13 +440,13 @@ def multiple_high(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
         )
     )
     windows = starts.withColumn("day", cells)
-    members = instants.withColumn("day", floor_cell(F.col("t"), width))
+    members = serious.withColumn("day", floor_cell(F.col("t"), width))
     joined = null_safe_join(members, windows, [*keys, "day"], "inner").where(
         F.col("t").between(F.col("start_t"), F.col("start_t") + width)
     )
     hits = joined.groupBy(*keys, "start_t", "start_id", "anchor_t", "anchor_id").agg(
-        F.sum("n").alias("n"),
-        F.max(F.struct("t", "last.event_id", "last.asset")).alias("last"),
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.struct("t", "event_id", "asset")).alias("last"),
     )
     start = F.timestamp_micros("start_t")
     return _candidate(

@@ -18,6 +18,12 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def details(df) -> str:
+    """The plan with filter lists and schemas in full."""
+    mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    return df._jdf.queryExecution().explainString(mode)
+
+
 @pytest.fixture(scope="module")
 def events(spark):
     return materialize(canonical_events(spark, SF_DIR), "events")
@@ -62,10 +68,14 @@ def test_ranks_are_limited_before_the_shuffle(spark, events):
 
 
 def test_filters_and_columns_reach_the_scan(spark, events):
-    text = plan(rules.api_download(events))
+    text = details(rules.api_download(events))
     assert "EqualTo(source_system,api_gateway)" in text
     assert "destination_ip" not in text and "Exchange" not in text
-    page = plan(browse.browse_events(events, dataset_id=1, severity="high"))
+    logins = details(rules.brute_force(events))
+    for part in ("EqualTo(source_system,CLOUD-IAM)", "EqualTo(outcome,failure)", "EqualTo(outcome,success)"):
+        assert part in logins
+    assert "normalized_message:" not in logins
+    page = details(browse.browse_events(events, dataset_id=1, severity="high"))
     assert "EqualTo(dataset_id,1)" in page and "TakeOrderedAndProject" in page
 
 
