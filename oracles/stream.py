@@ -11,6 +11,8 @@ SQL: dict[str, str] = {
     "stream_brute_force": f"{A} SELECT s.dataset_id, s.username, s.source_ip, s.event_id, s.t, g.n AS failures, "
     "g.first_t AS first_us FROM login s JOIN (SELECT sid, count(*) AS n, min(ft) AS first_t FROM r1_pairs GROUP BY sid) g "
     "ON g.sid = s.event_id WHERE g.n >= 3",
+    "stream_vpn_privilege": f"{A} SELECT dataset_id, related_username AS username, lead_event_id AS event_id, anchor_t AS t, "
+    "evidence_count - 1 AS actions, last_us, normalized_event_id AS last_event_id FROM r3",
     "stream_multi_high": f"{A} SELECT lead_event_id, first_us, last_us, normalized_event_id AS last_event_id, evidence_count "
     "FROM r6",
     "stream_sessions": f"""{A},

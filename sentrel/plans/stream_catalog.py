@@ -36,9 +36,10 @@ def _event_feed(spark: SparkSession, sf_dir: str) -> str:
         _closing(events, "event_timestamp", event_id=-place, outcome=outcome, **login)
         for place, outcome in ((1, "success"), (2, "failure"))
     ]
-    return write_feed(events, ends[0].unionByName(ends[1]).withColumn(
-        "event_id", F.col("event_id").cast("bigint")
-    ))
+    connect = dict(source_system="vpn", action="connect", outcome="success", username="closing")
+    ends.append(_closing(events, "event_timestamp", event_id=-3, severity="low", **connect))
+    closing = ends[0].unionByName(ends[1]).unionByName(ends[2])
+    return write_feed(events, closing.withColumn("event_id", F.col("event_id").cast("bigint")))
 
 
 @query
@@ -53,6 +54,17 @@ def stream_brute_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def stream_vpn_privilege(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = replay(
+        spark, _event_feed(spark, sf_dir), lambda df: jobs.vpn_privilege(df, lateness=WHOLE_FEED)
+    )
+    return found.select(
+        "dataset_id", "username", "event_id", F.unix_micros("event_timestamp").alias("t"),
+        "actions", F.unix_micros("last_seen").alias("last_us"), "last_event_id",
+    )
+
+
 @query
 def stream_multi_high(spark: SparkSession, sf_dir: str) -> DataFrame:
     return replay(

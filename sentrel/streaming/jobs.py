@@ -1,4 +1,4 @@
-"""Streaming forms of ingest, two rules and incident sessions.
+"""Streaming forms of ingest, the windowed rules and incident sessions.
 
 All need a watermark: an event that arrives later than the allowed lateness is dropped, and a
 result appears only once the watermark has passed its window. For events that arrive in time
@@ -7,6 +7,7 @@ the results equal those of the batch jobs.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
@@ -18,7 +19,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from sentrel.functions.payload import canonical_json
 from sentrel.functions.text import blank_to_null, severity_rank
 from sentrel.operators.correlate import CORRELATION_GAP_US
-from sentrel.operators.rules import DEFAULTS, RuleSettings, is_login, is_serious
+from sentrel.operators.rules import (
+    DEFAULTS, RuleSettings, has_user, is_login, is_privilege_action, is_serious, is_vpn_connect,
+)
 
 LATENESS = "1 hour"
 
@@ -37,38 +40,157 @@ def dedupe_events(normalized: DataFrame, lateness: str = LATENESS) -> DataFrame:
     )
 
 
-def _present(value: Column) -> Column:
-    """Join key that treats a missing value as a value of its own."""
-    return F.to_json(F.struct(value.alias("v")))
+# Kinds of events a windowed rule waits for, in the order they count at one instant.
+_POOL, _ANCHOR = 1, 2
+
+_COUNTED = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("event_id", T.LongType()),
+        T.StructField("t", T.LongType()),
+        T.StructField("n", T.LongType()),
+        T.StructField("edge_t", T.LongType()),
+        T.StructField("edge_id", T.LongType()),
+    ]
+)
+# Events ahead of the watermark; then three parallel lists the rule keeps about its window.
+_WINDOW_STATE = T.StructType(
+    [T.StructField(f"waiting_{name}", T.ArrayType(T.LongType())) for name in ("t", "kind", "id")]
+    + [T.StructField(f"held_{name}", T.ArrayType(T.LongType())) for name in ("a", "b", "c")]
+    + [T.StructField(name, T.LongType()) for name in ("total", "last_t", "last_id")]
+)
+
+
+def _counting(width_us: int, needed: int, backward: bool):
+    """State update of one key: for each anchor, count the pool events in its window.
+
+    Events settle in time order once the watermark has passed them. Counts are differences of
+    a running total, so the work is linear in the events and no pairs are formed. Backward
+    windows end at the anchor and report their first pool event; forward windows start at it
+    and report the last.
+    """
+
+    def run(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.exists:
+            wt, wk, wi, ha, hb, hc, total, last_t, last_id = state.get
+            waiting, held = list(zip(wt, wk, wi)), deque(zip(ha, hb, hc))
+        else:
+            waiting, held, total, last_t, last_id = [], deque(), 0, 0, 0
+        if not state.hasTimedOut:
+            for batch in batches:
+                waiting.extend(zip(batch["t"].tolist(), batch["kind"].tolist(), batch["event_id"].tolist()))
+        watermark = state.getCurrentWatermarkMs() * 1000
+        # At one instant, pool events count for a backward window and after a forward anchor.
+        waiting.sort(key=lambda item: (item[0], item[1] if backward else -item[1], item[2]))
+        found, settled = [], 0
+
+        def close_before(t: int) -> None:
+            """Forward windows that end before ``t`` are complete."""
+            while held and held[0][0] + width_us < t:
+                start_t, event_id, before = held.popleft()
+                if total - before >= needed:
+                    found.append((event_id, start_t, total - before, last_t, last_id))
+
+        for t, kind, event_id in waiting:
+            if t >= watermark:
+                break
+            settled += 1
+            if not backward:
+                close_before(t)
+                if kind == _ANCHOR:
+                    held.append((t, event_id, total))
+                else:
+                    total, last_t, last_id = total + 1, t, event_id
+                continue
+            while held and held[0][0] < t - width_us:
+                total -= held.popleft()[1]
+            if kind == _ANCHOR:
+                if total >= needed:
+                    found.append((event_id, t, total, held[0][0], held[0][2]))
+                continue
+            total += 1
+            if held and held[-1][0] == t:
+                held[-1] = (t, held[-1][1] + 1, held[-1][2])
+            else:
+                held.append((t, 1, event_id))
+        waiting = waiting[settled:]
+        if not backward:
+            close_before(watermark)
+        # No later anchor can reach pool events that lie a window behind the watermark.
+        while backward and held and held[0][0] < watermark - width_us:
+            total -= held.popleft()[1]
+        columns = [list(column) for column in zip(*waiting)] or [[], [], []]
+        columns += [list(column) for column in zip(*held)] or [[], [], []]
+        if not waiting and not held:
+            state.remove()
+        else:
+            state.update((*columns, total, last_t, last_id))
+            wake = waiting[0][0] if waiting else held[0][0] + width_us
+            state.setTimeoutTimestamp(max(wake, watermark) // 1000 + 1)
+        if found:
+            rows = pd.DataFrame(found, columns=["event_id", "t", "n", "edge_t", "edge_id"])
+            yield rows.assign(key=key[0])[_COUNTED.fieldNames()]
+
+    return run
+
+
+def _windowed(
+    events: DataFrame, keys: list[str], pool: Column, anchor: Column, width_us: int, needed: int,
+    backward: bool, lateness: str,
+) -> DataFrame:
+    timed = (
+        events.where(F.col("event_timestamp").isNotNull() & (pool | anchor))
+        .select(
+            F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("key"),
+            F.when(pool, _POOL).otherwise(_ANCHOR).cast("bigint").alias("kind"),
+            "event_id", "event_timestamp", F.unix_micros("event_timestamp").alias("t"),
+        )
+        .withWatermark("event_timestamp", lateness)
+    )
+    counted = timed.groupBy("key").applyInPandasWithState(
+        _counting(width_us, needed, backward), _COUNTED, _WINDOW_STATE, "append",
+        GroupStateTimeout.EventTimeTimeout,
+    )
+    types = {"dataset_id": "bigint"}
+    schema = ", ".join(f"{name} {types.get(name, 'string')}" for name in keys)
+    return counted.withColumn("k", F.from_json("key", schema)).select("k.*", "event_id", "t", "n", "edge_t", "edge_id")
 
 
 def brute_force(
     events: DataFrame, cfg: RuleSettings = DEFAULTS, lateness: str = LATENESS
 ) -> DataFrame:
-    """Successful logins preceded by enough failures: interval join of two streams, counted.
+    """Successful logins preceded by enough failures of the same user and address.
 
     Returns (dataset_id, username, source_ip, event_id, event_timestamp, failures, first_seen).
     """
-    window = f"INTERVAL {cfg.brute_force_window_us} MICROSECONDS"
-    columns = ["dataset_id", "username", "source_ip", "event_id", "event_timestamp"]
-    timed = events.select(
-        *columns, "source_system", "event_type", "action", "outcome"
-    ).withWatermark("event_timestamp", lateness)
-    keys = F.concat(*(_present(F.col(name)) for name in ("dataset_id", "username", "source_ip")))
-    successes = timed.where(is_login("success")).select(*columns, keys.alias("key"))
-    failures = timed.where(is_login("failure")).select(
-        keys.alias("failure_key"), F.col("event_timestamp").alias("failed_at")
+    found = _windowed(
+        events, ["dataset_id", "username", "source_ip"], is_login("failure"), is_login("success"),
+        cfg.brute_force_window_us, cfg.brute_force_failures, True, lateness,
     )
-    pairs = successes.join(
-        failures,
-        (F.col("key") == F.col("failure_key"))
-        & (F.col("failed_at") >= F.col("event_timestamp") - F.expr(window))
-        & (F.col("failed_at") <= F.col("event_timestamp")),
+    return found.select(
+        "dataset_id", "username", "source_ip", "event_id",
+        F.timestamp_micros("t").alias("event_timestamp"), F.col("n").alias("failures"),
+        F.timestamp_micros("edge_t").alias("first_seen"),
+    )
+
+
+def vpn_privilege(
+    events: DataFrame, cfg: RuleSettings = DEFAULTS, lateness: str = LATENESS
+) -> DataFrame:
+    """VPN connects followed by privilege actions of the same user.
+
+    Returns (dataset_id, username, event_id, event_timestamp, actions, last_seen,
+    last_event_id); a connect is settled once its hour has passed.
+    """
+    found = _windowed(
+        events.where(has_user()), ["dataset_id", "username"], is_privilege_action(cfg),
+        is_vpn_connect(), cfg.vpn_window_us, 1, False, lateness,
     )
-    counted = pairs.groupBy(*columns).agg(
-        F.count(F.lit(1)).alias("failures"), F.min("failed_at").alias("first_seen")
+    return found.select(
+        "dataset_id", "username", "event_id", F.timestamp_micros("t").alias("event_timestamp"),
+        F.col("n").alias("actions"), F.timestamp_micros("edge_t").alias("last_seen"),
+        F.col("edge_id").alias("last_event_id"),
     )
-    return counted.where(F.col("failures") >= cfg.brute_force_failures)
 
 
 def incident_sessions(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sentrel.operators import rules
 from sentrel.streaming import jobs
 from sentrel.streaming.replay import replay, write_feed
-from tests.fixtures import START, event, failure, frame, random_events, serious
+from tests.fixtures import START, connect, event, failure, frame, random_events, serious
 
 
 def ordered_feed(spark, rows, closing):
@@ -35,6 +35,19 @@ def test_brute_force_stream(spark):
     assert set(got) == {tuple(row) for row in expected.collect()}
 
 
+def test_vpn_stream(spark):
+    rows = random_events(8, 500, 2)
+    closing = [connect(9001, START + timedelta(days=400), username="closing")]
+    path = ordered_feed(spark, rows, closing)
+    found = replay(spark, path, lambda df: jobs.vpn_privilege(df, lateness="2 hours"), files_per_batch=1)
+    expected = rules.vpn_privilege(frame(spark, rows)).select(
+        "lead_event_id", F.col("evidence_count") - 1, "normalized_event_id", "last_seen"
+    )
+    got = [tuple(row) for row in found.select("event_id", "actions", "last_event_id", "last_seen").collect()]
+    assert len(got) == len(set(got)) > 0
+    assert set(got) == {tuple(row) for row in expected.collect()}
+
+
 def test_multi_high_stream_emits_each_user_once(spark):
     rows = [
         serious(i, START + timedelta(hours=hour), username=user)
