@@ -211,15 +211,22 @@ def dataset_mappings(mappings: DataFrame, dataset_id: int) -> DataFrame:
 
 
 def replace_mappings(
-    stored: DataFrame, datasets: DataFrame, fresh: DataFrame, suggestions: DataFrame
+    stored: DataFrame,
+    datasets: DataFrame,
+    fresh: DataFrame,
+    suggestions: DataFrame,
+    replaced: DataFrame | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """New mapping and dataset tables after replacing the sets of the datasets in ``fresh``.
+    """New mapping and dataset tables after replacing the sets of some datasets.
 
-    Only datasets in an editable status change; locked ones keep their mappings.
+    ``replaced`` lists their ids; by default those that occur in ``fresh``. One listed without
+    fresh mappings loses all it had. Only datasets in an editable status change; locked ones
+    keep their mappings.
     """
     editable = datasets.where(F.col("status").isin(*EDITABLE_STATUSES)).select("dataset_id")
-    accepted = fresh.join(editable, "dataset_id", "left_semi")
-    touched = accepted.select("dataset_id").distinct()
+    wanted = (fresh if replaced is None else replaced).select("dataset_id").distinct()
+    touched = wanted.join(editable, "dataset_id", "left_semi")
+    accepted = fresh.join(touched, "dataset_id", "left_semi")
     mappings = stored.join(touched, "dataset_id", "left_anti").unionByName(
         accepted.select(*stored.columns)
     )

@@ -5,6 +5,7 @@ Each step can run alone and can be repeated: appends skip what is stored already
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -116,11 +117,15 @@ def stored_evidence(store: Store, dataset_id: int | None = None, everything: boo
 
 
 def summarize(
-    store: Store, run_at: datetime, dataset_id: int | None = None, only_missing: bool = False
+    store: Store,
+    run_at: datetime,
+    dataset_id: int | None = None,
+    only_missing: bool = False,
+    provider: Callable[[summary.Evidence], DataFrame] = summary.summarize,
 ) -> dict[str, int]:
     """Store a summary for every incident of a scope; returns how many were made."""
     gathered = stored_evidence(store, dataset_id)
-    drafts = summary.summarize(gathered)
+    drafts = provider(gathered)
     if only_missing:
         missing = summary.missing_summaries(gathered.incidents, sinks.summaries(store))
         drafts = drafts.join(missing.select("incident_id"), "incident_id", "left_semi")
@@ -161,11 +166,18 @@ def run_upload(
     run_at: datetime,
     mappings: DataFrame | None = None,
 ) -> dict[str, dict[str, int]]:
-    """Load one upload, detect and correlate in its scope, and summarize what is new."""
+    """Load one upload, detect and correlate in its scope, and summarize what is new.
+
+    The status of a dataset stored with ``sinks.append_dataset`` is kept up to date.
+    """
     store = Store(configure(spark), root)
-    return {
-        "etl": load_upload(store, path, dataset_id, source_type, mappings),
+    loaded = load_upload(store, path, dataset_id, source_type, mappings)
+    sinks.set_status(store, dataset_id, "normalized", run_at, loaded["processed"])
+    counters = {
+        "etl": loaded,
         "detections": detect(store, dataset_id),
         "incidents": correlate_alerts(store, run_at, dataset_id),
         "summaries": summarize(store, run_at, dataset_id, only_missing=True),
     }
+    sinks.set_status(store, dataset_id, "workflow_complete", run_at)
+    return counters

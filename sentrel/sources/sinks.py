@@ -16,10 +16,17 @@ from pyspark.sql import types as T
 
 from sentrel.functions.payload import canonical_json
 from sentrel.operators.rules import new_alerts, null_safe_join
-from sentrel.schema import ALERT_SCHEMA, EVENT_SCHEMA, INCIDENT_EVENT_SCHEMA, INCIDENT_SCHEMA
+from sentrel.schema import (
+    ALERT_SCHEMA, DATASET_SCHEMA, EVENT_SCHEMA, INCIDENT_EVENT_SCHEMA, INCIDENT_SCHEMA,
+)
 from sentrel.session import materialize
 from sentrel.sources.records import RAW_KEYS, first_of_each, not_stored
 
+# Dataset statuses in the order a dataset goes through them.
+DATASET_STATUSES = (
+    "uploaded", "mapping_required", "ready_to_normalize", "normalized", "workflow_complete",
+)
+
 PIECE_SCHEMA = "incident_id string, section int, place array<bigint>, text string"
 
 
@@ -123,6 +130,41 @@ def events(store: Store) -> DataFrame:
     return store.read("normalized_events", EVENT_SCHEMA)
 
 
+# ---------------------------------------------------------------------------- datasets
+
+_DATASET_VERSION = T.StructType([*DATASET_SCHEMA.fields, T.StructField("changed_at", T.TimestampType())])
+
+
+def append_dataset(store: Store, dataset: DataFrame, changed_at: datetime) -> None:
+    """Store a dataset row, or a later version of it."""
+    stamp = F.lit(changed_at).cast("timestamp")
+    rows = dataset.select(*DATASET_SCHEMA.fieldNames()).withColumn("changed_at", stamp)
+    store.append("dataset_versions", rows)
+
+
+def datasets(store: Store) -> DataFrame:
+    """Every dataset as its latest version has it."""
+    # Status order settles versions written at the same instant.
+    progress = F.array_position(F.array(*(F.lit(name) for name in DATASET_STATUSES)), F.col("status"))
+    row = F.struct(*DATASET_SCHEMA.fieldNames())
+    return (
+        store.read("dataset_versions", _DATASET_VERSION)
+        .groupBy(F.col("dataset_id").alias("__id"))
+        .agg(F.max_by(row, F.struct("changed_at", progress)).alias("row"))
+        .select("row.*")
+    )
+
+
+def set_status(
+    store: Store, dataset_id: int, status: str, changed_at: datetime, record_count: int | None = None
+) -> None:
+    """Store a dataset's new status, and its record count if given."""
+    row = datasets(store).where(F.col("dataset_id") == dataset_id).withColumn("status", F.lit(status))
+    if record_count is not None:
+        row = row.withColumn("record_count", F.lit(record_count).cast("bigint"))
+    append_dataset(store, row, changed_at)
+
+
 # ------------------------------------------------------------------- alerts and incidents
 
 

@@ -265,9 +265,9 @@ def _first_window(width_us: int, needed: int):
                 if not done:
                     waiting.extend(zip(batch["t"].tolist(), batch["event_id"].tolist()))
         watermark = state.getCurrentWatermarkMs() * 1000
-        waiting.sort()
+        waiting = deque(sorted(waiting))
         while not done and waiting and waiting[0][0] < watermark:
-            t, event_id = waiting.pop(0)
+            t, event_id = waiting.popleft()
             if n:
                 if t > lead_t + width_us:
                     break

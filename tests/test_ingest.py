@@ -164,6 +164,10 @@ def test_mapping_audit_and_replacement(spark):
         1: "ready_to_normalize", 2: "normalized", 3: "uploaded"
     }
     assert [row["source_field"] for row in profile.dataset_mappings(mappings, 2).collect()] == ["x"]
+    both = datasets.select("dataset_id")
+    cleared, updated = profile.replace_mappings(stored, datasets, fresh.limit(0), none, both)
+    assert [row["dataset_id"] for row in cleared.collect()] == [2]
+    assert updated.where("dataset_id = 3").first()["status"] == "mapping_required"
     inputs = spark.createDataFrame([("a", None), ("b", " "), ("c", "asset")], "source_field string, target_field string")
     assert [row["source_field"] for row in profile.wanted_definitions(inputs).collect()] == ["c"]
 

@@ -150,6 +150,8 @@ def test_uploads_stay_apart(spark, store, tmp_path):
     for dataset, name in ((1, "ann"), (2, "bob")):
         path = tmp_path / f"{name}.csv"
         path.write_text(f"{header}{stamp(0)},credential_access,{name},BOX-{dataset},alert,seen,high,T1003.001,credential use by {name}\n")
+        described = workflow.describe_upload(spark, str(path), dataset, name, "endpoint", RUN_AT)
+        sinks.append_dataset(store, described, RUN_AT)
         counters = workflow.run_upload(spark, store.root, str(path), dataset, "endpoint", RUN_AT)
         assert counters["detections"]["alerts_created"] == 1
         assert counters["incidents"]["incidents_created"] == 1
@@ -157,6 +159,8 @@ def test_uploads_stay_apart(spark, store, tmp_path):
     again = workflow.run_upload(spark, store.root, str(tmp_path / "ann.csv"), 1, "endpoint", RUN_AT)
     assert again["detections"]["alerts_created"] == again["summaries"]["summaries_created"] == 0
 
+    known = {row["dataset_id"]: (row["status"], row["record_count"]) for row in sinks.datasets(store).collect()}
+    assert known == {1: ("workflow_complete", 1), 2: ("workflow_complete", 1)}
     incidents, events, alerts = sinks.incidents(store), sinks.events(store), sinks.alerts(store)
     owned = {row["dataset_id"]: row["incident_id"] for row in incidents.where("dataset_id IS NOT NULL").collect()}
     foreign = events.where("dataset_id = 2").first()["event_id"]
