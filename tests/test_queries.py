@@ -9,10 +9,11 @@ import pytest
 
 import __spark_entry__ as entry
 from sentrel.plans import catalog, ingest_catalog
+from sentrel.plans.registry import QUERIES
 from tests.compare import duck_rows, register, spark_rows
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+SQL = {name: sql for name, sql in entry.oracle_sql().items() if name in QUERIES}
 
 
 @pytest.fixture(scope="module")
