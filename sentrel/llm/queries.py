@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sentrel.llm import bpe
+from sentrel.llm import bpe, quality, vector_dedup, vector_search
 from sentrel.llm.stages import table
 from sentrel.session import configure
 
@@ -37,3 +38,25 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"),
         public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, keep_ids=False,
     ).drop("ids")
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"), "quality", 4, 2)
+    return quality.score_documents(docs, model, 4, 2)
+
+
+@query
+def op7_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth vector."""
+    return vector_search.search(
+        table(spark, sf_dir, "embeddings"), F.pmod(F.col("vec_id"), F.lit(50)) == 0
+    )
+
+
+@query
+def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at cosine 0.95."""
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))

@@ -73,7 +73,9 @@ def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES):
         first = last
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, values: np.ndarray = BYTE_VALUES
+) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word, and the row offsets into the words."""
     n = len(data)
     if n == 0:
@@ -89,7 +91,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     start = np.flatnonzero(fresh & ~space)
     stop = np.flatnonzero(ends & ~space) + 1
     total = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(BYTE_VALUES[data] * _power("up", BASE, n), out=total[1:])
+    np.cumsum(values[data] * _power("up", BASE, n), out=total[1:])
     hashes = (total[stop] - total[start]) * _power("down", BASE_INVERSE, n)[start]
     hashes = mix(hashes + (stop - start).astype(np.uint64))
     return hashes, np.searchsorted(start, offsets)
