@@ -131,7 +131,7 @@ def search(rows: DataFrame, is_query, vector: str = "embedding", settings: Setti
         asked_ids = ids[asks]
         asked_vectors = matrix(group.filter(pa.array(asks)).column("raw"))
         directions, scaled = unit(asked_vectors)
-        _, vectors = unit(vectors)
+        vectors = unit(vectors)[1]
         found: list[tuple[np.ndarray, ...]] = []
         k = settings.nearest
         for start in range(0, len(asked_ids), 256):

@@ -49,8 +49,8 @@ def matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def unit(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Directions, scaled first so that squares neither overflow nor vanish, and the scaled rows."""
-    scaled = rows / np.abs(rows).max(axis=1, keepdims=True)
+    """Directions, and the rows scaled by a power of two, exactly, so that squares stay finite."""
+    scaled = np.ldexp(rows, -np.frexp(np.abs(rows).max(axis=1, keepdims=True))[1])
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True)), scaled
 
 
