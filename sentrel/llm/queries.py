@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrel.llm import bpe, quality, vector_dedup, vector_search
+from sentrel.llm import bpe, language, quality, vector_dedup, vector_search
 from sentrel.llm.stages import table
 from sentrel.session import configure
 
@@ -60,3 +60,11 @@ def op7_one_bit_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every vector at cosine 0.95."""
     return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    docs = table(spark, sf_dir, "documents")
+    languages, network = language.train(docs, 4, 2)
+    return language.identify(docs, languages, network, 4, 2)
