@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrel.llm import bpe, language, quality, vector_dedup, vector_search
+from sentrel.llm import bpe, language, quality, toxicity, vector_dedup, vector_search
 from sentrel.llm.stages import table
 from sentrel.session import configure
 
@@ -68,3 +68,11 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     languages, network = language.train(docs, 4, 2)
     return language.identify(docs, languages, network, 4, 2)
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1)
+    return toxicity.score_documents(docs, model, 3, 1)
