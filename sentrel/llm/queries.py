@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrel.llm import bpe, language, quality, toxicity, vector_dedup, vector_search
+from sentrel.llm import bpe, language, line_dedup, quality, toxicity, vector_dedup, vector_search
 from sentrel.llm.stages import table
 from sentrel.session import configure
 
@@ -76,3 +76,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, table(spark, sf_dir, "labels"), "toxic", 3, 1)
     return toxicity.score_documents(docs, model, 3, 1)
+
+
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many repeat an earlier run, and a digest of what stays."""
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5")
+    )
+
+
+SQL["op1_line_dedup"] = line_dedup.oracle()
