@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrel.llm import bpe, language, line_dedup, quality, toxicity, vector_dedup, vector_search
+from sentrel.llm import (
+    bpe, chat, language, line_dedup, mixing, quality, toxicity, vector_dedup, vector_search,
+)
 from sentrel.llm.stages import table
 from sentrel.session import configure
 
@@ -87,3 +89,22 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SQL["op1_line_dedup"] = line_dedup.oracle()
+
+
+@query
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampling probability of every document under tempered shares, and the draw."""
+    return mixing.probabilities(table(spark, sf_dir, "documents")).select(
+        "doc_id", "tokens", "topic", F.round("probability", 6).alias("probability"), "sampled"
+    )
+
+
+SQL["op3_mixing"] = mixing.oracle()
+
+
+@query
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation repaired and rendered, in ordered pieces."""
+    return chat.format_conversations(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "place", "part", "action", "role", "cost", F.md5("rendered").alias("rendered_md5")
+    )
