@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentrel.llm.stages import Stages
 
 
+def forest(a: np.ndarray, b: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """Smallest node reachable from every place over the links a-b."""
+    best = nodes.copy()
+    while True:
+        before = best.copy()
+        np.minimum.at(best, a, best[b])
+        np.minimum.at(best, b, best[a])
+        if (before == best).all():
+            return best
+
+
 def components(edges: DataFrame, stages: Stages) -> DataFrame:
     """``node, component`` of every node in ``u, v``: the smallest node its links reach.
 

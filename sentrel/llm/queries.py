@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrel.llm import (
-    bpe, chat, language, line_dedup, mixing, quality, toxicity, vector_dedup, vector_search,
+    bpe, chat, language, line_dedup, mixing, quality, shingle_join, toxicity, vector_dedup,
+    vector_search,
 )
 from sentrel.llm.stages import table
 from sentrel.session import configure
@@ -108,3 +109,9 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(table(spark, sf_dir, "conversations")).select(
         "conv_id", "place", "part", "action", "role", "cost", F.md5("rendered").alias("rendered_md5")
     )
+
+
+@query
+def op5_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document at Jaccard similarity 0.75."""
+    return shingle_join.near_duplicates(table(spark, sf_dir, "documents"))

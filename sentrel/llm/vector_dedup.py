@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentrel.llm.components import components
+from sentrel.llm.components import components, forest
 from sentrel.llm.stages import Stages, sorted_groups
 from sentrel.llm.vectors import cosines, matrix, unit, with_raw
 
@@ -34,17 +34,6 @@ def sign_codes(directions: np.ndarray, settings: Settings) -> np.ndarray:
     return (signs * (1 << np.arange(settings.bits))).sum(axis=2).astype(np.int32)
 
 
-def _forest(a: np.ndarray, b: np.ndarray, nodes: np.ndarray) -> np.ndarray:
-    """Smallest node reachable from every place over the links a-b."""
-    best = nodes.copy()
-    while True:
-        before = best.copy()
-        np.minimum.at(best, a, best[b])
-        np.minimum.at(best, b, best[a])
-        if (before == best).all():
-            return best
-
-
 def link_vectors(vectors: DataFrame, stages: Stages, settings: Settings) -> DataFrame:
     """``node, root, links`` from every block of every bucket.
 
@@ -126,7 +115,7 @@ def link_vectors(vectors: DataFrame, stages: Stages, settings: Settings) -> Data
             return
         np.add.at(links, a, copies[b])
         np.add.at(links, b, copies[a])
-        roots = _forest(a, b, nodes)
+        roots = forest(a, b, nodes)
         some = np.flatnonzero(links)
         yield pa.RecordBatch.from_arrays(
             [pa.array(nodes[some]), pa.array(roots[some]), pa.array(links[some])],
