@@ -122,6 +122,19 @@ def _rule(n: int) -> str:
     return f"{A} SELECT {ALERT_COLS} FROM alerts WHERE rule_no = {n}"
 
 
+
+# Documents are cut into parts of fixed length.
+PART_LENGTH = 8192
+
+
+def parts(text: str) -> str:
+    return f"unnest(range(0, CAST(ceil(length({text}) / {PART_LENGTH}.0) AS BIGINT))) AS p(part_no)"
+
+
+def cut(text: str) -> str:
+    return f"substr({text}, CAST(part_no * {PART_LENGTH} + 1 AS BIGINT), {PART_LENGTH}) AS text"
+
+
 SQL: dict[str, str] = {
     "rule_brute_force": _rule(1),
     "rule_unusual_ip": _rule(2),
@@ -168,7 +181,7 @@ SQL: dict[str, str] = {
     "affected_entities": f"{B} SELECT * FROM entities",
     "attack_timeline": f"{B} SELECT incident_id, event_id, {iso('t', 'T')} AS timestamp_text, source_system, event_type, "
     "username, asset, action, outcome, severity FROM b_events",
-    "incident_summary": f"{B} SELECT * FROM summaries",
+    "incident_summary": f"{B} SELECT * EXCLUDE (technical_summary), {cut('technical_summary')} FROM summaries, {parts('technical_summary')}".replace("AS text", "AS technical_summary"),
     "latest_summary": f"{I}, {STORED_SUMMARIES} SELECT incident_id, dataset_id, max(summary_id) AS summary_id "
     "FROM stored GROUP BY incident_id, dataset_id",
     "missing_summaries": f"{I}, {STORED_SUMMARIES} SELECT * FROM incidents WHERE dataset_id IS NOT NULL "
@@ -193,15 +206,16 @@ event_lines AS (
     '' ORDER BY event_id) AS lines
   FROM b_events GROUP BY 1
 )
+SELECT incident_id, part_no, {cut('document')} FROM (
 SELECT i.incident_id, 'You are summarizing a breach investigation.' || chr(10)
   || 'Use only the incident, alert, and event evidence below.' || chr(10)
   || 'Do not invent users, assets, timelines, impacts, or containment actions.' || chr(10)
   || 'Incident: ' || i.incident_id || ' - ' || i.title || chr(10) || 'Suspected attack path: ' || i.suspected_attack_path || chr(10)
   || 'Alerts:' || a.lines || chr(10) || 'Events:' || e.lines AS document
-FROM incidents i JOIN alert_lines a USING (incident_id) JOIN event_lines e USING (incident_id)""",
-    "incident_report": f"{B}, {SUMMARIZED} SELECT d.incident_id, any_value(CASE WHEN i.dataset_id IS NULL THEN '' ELSE "
+FROM incidents i JOIN alert_lines a USING (incident_id) JOIN event_lines e USING (incident_id)), {parts('document')}""",
+    "incident_report": f"{B}, {SUMMARIZED} SELECT incident_id, file_name, part_no, {cut('document')} FROM (SELECT d.incident_id, any_value(CASE WHEN i.dataset_id IS NULL THEN '' ELSE "
     "'dataset-' || i.dataset_id || '-' END || 'incident-' || i.incident_id || '-report.md') AS file_name, "
-    f"string_agg(d.text, '' ORDER BY {PIECE_ORDER}) AS document FROM doc d JOIN incidents i USING (incident_id) GROUP BY d.incident_id",
+    f"string_agg(d.text, '' ORDER BY {PIECE_ORDER}) AS document FROM doc d JOIN incidents i USING (incident_id) GROUP BY d.incident_id), {parts('document')}",
     "incident_report_pieces": f"{B}, {PLAIN} SELECT * FROM doc",
     "dashboard_counts": f"{I}, {STORED_SUMMARIES}, scopes AS (SELECT DISTINCT dataset_id FROM ev) "
     "SELECT s.dataset_id, (SELECT count(*) FROM ev e WHERE e.dataset_id IS NOT DISTINCT FROM s.dataset_id) AS events, "

@@ -120,14 +120,31 @@ def lookup(df: DataFrame, id_column: str, value, dataset_id: int | None = None)
     return in_scope(df, dataset_id).where(F.col(id_column) == value)
 
 
+def lookup_incident(
+    incidents: DataFrame, alerts: DataFrame, incident_id: str, dataset_id: int | None = None
+) -> DataFrame:
+    """One incident by id, only if it is shown in the given scope."""
+    shown = visible_incidents(incidents, alerts)
+    return lookup(shown, "incident_id", incident_id, dataset_id)
+
+
+def visible_incidents(incidents: DataFrame, alerts: DataFrame) -> DataFrame:
+    """Incidents that may be shown: owned ones, and unmixed sample ones."""
+    return incidents.where(F.col("dataset_id").isNotNull()).unionByName(
+        sample_incidents(incidents, alerts)
+    )
+
+
 def incident_detail(
     incidents: DataFrame, alerts: DataFrame, links: DataFrame, events: DataFrame
 ) -> DataFrame:
-    """Alerts and evidence events of each incident, own scope only, one row per item.
+    """Alerts and evidence events of each visible incident, own scope only, one row per item.
 
     Items stay rows: an incident with a great deal of evidence is not folded into one value.
     """
-    head = incidents.select("incident_id", F.col("dataset_id").alias("__scope"))
+    head = visible_incidents(incidents, alerts).select(
+        "incident_id", F.col("dataset_id").alias("__scope")
+    )
     own = F.col("__scope").eqNullSafe(F.col("dataset_id"))
     alert_items = (
         alerts.join(head, "incident_id").where(own)

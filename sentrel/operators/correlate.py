@@ -16,6 +16,7 @@ within 24 hours; otherwise it opens a group. Three exact ways to compute it:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -147,6 +148,7 @@ class _OpenGroup:
         self.last = 0
         self.reach: dict[str, int] = {}
         self.leads: dict[int, int] = {}
+        self.ends: list[tuple[int, int]] = []
 
     def accepts(self, row) -> bool:
         if row.asset is not None and row.asset in self.assets:
@@ -162,8 +164,12 @@ class _OpenGroup:
         if row.windowed:
             self.reach[row.ip_key] = max(self.reach.get(row.ip_key, row.last_t), row.last_t)
             self.leads[row.lead_event_id] = row.last_t
-        if len(self.leads) > 1024:
-            self.leads = {k: t for k, t in self.leads.items() if t >= row.first_t}
+            heappush(self.ends, (row.last_t, row.lead_event_id))
+        # Ends come in no order, so what the oldest can no longer reach goes at every step.
+        while self.ends and self.ends[0][0] < row.first_t:
+            end, lead = heappop(self.ends)
+            if self.leads.get(lead) == end:
+                del self.leads[lead]
 
 
 def _first_fit(gap_us: int):
@@ -202,7 +208,8 @@ def _tied_groups(tied: DataFrame, gap_us: int) -> DataFrame:
         "last_t",
         "asset",
         F.col("window_from").isNotNull().alias("windowed"),
-        F.coalesce("evidence_ip", F.lit("")).alias("ip_key"),
+        # A missing address is a key of its own, apart from an empty one.
+        F.coalesce(F.concat(F.lit("="), "evidence_ip"), F.lit("")).alias("ip_key"),
         "lead_event_id",
     )
     ordered = rows.repartition("component").sortWithinPartitions("component", *_ORDER)

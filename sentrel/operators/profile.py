@@ -22,16 +22,30 @@ EDITABLE_STATUSES = ("uploaded", "mapping_required", "ready_to_normalize", "fail
 _PLACE = ("dataset_id", "file_name", "record_no")
 
 
-def flatten_paths(records: DataFrame, max_depth: int = 8) -> DataFrame:
+def _nesting(payload: Column) -> Column:
+    """Levels of objects in JSON text: the most braces open at once, outside strings."""
+    bare = F.regexp_replace(F.regexp_replace(payload, r"\\.", ""), '"[^"]*"', "")
+    braces = F.split(F.regexp_replace(bare, "[^{}]", ""), "")
+    start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
+
+    def step(state: Column, brace: Column) -> Column:
+        now = state["open"] + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
+        return F.struct(now.alias("open"), F.greatest(state["most"], now).alias("most"))
+
+    return F.aggregate(braces, start, step, lambda state: state["most"])
+
+
+def flatten_paths(records: DataFrame) -> DataFrame:
     """(dataset_id, file_name, record_no, path, value): leaf fields by dotted path.
 
-    Arrays are leaves and empty objects vanish. One pass per nesting level inside a single
-    scan; a record nested deeper than ``max_depth`` fails the job rather than lose fields.
+    Arrays are leaves and empty objects vanish. One aggregate finds how deep the records are
+    nested; a second scan opens that many levels.
     """
+    depth = records.agg(F.max(_nesting(F.col("payload")))).first()[0] or 0
     rows = records.select(
         *_PLACE, F.lit(None).cast("string").alias("path"), parse(F.col("payload")).alias("value")
     )
-    for _ in range(max_depth):
+    for _ in range(depth):
         rows = (
             rows.withColumn("fields", object_fields(F.col("value")))
             .where(F.col("fields").isNull() | (F.size("fields") > 0))
@@ -44,13 +58,7 @@ def flatten_paths(records: DataFrame, max_depth: int = 8) -> DataFrame:
                 .otherwise(F.col("child")).alias("value"),
             )
         )
-    too_deep = F.raise_error(
-        F.concat(F.lit(f"Record nested deeper than {max_depth} levels at "), F.col("path"))
-    )
-    return rows.where(F.col("path").isNotNull()).withColumn(
-        "value", F.when(object_fields(F.col("value")).isNotNull(), too_deep.cast("variant"))
-        .otherwise(F.col("value")),
-    )
+    return rows.where(F.col("path").isNotNull())
 
 
 def render_sample(value: Column) -> Column:

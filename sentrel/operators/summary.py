@@ -2,8 +2,8 @@
 
 Texts that list event ids grow with the evidence, so they are produced as ordered pieces
 (``section``, ``place`` and ``text``) whose concatenation is the document. No incident is ever
-folded into a single row on the way. ``documents`` joins the pieces of incidents small enough
-for one value.
+folded into a single row on the way. ``document_parts`` joins them
+into numbered parts of a fixed length.
 """
 
 from __future__ import annotations
@@ -14,10 +14,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentrel.functions.text import blank_to_null, iso_text, none_text
-from sentrel.operators.browse import sample_incidents
+from sentrel.operators.browse import visible_incidents
 from sentrel.operators.rules import RULES, Rule
 from sentrel.session import materialize
 
+#: Characters of one part of a document.
+PART_LENGTH = 8192
+
 # Provider name and the wording of summaries and prompts.
 MODEL_NAME = "mock-deterministic-v1"
 FIRST_STEPS = (
@@ -46,13 +49,6 @@ class Evidence:
     events: DataFrame
 
 
-def visible_incidents(incidents: DataFrame, alerts: DataFrame) -> DataFrame:
-    """Incidents a report may be made for: owned ones, and unmixed sample ones."""
-    return incidents.where(F.col("dataset_id").isNotNull()).unionByName(
-        sample_incidents(incidents, alerts)
-    )
-
-
 def _in_incident_scope(rows: DataFrame, incidents: DataFrame) -> DataFrame:
     """Rows of the given incidents whose scope is their incident's scope."""
     head = incidents.select("incident_id", F.col("dataset_id").alias("__scope"))
@@ -272,22 +268,47 @@ def technical_pieces(summaries: DataFrame, evidence_ids: DataFrame) -> DataFrame
     )
 
 
-def documents(all_pieces: DataFrame, largest: int = 20_000) -> DataFrame:
-    """(incident_id, document) for incidents of at most ``largest`` pieces.
+def document_parts(all_pieces: DataFrame, length: int = PART_LENGTH) -> DataFrame:
+    """(incident_id, part_no, text): every document cut into parts of ``length`` characters.
 
-    Bigger documents are complete in the pieces table; ``sources.sinks`` writes that table and
-    reads any one document back in order.
+    The parts in order are the document, whatever its size; only the last part is shorter. Pieces
+    are sorted over ranges that may cut inside a document. Each range's share of a document is
+    summed up, so that a piece finds its offset without its document being gathered.
     """
-    small = (
-        all_pieces.groupBy("incident_id").agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") <= largest)
-        .select("incident_id")
+    order = ["incident_id", "section", "place"]
+    placed = materialize(
+        all_pieces.where(F.length("text") > 0).orderBy(*order)
+        .withColumn("row", F.monotonically_increasing_id())
+        # Ranges are cut further: a block holds at most 4,096 neighbouring pieces.
+        .withColumn("block", F.shiftright("row", 12)).select("incident_id", "row", "block", "text"),
+        "document-pieces",
     )
-    ordered = F.array_sort(F.collect_list(F.struct("section", "place", "text")))
-    return (
-        all_pieces.join(small, "incident_id", "left_semi")
-        .groupBy("incident_id")
-        .agg(F.array_join(F.transform(ordered, lambda piece: piece["text"]), "").alias("document"))
+    in_block = Window.partitionBy("incident_id", "block").orderBy("row").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    earlier = Window.partitionBy("incident_id").orderBy("block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    # One row stands for a block here.
+    blocks = (
+        placed.groupBy("incident_id", "block").agg(F.sum(F.length("text")).alias("size"))
+        .withColumn("before", F.coalesce(F.sum("size").over(earlier), F.lit(0))).drop("size")
+    )
+    start = F.col("before") + F.coalesce(F.sum(F.length("text")).over(in_block), F.lit(0))
+    spans = placed.join(blocks, ["incident_id", "block"]).withColumn("start", start)
+    last = F.col("start") + F.length("text") - 1
+    cuts = spans.withColumn(
+        "part_no",
+        F.explode(F.sequence(F.floor(F.col("start") / length), F.floor(last / length))),
+    )
+    begin = F.greatest(F.col("part_no") * length - F.col("start"), F.lit(0))
+    end = F.least((F.col("part_no") + 1) * length - F.col("start"), F.length("text"))
+    cuts = cuts.withColumn(
+        "text", F.substring("text", (begin + 1).cast("int"), (end - begin).cast("int"))
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("row", "text")))
+    return cuts.groupBy("incident_id", "part_no").agg(
+        F.array_join(F.transform(ordered, lambda piece: piece["text"]), "").alias("text")
     )
 
 

@@ -295,15 +295,15 @@ def attack_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def incident_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Summaries with their full technical text."""
+    """Summaries with their full technical text, a row for each part of it."""
     gathered = _evidence(_state(spark, sf_dir))
     rows = materialize(summary.summarize(gathered), "summaries")
-    text = summary.documents(summary.technical_pieces(rows, gathered.events))
+    parts = summary.document_parts(summary.technical_pieces(rows, gathered.events))
     return (
         rows.drop("technical_summary")
-        .join(text.withColumnRenamed("document", "technical_summary"), "incident_id")
+        .join(parts.withColumnRenamed("text", "technical_summary"), "incident_id")
         .select(
-            "incident_id", "dataset_id", "model_name", "executive_summary", "technical_summary",
+            "incident_id", "part_no", "dataset_id", "model_name", "executive_summary", "technical_summary",
             F.array_join("affected_users", ", ").alias("users"),
             F.array_join("affected_assets", ", ").alias("assets"),
             F.array_join("recommended_containment_steps", "\n").alias("steps"),
@@ -345,7 +345,7 @@ def missing_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evidence_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = _state(spark, sf_dir)
     listed = evidence.alert_evidence(state.alerts, state.events)
-    return summary.documents(summary.prompt_pieces(_evidence(state), listed))
+    return summary.document_parts(summary.prompt_pieces(_evidence(state), listed))
 
 
 def _report(spark: SparkSession, sf_dir: str, summarized: bool) -> tuple[DataFrame, DataFrame]:
@@ -357,9 +357,9 @@ def _report(spark: SparkSession, sf_dir: str, summarized: bool) -> tuple[DataFra
 
 @query
 def incident_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Markdown report of every incident, with its summary."""
+    """Markdown report of every incident, with its summary, in parts."""
     shown, pieces = _report(spark, sf_dir, True)
-    texts = summary.documents(materialize(pieces, "report-pieces"))
+    texts = summary.document_parts(pieces)
     names = shown.select("incident_id", report.report_name().alias("file_name"))
     return names.join(texts, "incident_id")
 

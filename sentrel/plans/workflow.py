@@ -60,10 +60,15 @@ def load_upload(
     mappings: DataFrame | None = None,
     strict: bool = True,
 ) -> dict[str, int]:
-    """Normalize and store one upload; strict as the default, as one bad time voids it."""
+    """Normalize and store one upload; strict as the default, as one bad time voids it.
+
+    A lenient load stores what it could not read as records in the table ``upload_rejects``.
+    """
     records = files.read_upload(store.spark, path, dataset_id, source_type, strict)
     numbered = files.with_event_ids(records.withColumn("source_name", F.col("source_type")))
     normalized = uploads.timestamp_gate(uploads.normalize_uploads(numbered, mappings), strict)
+    if not strict:
+        sinks.append_rejects(store, files.upload_rejects(store.spark, path, dataset_id))
     return sinks.append_events(store, normalized)
 
 
@@ -125,14 +130,21 @@ def summarize(
 ) -> dict[str, int]:
     """Store a summary for every incident of a scope; returns how many were made."""
     gathered = stored_evidence(store, dataset_id)
-    drafts = provider(gathered)
+    checked = gathered.incidents.count()
     if only_missing:
-        missing = summary.missing_summaries(gathered.incidents, sinks.summaries(store))
-        drafts = drafts.join(missing.select("incident_id"), "incident_id", "left_semi")
-    drafts = materialize(drafts, "summaries")
-    sinks.append_summaries(store, drafts, run_at)
+        # The provider may be costly: it sees only the incidents that lack a summary.
+        missing = materialize(
+            summary.missing_summaries(gathered.incidents, sinks.summaries(store)).select("incident_id"),
+            "missing-summaries",
+        )
+        gathered = summary.Evidence(
+            *(part.join(missing, "incident_id", "left_semi")
+              for part in (gathered.incidents, gathered.alerts, gathered.events))
+        )
+    drafts = materialize(provider(gathered), "summaries")
+    sinks.append_summaries(store, drafts, run_at, gathered.events)
     return {
-        "incidents_checked": gathered.incidents.count(),
+        "incidents_checked": checked,
         "summaries_created": drafts.count(),
     }
 
@@ -144,7 +156,7 @@ def write_report(store: Store, run_at: datetime, dataset_id: int | None = None)
         F.lit(run_at).cast("timestamp"),
         summary.latest_summary(sinks.summaries(store)),
     )
-    sinks.write_pieces(store, "reports", pieces)
+    sinks.write_pieces(store, "reports", pieces, dataset_id)
 
 
 def run_all(spark: SparkSession, root: str, folder: str, run_at: datetime) -> dict[str, dict[str, int]]:

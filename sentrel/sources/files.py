@@ -9,11 +9,14 @@ one task; deliver large arrays as many files or as NDJSON.
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sentrel.schema import RECORD_SCHEMA
 from sentrel.sources.records import ndjson_records, ndjson_rejects
@@ -111,47 +114,106 @@ def read_json(
     )
 
 
-def read_csv(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
-    """Records of CSV files with a header, every cell as text.
+def read_csv(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
+    """Records of CSV files with a header each, every cell as text.
 
-    A short row has nulls for the missing cells. ``multiline`` allows line breaks inside
-    quoted cells, at the price of one task per file.
+    A short row has nulls for the missing cells. Strict: a row with more cells than its header
+    fails the job; otherwise ``csv_rejects`` lists it. Files whose quoted cells hold line breaks
+    are one task each; all other files are split.
     """
-    return _records(_csv_rows(spark, path, multiline).where(~F.col("overlong")))
+    rows = _csv_rows(spark, path)
+    if not strict:
+        return _records(rows.where(~F.col("overlong")))
+    wrong = F.raise_error(
+        F.concat(
+            F.lit("More cells than columns in record "), F.col("record_no").cast("string"),
+            F.lit(" of "), F.col("file_name"),
+        )
+    )
+    # In the filter, so that no projection can prune the check.
+    return _records(rows.where(F.when(F.col("overlong"), wrong.cast("boolean")).otherwise(F.lit(True))))
 
 
-def csv_rejects(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+def csv_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Rows with more cells than the header has columns."""
-    rows = _csv_rows(spark, path, multiline).where("overlong")
+    rows = _csv_rows(spark, path).where("overlong")
     return rows.select("file_name", "record_no", F.lit("more cells than columns").alias("reason"))
 
 
-def _csv_rows(spark: SparkSession, path: str | list[str], multiline: bool) -> DataFrame:
-    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
-    names = reader.csv(path).columns
-    schema = ", ".join(f"`{name}` string" for name in (*names, "_corrupt_record"))
+@dataclass(frozen=True)
+class _Layout:
+    """CSV files that share a header, and whether their quoted cells hold line breaks."""
+
+    header: str
+    broken: bool
+    files: list[str]
+
+
+def _layouts(spark: SparkSession, path: str | list[str]) -> list[_Layout]:
+    """One entry for each distinct header, found by one pass over the lines.
+
+    A line with an odd number of quotes opens or closes a cell that goes on in another line.
+    """
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(
+        line, F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
+        (quotes % 2 == 1).alias("odd"),
+    )
+    found = (
+        lines.groupBy("file").agg(F.min_by("value", "place").alias("header"), F.max("odd").alias("broken"))
+        .groupBy("header", "broken").agg(F.sort_array(F.collect_list("file")).alias("files"))
+        .orderBy("header", "broken").collect()
+    )
+    return [
+        _Layout(row["header"], row["broken"], [unquote(file) for file in row["files"]]) for row in found
+    ]
+
+
+def _column_names(reader, layout: _Layout) -> list[str]:
+    """Column names of a layout; of columns that share a name, the last keeps it."""
+    if layout.header.count('"') % 2:
+        names = reader.csv(layout.files[0]).columns
+    else:
+        names = next(csv.reader([layout.header.removeprefix("\ufeff")]), [])
+    return [
+        f"__unused_{i}" if not name or name in names[i + 1 :] else name for i, name in enumerate(names)
+    ]
+
+
+def _csv_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    parts = [_layout_rows(spark, layout) for layout in _layouts(spark, path)]
+    empty = spark.createDataFrame([], "file_name string, record_no bigint, payload string, overlong boolean")
+    return reduce(DataFrame.unionByName, parts, empty)
+
+
+def _layout_rows(spark: SparkSession, layout: _Layout) -> DataFrame:
+    reader = spark.read.option("header", True).option("multiLine", layout.broken).option("escape", '"')
+    names = _column_names(reader, layout)
+    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*names, "_corrupt_record")])
     rows = (
-        reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").csv(path)
+        reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").csv(layout.files)
     )
     # Short and overlong rows are both reported as corrupt; their cells tell them apart.
     raw = F.col("_corrupt_record")
     unquoted = F.regexp_replace(raw, '"[^"]*"', "")
     commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
-    filled = sum((F.col(f"`{name}`").isNotNull().cast("int") for name in names), F.lit(0))
+    quoted = [f"`{name.replace('`', '``')}`" for name in names]
+    filled = sum((F.col(name).isNotNull().cast("int") for name in quoted), F.lit(0))
     cells = F.when(raw.isNull(), filled).otherwise(commas + 1)
     overlong = cells > len(names)
     # Empty cells read as null; only those a short row lacks stay null.
     values = [
-        F.when(raw.isNull(), F.coalesce(F.col(f"`{name}`"), F.lit("")))
-        .otherwise(F.col(f"`{name}`")).alias(name)
-        for name in names
+        F.when(raw.isNull(), F.coalesce(F.col(column), F.lit(""))).otherwise(F.col(column)).alias(name)
+        for name, column in zip(names, quoted) if not name.startswith("__unused_")
     ]
-    payload = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
+    payload = F.to_json(F.struct(*values), {"ignoreNullFields": "false"}) if values else F.lit("{}")
     return (
         _numbered(rows, "record_no")
         .withColumn("overlong", overlong)
         .withColumn("payload", payload)
-        .select("file_name", "record_no", "payload", "overlong")
+        .select("file_name", F.col("record_no").cast("bigint").alias("record_no"), "payload", "overlong")
     )
 
 
@@ -206,24 +268,16 @@ def read_upload(
     strict: bool = True,
 ) -> DataFrame:
     """Records of an uploaded file, or of all files in a folder, by suffix."""
-    found = spark.read.format("binaryFile").load(path).select(
-        "length", F.col("_metadata.file_name").alias("file_name"),
-        F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).alias("suffix"),
-    )
-    # Distinct suffixes only: as many rows as there are formats.
-    present = {row["suffix"] for row in found.where("length > 0").select("suffix").distinct().collect()}
-    unknown = present - set(SUFFIXES)
+    present = _suffixes(spark, path)
+    unknown = set(present) - set(SUFFIXES)
     if unknown and strict:
         raise ValueError(f"Only {', '.join(SUFFIXES)} uploads are supported, found {sorted(unknown)}")
-    parts = []
     readers = {
-        ".csv": lambda files: read_csv(files, path),
-        ".json": lambda files: read_json(files, path, strict, lone_object=True),
-        ".ndjson": lambda files: read_ndjson(files, path, strict),
+        ".csv": lambda names: read_csv(spark, names, strict),
+        ".json": lambda names: read_json(spark, names, strict, lone_object=True),
+        ".ndjson": lambda names: read_ndjson(spark, names, strict),
     }
-    for suffix in SUFFIXES:
-        if suffix in present:
-            parts.append(readers[suffix](_Suffixed(spark, suffix)))
+    parts = [readers[suffix](present[suffix]) for suffix in SUFFIXES if suffix in present]
     empty = spark.createDataFrame([], "file_name string, record_no bigint, payload string")
     records = reduce(DataFrame.unionByName, parts, empty)
     return records.withColumn("dataset_id", F.lit(dataset_id).cast("bigint")).withColumn(
@@ -231,16 +285,40 @@ def read_upload(
     )
 
 
-class _Suffixed:
-    """A session whose readers only see files of one suffix, in any case."""
+def upload_rejects(spark: SparkSession, path: str, dataset_id: int) -> DataFrame:
+    """(dataset_id, file_name, record_no, reason): what a lenient ``read_upload`` leaves out.
+
+    Files of an unknown format are listed whole, without a record number.
+    """
+    present = _suffixes(spark, path)
+    parts = [
+        spark.createDataFrame(
+            [(name.rsplit("/", 1)[-1], None, "unsupported format") for suffix in sorted(set(present) - set(SUFFIXES))
+             for name in present[suffix]],
+            "file_name string, record_no bigint, reason string",
+        )
+    ]
+    if ".csv" in present:
+        parts.append(csv_rejects(spark, present[".csv"]))
+    if ".ndjson" in present:
+        parts.append(
+            ndjson_rejects(read_lines(spark, present[".ndjson"]))
+            .select("file_name", F.col("line_no").cast("bigint").alias("record_no"), "reason")
+        )
+    return reduce(DataFrame.unionByName, parts).select(
+        F.lit(dataset_id).cast("bigint").alias("dataset_id"), "file_name", "record_no", "reason"
+    )
 
-    def __init__(self, spark: SparkSession, suffix: str) -> None:
-        self._spark = spark
-        self._glob = "*." + "".join(f"[{c}{c.upper()}]" for c in suffix[1:])
 
-    @property
-    def read(self):
-        return self._spark.read.option("pathGlobFilter", self._glob)
+def _suffixes(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Files with content by suffix in lower case. The driver lists input files in any case."""
+    found = spark.read.format("binaryFile").load(path).where("length > 0").select(
+        "path", F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).alias("suffix")
+    )
+    out: dict[str, list[str]] = {}
+    for row in found.orderBy("path").collect():
+        out.setdefault(row["suffix"], []).append(row["path"])
+    return out
 
 
 def with_event_ids(records: DataFrame, sources: tuple[SourceFile, ...] = SOURCE_FILES) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from sentrel.functions.payload import canonical_json
 from sentrel.operators.rules import new_alerts, null_safe_join
+from sentrel.operators.summary import technical_pieces
 from sentrel.schema import (
     ALERT_SCHEMA, DATASET_SCHEMA, EVENT_SCHEMA, INCIDENT_EVENT_SCHEMA, INCIDENT_SCHEMA,
 )
@@ -130,6 +131,20 @@ def events(store: Store) -> DataFrame:
     return store.read("normalized_events", EVENT_SCHEMA)
 
 
+_REJECT = "dataset_id bigint, file_name string, record_no bigint, reason string"
+
+
+def append_rejects(store: Store, rejects: DataFrame) -> None:
+    known = store.read("upload_rejects", _REJECT)
+    keys = ["dataset_id", "file_name", "record_no", "reason"]
+    store.append("upload_rejects", not_stored(materialize(rejects, "rejects"), known, keys))
+
+
+def upload_rejects(store: Store) -> DataFrame:
+    """Files, rows and lines that lenient loads left out, with the reason."""
+    return store.read("upload_rejects", _REJECT)
+
+
 # ---------------------------------------------------------------------------- datasets
 
 _DATASET_VERSION = T.StructType([*DATASET_SCHEMA.fields, T.StructField("changed_at", T.TimestampType())])
@@ -158,8 +173,11 @@ def datasets(store: Store) -> DataFrame:
 def set_status(
     store: Store, dataset_id: int, status: str, changed_at: datetime, record_count: int | None = None
 ) -> None:
-    """Store a dataset's new status, and its record count if given."""
-    row = datasets(store).where(F.col("dataset_id") == dataset_id).withColumn("status", F.lit(status))
+    """Store a dataset's new status, and its record count if given; unknown datasets are an error."""
+    known = datasets(store).where(F.col("dataset_id") == dataset_id)
+    if not known.head(1):
+        raise LookupError(f"Dataset {dataset_id} is not stored")
+    row = known.withColumn("status", F.lit(status))
     if record_count is not None:
         row = row.withColumn("record_count", F.lit(record_count).cast("bigint"))
     append_dataset(store, row, changed_at)
@@ -231,38 +249,63 @@ SUMMARY_SCHEMA = (
 )
 
 
-def append_summaries(store: Store, summaries: DataFrame, created_at: datetime) -> None:
+_SUMMARY_EVENT = "summary_id string, incident_id string, event_id bigint"
+
+
+def append_summaries(
+    store: Store, summaries: DataFrame, created_at: datetime, evidence: DataFrame
+) -> None:
+    """Store summaries, and as a table of their own the evidence ids each of them rests on."""
     stamp = F.lit(created_at).cast("timestamp")
     rows = summaries.withColumn("created_at", stamp).withColumn(
         "summary_id", F.concat_ws("@", "incident_id", F.unix_micros(stamp).cast("string"))
     )
     names = [part.split()[0] for part in SUMMARY_SCHEMA.split(", ")]
     store.append("summaries", rows.select(*names))
+    store.append(
+        "summary_events",
+        rows.select("summary_id", "incident_id").join(
+            evidence.select("incident_id", "event_id"), "incident_id"
+        ).select("summary_id", "incident_id", "event_id"),
+    )
 
 
 def summaries(store: Store) -> DataFrame:
     return store.read("summaries", SUMMARY_SCHEMA)
 
 
+def summary_events(store: Store) -> DataFrame:
+    """Evidence of every stored summary, as it was when the summary was made."""
+    return store.read("summary_events", _SUMMARY_EVENT)
+
+
+def technical_text(store: Store) -> DataFrame:
+    """The whole technical text of every stored summary as pieces, by ``summary_id``."""
+    stored = summaries(store).withColumn("incident_id", F.col("summary_id"))
+    ids = summary_events(store).withColumn("incident_id", F.col("summary_id"))
+    return technical_pieces(stored, ids).withColumnRenamed("incident_id", "summary_id")
+
+
 # ----------------------------------------------------------------------------- reports
 
 
-def write_pieces(store: Store, table: str, pieces: DataFrame) -> None:
-    """Store document pieces so that every document lies in neighbouring files, in order.
+def write_pieces(store: Store, table: str, pieces: DataFrame, dataset_id: int | None) -> None:
+    """Store a scope's document pieces so that every document lies in neighbouring files, in order.
 
-    The range partitioning cuts by size, also inside one document: a report of any length is
+    They replace the scope's earlier documents and leave other scopes alone. The range partitioning cuts by size, also inside one document: a report of any length is
     spread over as many tasks and files as it needs.
     """
     order = ["incident_id", "section", "place"]
+    scope = "sample" if dataset_id is None else str(dataset_id)
     pieces.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(
-        store.path(table)
+        f"{store.path(table)}/scope={scope}"
     )
 
 
 def read_document(store: Store, table: str, incident_id: str) -> DataFrame:
     """The pieces of one document in order; joined, their texts are the document."""
     pieces = store.read(table, PIECE_SCHEMA).where(F.col("incident_id") == incident_id)
-    return pieces.orderBy("section", "place")
+    return pieces.drop("scope").orderBy("section", "place")
 
 
 def write_reports(documents: DataFrame, path: str, name: Column) -> None:

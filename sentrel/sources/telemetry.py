@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentrel.session import spread
 
 BURST_FACTOR = 84  # one week / two hours
 
@@ -18,7 +17,7 @@ BURST_FACTOR = 84  # one week / two hours
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/events.parquet")
     columns = ["event_id", "ts", "user_id", "event_type", "value", "props"]
-    return spread(rows.select(*columns)).select(
+    return rows.select(*columns).select(
         F.col("event_id").cast("bigint").alias("event_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("user_id").cast("bigint").alias("user_id"),

@@ -125,9 +125,16 @@ def test_schema_inspection(spark):
     assert found["none"]["sample_values"] == ["null"]
     assert found["note"]["sample_values"] == ["n" * 157 + "..."]
     deep = {"a": {"b": {"c": {"d": 1}}}}
-    with pytest.raises(Exception, match="nested deeper than 2"):
-        profile.flatten_paths(uploaded(spark, deep), max_depth=2).collect()
-    assert profile.flatten_paths(uploaded(spark, deep), max_depth=4).first()["path"] == "a.b.c.d"
+    assert profile.flatten_paths(uploaded(spark, deep)).first()["path"] == "a.b.c.d"
+
+
+def test_records_of_any_depth_keep_their_fields(spark):
+    deep = {"timestamp": "t"}
+    for level in "ihgfedcba":
+        deep = {level: deep, "text": '{ " { \\'}
+    rows = profile.flatten_paths(uploaded(spark, deep, {"x": 1})).collect()
+    assert {row["path"] for row in rows} >= {"a.b.c.d.e.f.g.h.i.timestamp", "a.b.c.d.e.f.g.h.text", "text", "x"}
+    assert profile.readiness(profile.inspect_schema(uploaded(spark, deep))).first()["status"] == "ready_to_normalize"
 
 
 def test_one_source_per_target(spark):
@@ -188,7 +195,9 @@ def test_json_files(spark, tmp_path):
 
 def test_csv_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,name,note\n1,kim,"x, y"\n2,lee\n3,,\n4,max,n,extra\n5,"a,b",,"x"\n6,"say ""hi, you""",\n')
-    rows = files.read_csv(spark, str(tmp_path / "a.csv")).orderBy("record_no").collect()
+    rows = files.read_csv(spark, str(tmp_path / "a.csv"), strict=False).orderBy("record_no").collect()
+    with pytest.raises(Exception, match="More cells than columns in record [45]"):
+        files.read_csv(spark, str(tmp_path / "a.csv")).select("file_name").collect()
     assert [json.loads(row["payload"]) for row in rows] == [
         {"id": "1", "name": "kim", "note": "x, y"}, {"id": "2", "name": "lee", "note": None},
         {"id": "3", "name": "", "note": ""}, {"id": "6", "name": 'say "hi, you"', "note": ""},
@@ -239,3 +248,28 @@ def test_equal_payloads_are_one_event(spark):
     )
     kept = records.first_of_each(rows)
     assert sorted(row["record_no"] for row in kept.collect()) == [1, 3, 4, 5]
+
+
+def test_csv_uploads_of_several_layouts(spark, tmp_path):
+    folder = tmp_path / "up load"
+    folder.mkdir()
+    (folder / "a.csv").write_text('user,note,time\nkim,"line one\nline ""two""",t1\nlee,,t2\n')
+    (folder / "b.csv").write_text("time,user\nt3,max\nt4,ann,extra\n")
+    (folder / "c.CSV").write_text("time,user\nt5,bob\n")
+    (folder / "d.txt").write_text("no format\n")
+    (folder / "e.ndjson").write_text('{"time": "t6"}\nbad\n')
+    records = files.read_upload(spark, str(folder), 1, "generic", strict=False).collect()
+    found = {(r["file_name"], r["record_no"]): json.loads(r["payload"]) for r in records}
+    assert found == {
+        ("a.csv", 1): {"user": "kim", "note": 'line one\nline "two"', "time": "t1"},
+        ("a.csv", 2): {"user": "lee", "note": "", "time": "t2"},
+        ("b.csv", 1): {"time": "t3", "user": "max"}, ("c.CSV", 1): {"time": "t5", "user": "bob"},
+        ("e.ndjson", 1): {"time": "t6"},
+    }
+    rejects = {tuple(r) for r in files.upload_rejects(spark, str(folder), 1).collect()}
+    assert rejects == {
+        (1, "b.csv", 2, "more cells than columns"), (1, "d.txt", None, "unsupported format"),
+        (1, "e.ndjson", 2, "invalid JSON"),
+    }
+    with pytest.raises(ValueError, match="txt"):
+        files.read_upload(spark, str(folder), 1, "generic")

@@ -132,12 +132,34 @@ def test_incident_and_its_report(store):
 
     gathered = workflow.stored_evidence(store)
     pieces = report.report_pieces(gathered, F.lit(RUN_AT), summary.latest_summary(sinks.summaries(store)))
-    assert summary.documents(pieces).first()["document"] == text
-    assert summary.documents(pieces, largest=5).count() == 0
+    assert summary.document_parts(pieces).first()["text"] == text
+    parts = summary.document_parts(pieces, length=7).orderBy("part_no").collect()
+    assert "".join(row["text"] for row in parts) == text
+    assert {len(row["text"]) for row in parts[:-1]} == {7}
+    [stored] = sinks.summaries(store).collect()
+    whole = sinks.technical_text(store).orderBy("section", "place").collect()
+    assert whole[0]["text"] == stored["technical_summary"]
+    assert "".join(row["text"] for row in whole).endswith(
+        "Evidence event IDs: 1, 2, 3, 4, 5, 7, 9, 10, 12, 14, 15, 16."
+    )
+
+
+def test_a_document_of_many_pieces_is_whole(spark):
+    rows = spark.range(20_001).selectExpr(
+        "'big' AS incident_id", "1 AS section", "array(id) AS place", "concat(id, ', ') AS text"
+    ).unionByName(
+        spark.createDataFrame([("small", 2, [1], "end"), ("small", 1, [1], ""), ("small", 1, [0], "the ")],
+                              "incident_id string, section int, place array<bigint>, text string")
+    )
+    parts = summary.document_parts(rows.repartition(5)).orderBy("incident_id", "part_no").collect()
+    assert "".join(r["text"] for r in parts if r["incident_id"] == "big") == "".join(f"{i}, " for i in range(20_001))
+    assert [r["text"] for r in parts if r["incident_id"] == "small"] == ["the end"]
 
 
 def test_report_files(store, tmp_path):
-    documents = summary.documents(report.report_pieces(workflow.stored_evidence(store), F.lit(RUN_AT)))
+    documents = summary.document_parts(
+        report.report_pieces(workflow.stored_evidence(store), F.lit(RUN_AT)), length=1 << 20
+    ).withColumnRenamed("text", "document")
     named = documents.join(sinks.incidents(store).select("incident_id", "dataset_id"), "incident_id")
     sinks.write_reports(named, str(tmp_path / "out"), report.report_name())
     [written] = [p for p in (tmp_path / "out").glob("report=*/*.txt")]
@@ -170,6 +192,10 @@ def test_uploads_stay_apart(spark, store, tmp_path):
     text = document(store, owned[1])
     assert "ann" in text and "bob" not in text and str(foreign) not in text
     assert document(store, owned[2]) == ""
+    workflow.write_report(store, RUN_AT, dataset_id=2)
+    assert document(store, owned[1]) == text and "bob" in document(store, owned[2])
+    with pytest.raises(LookupError):
+        sinks.set_status(store, 99, "normalized", RUN_AT)
 
     page = browse.browse_events(events, dataset_id=1).collect()
     assert [row["username"] for row in page] == ["ann"]
@@ -178,6 +204,11 @@ def test_uploads_stay_apart(spark, store, tmp_path):
     assert {row["affected_user"] for row in browse.browse_incidents(incidents, alerts).collect()} == {"kim"}
     assert browse.lookup(incidents, "incident_id", owned[1], dataset_id=2).count() == 0
     assert browse.lookup(incidents, "incident_id", owned[1], dataset_id=1).count() == 1
+    assert browse.lookup_incident(incidents, alerts, owned[1], dataset_id=1).count() == 1
+    mixed = incidents.withColumn("dataset_id", F.lit(None).cast("bigint"))
+    assert browse.lookup_incident(mixed, alerts, owned[1]).count() == 0
+    assert browse.incident_detail(mixed, alerts, sinks.incident_links(store), events).where(
+        F.col("incident_id").isin(owned[1], owned[2])).count() == 0
     items = browse.incident_detail(incidents, alerts, sinks.incident_links(store), events)
     mine = items.where(F.col("incident_id") == owned[1]).collect()
     assert {(row["item"], row["username"]) for row in mine} == {("alert", "ann"), ("event", "ann")}
@@ -218,7 +249,7 @@ def test_prompt_lists_evidence_in_order(spark, store):
 
     listed = evidence.alert_evidence(sinks.alerts(store), sinks.events(store))
     gathered = workflow.stored_evidence(store)
-    text = summary.documents(summary.prompt_pieces(gathered, listed)).first()["document"]
+    text = summary.document_parts(summary.prompt_pieces(gathered, listed)).first()["text"]
     lines = text.split("\n")
     assert lines[0] == "You are summarizing a breach investigation."
     assert "; severity=high; user=kim; asset=IAM; events=[1, 2, 3, 4, 5]" in lines[6]
