@@ -31,6 +31,11 @@ from sentrel.llm.components import components, forest
 from sentrel.llm.stages import Stages, bitmap, small_batches, sorted_groups
 
 
+#: Counts of tokens are told apart up to here, in the bits above so many bits of hash.
+MANY = 2047
+HASH_BITS = 52
+
+
 @dataclass(frozen=True)
 class Settings:
     """``percent`` is the similarity; ``deviations`` sets how surely a sample keeps linked sets.
@@ -208,30 +213,62 @@ def _whole_sets(docs: DataFrame, candidates: DataFrame, settings: Settings, stag
     )
 
 
+def counted_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``node, key`` from rows ``h, node`` sorted by ``h``, for every ``h`` of two rows or more.
+
+    The key orders tokens: how many rows hold the token, up to ``MANY``, in the upper bits, and
+    its hash in the lower ones. Holds one batch and at most ``MANY`` rows of a run.
+    """
+    held_h = np.zeros(0, dtype=np.int64)
+    held_node = np.zeros(0, dtype=np.int64)
+    crowded = None
+
+    def emit(h: np.ndarray, node: np.ndarray, many: np.ndarray) -> pa.RecordBatch:
+        low = h.view(np.uint64) >> np.uint64(64 - HASH_BITS)
+        key = (many.astype(np.uint64) << np.uint64(HASH_BITS)) | low
+        return pa.RecordBatch.from_arrays([pa.array(node), pa.array(key.view(np.int64))], names=["node", "key"])
+
+    for batch in batches:
+        h = np.concatenate((held_h, batch.column("h").to_numpy()))
+        node = np.concatenate((held_node, batch.column("node").to_numpy()))
+        if not len(h):
+            continue
+        begin = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+        sizes = np.diff(np.append(begin, len(h)))
+        many = np.minimum(sizes, MANY)
+        if crowded is not None and h[0] == crowded:
+            many[0] = MANY
+        # The last run may go on in the next batch; a crowded one needs no more counting.
+        last = begin[-1]
+        if many[-1] == MANY:
+            crowded, last = h[-1], len(h)
+        run = np.repeat(many, sizes)[:last]
+        chosen = run > 1
+        yield emit(h[:last][chosen], node[:last][chosen], run[chosen])
+        held_h, held_node = h[last:], node[last:]
+    if len(held_h) > 1:
+        yield emit(held_h, held_node, np.full(len(held_h), len(held_h)))
+
+
 def _clusters(whole: DataFrame, settings: Settings, stages: Stages) -> DataFrame:
     """``node, cluster``: sets that may link share a cluster under both orders."""
-    tokens = whole.select("node", "n", F.explode("tokens").alias("h"))
-    common = stages.write(
-        tokens.groupBy("h").agg(F.count(F.lit(1)).alias("many")).where(F.col("many") > 1)
+    shared = (
+        whole.select("node", F.explode("tokens").alias("h"))
+        .repartition("h").sortWithinPartitions("h").mapInArrow(counted_runs, "node long, key long")
+        .groupBy("node").agg(F.collect_list("key").alias("held"))
     )
     least = F.ceil(F.col("n") * settings.percent / F.lit(100))
     # Tokens that no other candidate holds come first in both orders and match nothing.
     prefix = F.col("n") - least + 1 - (F.col("n") - F.size("held"))
-    held = (
-        tokens.join(common, "h").groupBy("node", "n")
-        .agg(F.collect_list(F.struct("many", "h")).alias("held"))
-        .withColumn("prefix", prefix.cast("int")).where(F.col("prefix") > 0)
-    )
+    held = shared.join(whole.select("node", "n"), "node").withColumn("prefix", prefix.cast("int"))
+    by_hash = F.sort_array(F.transform("held", lambda x: F.struct(F.xxhash64(x).alias("order"), x.alias("key"))))
     held = stages.write(
-        held.select(
-            "node",
-            F.slice(F.sort_array("held"), F.lit(1), F.col("prefix"))["h"].alias("rare"),
-            F.slice(
-                F.sort_array(F.transform("held", lambda x: F.struct(F.xxhash64(x["h"]).alias("k"), x["h"].alias("h")))),
-                F.lit(1), F.col("prefix"),
-            )["h"].alias("hashed"),
+        held.where(F.col("prefix") > 0).select(
+            "node", F.slice(F.sort_array("held"), F.lit(1), F.col("prefix")).alias("rare"),
+            F.slice(by_hash, F.lit(1), F.col("prefix"))["key"].alias("hashed"),
         )
     )
+    stages.release()
     cluster = None
     for order in ("rare", "hashed"):
         rows = held.select("node", F.explode(order).alias("h"))
@@ -274,6 +311,7 @@ def intersections(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarr
 def _links(whole: DataFrame, cluster: DataFrame, settings: Settings, stages: Stages) -> DataFrame:
     """``u, v``: a spanning forest of the links inside every pair of blocks."""
     members = stages.write(whole.join(cluster, "node"))
+    stages.release()
     sizes = stages.write(
         members.groupBy("cluster").agg(F.sum("n").alias("size")).where(F.col("size") > settings.block_tokens)
     )
@@ -333,10 +371,15 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     stages = Stages(docs.sparkSession, "shingle-join")
     signed = stages.write(_signatures(docs, settings))
     nodes, candidates = _candidates(signed, stages)
+    rows = stages.write(signed.select("doc_id", "n", "node"))
+    stages.drop(signed)
+    stages.release()
     whole = _whole_sets(docs, candidates, settings, stages)
+    stages.release()
     cluster = _clusters(whole, settings, stages)
     links = stages.write(_links(whole, cluster, settings, stages))
     stages.drop(whole)
+    stages.release()
     found = stages.write(components(links, stages))
     smallest = stages.write(
         found.join(nodes, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
@@ -345,7 +388,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         nodes.join(found.join(smallest, "component").select("node", "component_id"), "node", "left")
         .select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
     )
-    return signed.select("doc_id", "n", "node").join(by_node, "node", "left").select(
+    return rows.join(by_node, "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
     )

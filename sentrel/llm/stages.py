@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -56,6 +57,14 @@ class Stages:
                 )
 
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished jobs now; else they stay until the
+        driver happens to collect its garbage.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
+
 def sorted_groups(
     df: DataFrame,
     keys: list[str],

@@ -274,3 +274,42 @@ def test_language_of_odd_rows(spark):
     empty = documents(spark, [])
     assert language.train(empty, 4, 2, settings) == ([], None)
     assert {r["lang_pred"] for r in language.identify(docs, [], None, 4, 2).collect()} == {"und"}
+
+
+@pytest.mark.parametrize("step", [1, 2, 3, 7, 50])
+def test_runs_across_batches(step, monkeypatch):
+    import collections
+
+    import numpy as np
+    import pyarrow as pa
+
+    monkeypatch.setattr(shingle_join, "MANY", 4)
+    rng = np.random.default_rng(step)
+    for _ in range(60):
+        n = int(rng.integers(1, 50))
+        h = np.sort(rng.integers(-6, 6, n)) << 40
+        node, counts = rng.integers(-2, 3, n) + 2**61, rng.integers(0, 2, n).astype(bool)
+        order = np.lexsort((node, h))
+        h, node, counts = h[order], node[order], counts[order]
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array(x[i : i + step]) for x in (h, node, counts)], names=["h", "node", "counts"])
+            for i in range(0, n, step)
+        ]
+        wanted: collections.Counter = collections.Counter()
+        for value in set(h):
+            own = h == value
+            if len(set(node[own])) > 1:
+                wanted.update(node[own][counts[own]].tolist())
+        found: collections.Counter = collections.Counter()
+        for out in shingle_join.shared_runs(iter(batches)):
+            for a, k in zip(*(c.to_pylist() for c in out.columns)):
+                found[a] += k
+        assert found == wanted
+        many = collections.Counter(h.tolist())
+        keys = sorted(
+            (a, k) for out in shingle_join.counted_runs(iter(batches)) for a, k in zip(*(c.to_pylist() for c in out.columns))
+        )
+        low = [int(x) for x in h.view(np.uint64) >> np.uint64(12)]
+        assert keys == sorted(
+            (int(a), (min(many[int(x)], 4) << 52) | y) for a, x, y in zip(node, h, low) if many[int(x)] > 1
+        )
