@@ -171,6 +171,7 @@ def repeated_lines(docs: DataFrame, settings: Settings = Settings()) -> tuple[Da
     ).groupBy("doc").agg(F.collect_set("place").alias("places"))
     found = stages.write(places.join(documents.select("doc", "doc_id", "text_key"), "doc").drop("doc"))
     stages.drop(documents, symbols, windows, named, first)
+    stages.release()
     return found, stages
 
 
@@ -187,10 +188,11 @@ def line_dedup(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """
     found, _ = repeated_lines(docs, settings)
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    # The lines to delete grow with the corpus: texts meet them by key at every size.
     other = found.select(
         F.col("doc_id").alias("__doc_id"), F.col("text_key").alias("__text_key"),
         F.col("places").alias("__places"),
-    )
+    ).hint("merge")
     lines = F.split("text", "\n")
     places = F.coalesce("__places", F.array().cast("array<int>"))
     kept = F.filter(lines, lambda x, i: ~F.array_contains(places, i))
