@@ -10,8 +10,11 @@ SEVERITY_RANK = {"low": 1, "medium": 2, "high": 3, "critical": 4}
 
 NOT_SET = "Not set"
 
-# From the first to the last character that is not whitespace.
-_CORE = r"(?sU)[^\s\x1c-\x1f](?:.*[^\s\x1c-\x1f])?"
+# The characters that count as whitespace.
+_SPACES = "".join(
+    map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+)
 
 # The usual form, which Spark casts as it stands.
 _PLAIN_ISO = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?(?:Z|[+-]\d{2}:\d{2})$"
@@ -35,7 +38,7 @@ def blank_to_null(value: Column) -> Column:
 
 def clean(value: Column) -> Column:
     """Strip surrounding whitespace; blank becomes null."""
-    return F.get(F.regexp_extract_all(value, F.lit(_CORE), F.lit(0)), 0)
+    return blank_to_null(F.btrim(value, F.lit(_SPACES)))
 
 
 def lower_clean(value: Column) -> Column:

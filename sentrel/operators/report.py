@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentrel.functions.text import blank_to_null, display, utc_text
-from sentrel.operators.summary import Evidence, id_pieces, instant, pieces
+from sentrel.operators.summary import Evidence, instant, pieces
+from sentrel.session import materialize
 
 # Wording and layout of the report.
 NO_DESCRIPTION = "No incident description is available."
@@ -62,7 +61,9 @@ def report_pieces(
     """
     shown, own_alerts, own_events = evidence.incidents, evidence.alerts, evidence.events
     alert_counts = own_alerts.groupBy("incident_id").agg(F.count(F.lit(1)).alias("alerts"))
-    event_counts = own_events.groupBy("incident_id").agg(F.count(F.lit(1)).alias("events"))
+    event_counts = own_events.groupBy("incident_id").agg(
+        F.count(F.lit(1)).alias("events"), F.min("event_id").alias("smallest")
+    )
     heads = (
         shown.join(alert_counts, "incident_id", "left")
         .join(event_counts, "incident_id", "left")
@@ -85,6 +86,7 @@ def report_pieces(
             "incident_id",
             "left",
         )
+    heads = materialize(heads, "report-heads")
     summarized = F.col("technical_summary").isNotNull()
     executive = F.coalesce(
         "executive_summary",
@@ -144,8 +146,7 @@ def report_pieces(
         F.coalesce(blank_to_null(bullets), F.lit(NO_STEPS)),
         F.lit("\n" + CLOSING),
     )
-    has_summary = heads.select("incident_id", summarized.alias("summarized"))
-    timeline_rows = own_events.join(has_summary, "incident_id")
+    has_summary = heads.select("incident_id", summarized.alias("summarized"), "smallest")
     # A stored timeline names system and type; the fallback adds the message.
     timeline_line = F.concat(
         F.lit("- **"), utc_text(F.col("event_timestamp")), F.lit("** - Event "),
@@ -170,25 +171,40 @@ def report_pieces(
         ),
         F.lit(" |\n"),
     )
-    evidence_ids = own_events.select("incident_id", "event_id")
-    summarized_ids = timeline_rows.where("summarized").select("incident_id", "event_id")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            pieces(heads, 1, opening),
-            id_pieces(summarized_ids, 2),
-            pieces(heads, 3, timeline_opening),
-            pieces(
-                timeline_rows, 4, timeline_line,
-                instant(F.col("event_timestamp")), F.col("event_id"),
-            ),
-            pieces(heads, 5, alerts_opening),
+    # Every head and every event is read once and gives all its pieces.
+    head_pieces = [
+        _piece(section, text)
+        for section, text in (
+            (1, opening), (3, timeline_opening), (5, alerts_opening), (7, ids_opening), (9, ending)
+        )
+    ]
+    separator = F.when(F.col("event_id") == F.col("smallest"), F.lit("")).otherwise(F.lit(", "))
+    listed = F.concat(separator, F.col("event_id").cast("string"))
+    event_pieces = [
+        _piece(4, timeline_line, instant(F.col("event_timestamp")), F.col("event_id")),
+        _piece(8, listed, F.col("event_id")),
+    ]
+    with_summary = F.array(_piece(2, listed, F.col("event_id")), *event_pieces)
+    return (
+        heads.select("incident_id", F.inline(F.array(*head_pieces)))
+        .unionByName(
+            own_events.join(has_summary, "incident_id").select(
+                "incident_id",
+                F.inline(F.when(F.col("summarized"), with_summary).otherwise(F.array(*event_pieces))),
+            )
+        )
+        .unionByName(
             pieces(
                 own_alerts, 6, alert_line,
                 F.col("rule_no"), instant(F.col("anchor_ts")), F.col("anchor_id"),
-            ),
-            pieces(heads, 7, ids_opening),
-            id_pieces(evidence_ids, 8),
-            pieces(heads, 9, ending),
-        ],
+            )
+        )
+    )
+
+
+def _piece(section: int, text: Column, *place: Column) -> Column:
+    return F.struct(
+        F.lit(section).alias("section"),
+        F.array(*(part.cast("bigint") for part in place)).cast("array<bigint>").alias("place"),
+        text.alias("text"),
     )

@@ -61,14 +61,15 @@ def gather_evidence(
 ) -> Evidence:
     """Evidence of all visible incidents, other scopes' alerts and events left out.
 
-    The event rows are written once, since everything below reads them several times and the
-    event table itself is by far the largest input.
+    All three are written once, since everything below reads them several times and the event
+    table itself is by far the largest input.
     """
     shown = visible_incidents(incidents, alerts)
     evidence = links.select("incident_id", "event_id").distinct().join(events, "event_id")
+    shown = materialize(shown, "visible-incidents")
     return Evidence(
         shown,
-        _in_incident_scope(alerts, shown),
+        materialize(_in_incident_scope(alerts, shown), "incident-alerts"),
         materialize(_in_incident_scope(evidence, shown), "incident-evidence"),
     )
 
