@@ -215,7 +215,15 @@ def _source(name: str) -> str:
     return f"{S} SELECT event_id AS record_no, {COLS} FROM {name}"
 
 
+# Rows that are written to files and read back.
+FILE_ROWS = (
+    f"WITH {EVENTS.strip()} SELECT event_id, coalesce(username, '') AS username, "
+    "'first \"' || coalesce(asset, '') || '\"' || chr(10) || 'second, ' || event_id AS note FROM ev"
+)
+
 SQL: dict[str, str] = {
+    "csv_records": FILE_ROWS,
+    "ndjson_records": FILE_ROWS,
     "normalize_auth": _source("n_auth"),
     "normalize_vpn": _source("n_vpn"),
     "normalize_cloud": _source("n_cloud"),

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrel.operators import normalize, profile, uploads
 from sentrel.plans.registry import query
-from sentrel.session import materialize
 from sentrel.schema import NORMALIZED_COLUMNS, TARGET_FIELDS
-from sentrel.sources import feeds, records
+from sentrel.session import materialize, shared_dir
+from sentrel.sources import feeds, files, records
+from sentrel.sources.telemetry import canonical_events
 
 
 def _uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +129,44 @@ def ndjson_reject_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("dataset_id", "file_name", "line_no", "reason")
 
 
+def _file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as file rows; the note holds commas, quotes and a line break."""
+    note = F.concat(
+        F.lit('first "'), F.coalesce("asset", F.lit("")), F.lit('"\nsecond, '), F.col("event_id").cast("string")
+    )
+    return canonical_events(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.coalesce("username", F.lit("")).alias("username"), note.alias("note"),
+    )
+
+
+def _cells(payloads: DataFrame) -> DataFrame:
+    cell = {name: F.get_json_object("payload", f"$.{name}") for name in ("event_id", "username", "note")}
+    return payloads.select(
+        cell["event_id"].cast("bigint").alias("event_id"), cell["username"].alias("username"), cell["note"].alias("note")
+    )
+
+
+@query
+def csv_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events written as CSV in two column orders, with quoted line breaks, and read back."""
+    rows, root = _file_rows(spark, sf_dir), f"{shared_dir(spark)}/stages/csv-{uuid.uuid4().hex}"
+    even = F.col("event_id").cast("bigint") % 2 == 0
+    for folder, part in (
+        ("a", rows.where(even)), ("b", rows.where(~even).select("note", "event_id", "username"))
+    ):
+        part.write.option("header", True).option("escape", '"').csv(f"{root}/{folder}")
+    return _cells(files.read_csv(spark, [f"{root}/a", f"{root}/b"]))
+
+
+@query
+def ndjson_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events written as lines of JSON and read back."""
+    path = f"{shared_dir(spark)}/stages/ndjson-{uuid.uuid4().hex}"
+    _file_rows(spark, sf_dir).select(F.to_json(F.struct("*"))).write.text(path)
+    return _cells(files.read_ndjson(spark, path))
+
+
 @query
 def flatten_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every leaf field of every uploaded record."""
