@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrel.operators import (
-    correlate, evidence, normalize, profile, report, rules, summary, uploads,
+    browse, correlate, evidence, normalize, profile, report, rules, summary, uploads,
 )
 from sentrel.session import configure, materialize
 from sentrel.sources import files, sinks
@@ -52,6 +52,45 @@ def describe_upload(
     ).select("dataset_id", "name", "description", "created_at", "status", "source_type", "record_count")
 
 
+def register_upload(
+    store: Store, path: str, dataset_id: int, name: str, source_type: str,
+    created_at: datetime, description: str | None = None,
+) -> None:
+    """Check, profile and store a new upload: its dataset row and its files."""
+    row = describe_upload(store.spark, path, dataset_id, name, source_type, created_at, description)
+    found = store.spark.read.format("binaryFile").load(path).select(
+        F.lit(dataset_id).cast("bigint").alias("dataset_id"),
+        F.col("_metadata.file_name").alias("original_filename"),
+        F.col("length").alias("size_bytes"),
+    )
+    sinks.append_dataset(store, row, created_at)
+    sinks.append_files(store, found)
+
+
+def list_uploads(store: Store) -> DataFrame:
+    """Stored datasets with their files, newest first."""
+    return browse.list_uploads(sinks.datasets(store), sinks.uploaded_files(store))
+
+
+def map_upload(
+    store: Store, path: str, dataset_id: int, source_type: str, fresh: DataFrame, changed_at: datetime
+) -> None:
+    """Replace a dataset's stored mappings; an empty ``fresh`` clears them."""
+    suggestions = inspect_upload(store.spark, path, dataset_id, source_type)
+    only = store.spark.range(dataset_id, dataset_id + 1).withColumnRenamed("id", "dataset_id")
+    sinks.store_mappings(store, fresh, suggestions, changed_at, only)
+
+
+def mapping_list(store: Store, dataset_id: int) -> DataFrame:
+    return profile.dataset_mappings(sinks.mappings(store), dataset_id)
+
+
+def preview_upload(store: Store, path: str, dataset_id: int, source_type: str, limit: int = 10) -> DataFrame:
+    """The first records of an upload as its stored mappings would load them."""
+    records = files.read_upload(store.spark, path, dataset_id, source_type)
+    return uploads.preview(records, sinks.mappings(store), limit)
+
+
 def load_upload(
     store: Store,
     path: str,
@@ -62,11 +101,12 @@ def load_upload(
 ) -> dict[str, int]:
     """Normalize and store one upload; strict as the default, as one bad time voids it.
 
-    A lenient load stores what it could not read as records in the table ``upload_rejects``.
+    Without ``mappings`` the stored ones of the dataset apply. A lenient load stores what it could not read as records in the table ``upload_rejects``.
     """
+    chosen = sinks.mappings(store) if mappings is None else mappings
     records = files.read_upload(store.spark, path, dataset_id, source_type, strict)
     numbered = files.with_event_ids(records.withColumn("source_name", F.col("source_type")))
-    normalized = uploads.timestamp_gate(uploads.normalize_uploads(numbered, mappings), strict)
+    normalized = uploads.timestamp_gate(uploads.normalize_uploads(numbered, chosen), strict)
     if not strict:
         sinks.append_rejects(store, files.upload_rejects(store.spark, path, dataset_id))
     return sinks.append_events(store, normalized)

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sentrel.functions.payload import canonical_json
+from sentrel.operators.profile import EDITABLE_STATUSES, replace_mappings
 from sentrel.operators.rules import new_alerts, null_safe_join
 from sentrel.operators.summary import technical_pieces
 from sentrel.schema import (
     ALERT_SCHEMA, DATASET_SCHEMA, EVENT_SCHEMA, INCIDENT_EVENT_SCHEMA, INCIDENT_SCHEMA,
+    MAPPING_SCHEMA,
 )
 from sentrel.session import materialize
 from sentrel.sources.records import RAW_KEYS, first_of_each, not_stored
@@ -183,6 +185,58 @@ def set_status(
     append_dataset(store, row, changed_at)
 
 
+# ------------------------------------------------------------------- uploads and mappings
+
+_FILE = "dataset_id bigint, original_filename string, size_bytes bigint"
+_MAPPING_SET = "dataset_id bigint, changed_at timestamp"
+_MAPPING_ROW = T.StructType([*MAPPING_SCHEMA.fields, T.StructField("changed_at", T.TimestampType())])
+
+
+def append_files(store: Store, found: DataFrame) -> None:
+    """Store the files of an upload once."""
+    keys = ["dataset_id", "original_filename"]
+    store.append("uploaded_files", not_stored(found, uploaded_files(store), keys))
+
+
+def uploaded_files(store: Store) -> DataFrame:
+    return store.read("uploaded_files", _FILE)
+
+
+def mappings(store: Store) -> DataFrame:
+    """The mapping rows of every dataset, as its latest stored set has them."""
+    latest = (
+        store.read("mapping_sets", _MAPPING_SET).groupBy("dataset_id")
+        .agg(F.max("changed_at").alias("changed_at"))
+    )
+    rows = store.read("mapping_rows", _MAPPING_ROW)
+    return rows.join(latest, ["dataset_id", "changed_at"]).select(*MAPPING_SCHEMA.fieldNames())
+
+
+def store_mappings(
+    store: Store, fresh: DataFrame, suggestions: DataFrame, changed_at: datetime,
+    replaced: DataFrame | None = None,
+) -> None:
+    """Store new mapping sets and the status that follows; sets are versions, nothing is rewritten.
+
+    ``replaced`` lists the datasets whose set changes, by default those in ``fresh``; one without
+    fresh rows has an empty set from now on. Datasets that are unknown or locked are an error.
+    """
+    stamp = F.lit(changed_at).cast("timestamp")
+    touched = (fresh if replaced is None else replaced).select("dataset_id").distinct()
+    known = datasets(store)
+    locked = touched.join(
+        known.where(F.col("status").isin(*EDITABLE_STATUSES)), "dataset_id", "left_anti"
+    ).head(1)
+    if locked:
+        raise LookupError(f"Dataset {locked[0]['dataset_id']} is unknown or its mappings are locked")
+    _, updated = replace_mappings(mappings(store), known, fresh, suggestions, replaced)
+    changed = materialize(updated.join(touched, "dataset_id", "left_semi"), "mapped-datasets")
+    rows = fresh.join(touched, "dataset_id", "left_semi").select(*MAPPING_SCHEMA.fieldNames())
+    store.append("mapping_rows", rows.withColumn("changed_at", stamp))
+    store.append("mapping_sets", touched.withColumn("changed_at", stamp))
+    append_dataset(store, changed, changed_at)
+
+
 # ------------------------------------------------------------------- alerts and incidents
 
 

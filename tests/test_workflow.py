@@ -291,3 +291,27 @@ def test_upload_listing(spark):
     assert [row["dataset_id"] for row in rows] == [2, 1]
     assert [item["original_filename"] for item in rows[1]["files"]] == ["a.csv", "b.csv"]
     assert rows[0]["files"] == []
+
+
+def test_stored_mappings_and_uploads(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    path = tmp_path / "m.json"
+    path.write_text('[{"when": "2026-03-02T08:00:00Z", "who": "Ann", "time": "2020-01-01"}]')
+    workflow.register_upload(store, str(path), 7, "m", "generic", RUN_AT)
+    [listed] = workflow.list_uploads(store).collect()
+    assert [tuple(f) for f in listed["files"]] == [("m.json", path.stat().st_size)]
+    columns = "dataset_id bigint, source_field string, target_field string, transformation_type string, default_value string"
+    rows = [(7, "when", "timestamp", "direct", None), (7, "who", "username", "uppercase", None)]
+    workflow.map_upload(store, str(path), 7, "generic", spark.createDataFrame(rows, columns), RUN_AT)
+    assert [r["source_field"] for r in workflow.mapping_list(store, 7).collect()] == ["when", "who"]
+    shown = workflow.preview_upload(store, str(path), 7, "generic").first()
+    assert (shown["username"], shown["event_timestamp"].year) == ("ANN", 2026)
+    later = RUN_AT + timedelta(minutes=1)
+    workflow.map_upload(store, str(path), 7, "generic", spark.createDataFrame([], columns), later)
+    assert workflow.mapping_list(store, 7).count() == 0
+    assert sinks.datasets(store).first()["status"] == "ready_to_normalize"
+    with pytest.raises(LookupError):
+        workflow.map_upload(store, str(path), 8, "generic", spark.createDataFrame([], columns), later)
+    workflow.map_upload(store, str(path), 7, "generic", spark.createDataFrame(rows, columns), later + timedelta(minutes=1))
+    workflow.load_upload(store, str(path), 7, "generic")
+    assert sinks.events(store).first()["username"] == "ANN"
