@@ -161,7 +161,8 @@ def brute_force(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
     Counting is a running total, not a self-join: each success puts an opening mark at the
     window start and a closing mark at its own time into the ordered failures; the difference
     of the two totals is the number of failures between them. Keys are cut into window-sized
-    time cells, so a busy account is many partitions.
+    time cells, so a busy account is many partitions; successes of one instant share their
+    marks, so a cell holds no more rows than its window has instants.
     """
     keys = ["dataset_id", "username", "source_ip"]
     width = cfg.brute_force_window_us
@@ -182,9 +183,7 @@ def brute_force(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
         F.lit(1).alias("mark"),
         "n",
         F.col("t").alias("failure_t"),
-        nothing.alias("event_id"),
         nothing.alias("s_t"),
-        F.lit(None).cast("string").alias("asset"),
     )
     # Marks 0 and 2 sort before and after failures of the same instant: closed bounds.
     marks = F.explode(
@@ -193,12 +192,11 @@ def brute_force(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
             F.struct(F.col("s_t").alias("t"), F.lit(2).alias("mark")),
         )
     )
-    mark_rows = successes.select(
-        *keys, "event_id", "s_t", "asset", floor_cell(F.col("s_t"), width).alias("cell"),
-        marks.alias("m"),
+    mark_rows = successes.select(*keys, "s_t").distinct().select(
+        *keys, "s_t", floor_cell(F.col("s_t"), width).alias("cell"), marks.alias("m"),
     ).select(
         *keys, "cell", "m.t", "m.mark", F.lit(0).cast("bigint").alias("n"),
-        nothing.alias("failure_t"), "event_id", "s_t", "asset",
+        nothing.alias("failure_t"), "s_t",
     )
     order = "PARTITION BY dataset_id, username, source_ip, cell ORDER BY t, mark"
     counted = (
@@ -211,7 +209,7 @@ def brute_force(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
         .where(F.col("mark") != 1)
     )
     hits = (
-        counted.groupBy(*keys, "cell", "event_id", "s_t", "asset")
+        counted.groupBy(*keys, "s_t")
         .agg(
             (
                 F.max(F.when(F.col("mark") == 2, F.col("running")))
@@ -221,6 +219,7 @@ def brute_force(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
         )
         .where(F.col("failures") >= cfg.brute_force_failures)
     )
+    hits = null_safe_join(successes, hits, [*keys, "s_t"], "inner")
     when = F.timestamp_micros("s_t")
     return _candidate(
         hits,
@@ -296,9 +295,7 @@ def vpn_privilege(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
         F.lit(1).alias("mark"),
         "n",
         F.struct("t", "last.event_id", "last.asset").alias("action"),
-        nothing.alias("event_id"),
         nothing.alias("v_t"),
-        F.lit(None).cast("string").alias("asset"),
     )
     marks = F.explode(
         F.array(
@@ -306,13 +303,11 @@ def vpn_privilege(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
             F.struct((F.col("v_t") + width).alias("t"), F.lit(2).alias("mark")),
         )
     )
-    mark_rows = connects.select(
-        *keys, "event_id", "v_t", "asset", floor_cell(F.col("v_t"), width).alias("cell"),
-        marks.alias("m"),
+    mark_rows = connects.select(*keys, "v_t").distinct().select(
+        *keys, "v_t", floor_cell(F.col("v_t"), width).alias("cell"), marks.alias("m"),
     ).select(
         *keys, "cell", "m.t", "m.mark", F.lit(0).cast("bigint").alias("n"),
-        F.lit(None).cast("struct<t:bigint,event_id:bigint,asset:string>").alias("action"),
-        "event_id", "v_t", "asset",
+        F.lit(None).cast("struct<t:bigint,event_id:bigint,asset:string>").alias("action"), "v_t",
     )
     so_far = (
         Window.partitionBy(*keys, "cell")
@@ -326,7 +321,7 @@ def vpn_privilege(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
         .where(F.col("mark") != 1)
     )
     hits = (
-        counted.groupBy(*keys, "cell", "event_id", "v_t", "asset")
+        counted.groupBy(*keys, "v_t")
         .agg(
             (
                 F.max(F.when(F.col("mark") == 2, F.col("running")))
@@ -336,6 +331,7 @@ def vpn_privilege(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
         )
         .where(F.col("actions") >= 1)
     )
+    hits = null_safe_join(connects, hits, [*keys, "v_t"], "inner")
     start = F.timestamp_micros("v_t")
     return _candidate(
         hits,

@@ -2,7 +2,7 @@
 
 The table is a click-stream. A fixed projection turns each row into one canonical event,
 compressing every week into a two-hour burst so that the minute-scale rules have something
-to find. ``raw_feed`` renders the same rows as source records for the ingest jobs.
+to find. ``sources.feeds`` renders the same rows as source records for the ingest jobs.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
 BURST_FACTOR = 84  # one week / two hours
 
 

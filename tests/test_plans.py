@@ -43,6 +43,23 @@ def test_no_cross_joins_or_python_in_the_jobs(spark, events, alerts):
         text = plan(df)
         for name in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "BatchEvalPython"):
             assert name not in text
+    # Only the first-fit over tied components runs in Python.
+    for df in (rules.detect(events), evidence.alert_evidence(alerts, events)):
+        assert "MapInPandas" not in plan(df)
+
+
+def test_anchors_of_one_instant_share_a_window_row(spark):
+    """100,000 anonymous successes at one instant: the window sees two marks, all are found."""
+    nobody = {"username": None, "source_ip": None}
+    failures = [failure(i, minutes(i % 3), **nobody) for i in range(1, 4)]
+    first = frame(spark, [*failures, event(9, minutes(4), **nobody)])
+    last = first.where("event_id = 9")
+    events = first.where("event_id < 9").unionByName(
+        spark.range(100_000).withColumnRenamed("id", "n").join(last).withColumn("event_id", F.col("n") + 9).drop("n")
+    ).select(first.columns)
+    found = rules.brute_force(events)
+    assert found.count() == 100_000
+    assert found.select("evidence_count").distinct().first()[0] == 4
 
 
 def test_large_sides_are_joined_by_key_when_broadcast_is_off(spark, events, alerts):
