@@ -6,8 +6,63 @@ The feeds are restated as columns; nothing here parses JSON.
 from __future__ import annotations
 
 from oracles.base import EVENTS
-from sentrel.functions.aliases import SUGGESTED
-from sentrel.schema import TARGET_FIELDS
+
+# The canonical target fields, in mapping order; only the first is required.
+TARGET_FIELDS = (
+    "timestamp",
+    "source_system",
+    "event_type",
+    "username",
+    "source_ip",
+    "destination_ip",
+    "asset",
+    "action",
+    "outcome",
+    "severity",
+    "mitre_technique_id",
+    "message",
+)
+
+# Names that suggest a target field when a schema is inspected, targets in order.
+SUGGESTED = {
+    "timestamp": (
+        "timestamp", "time", "event_time", "eventTime", "activityDateTime", "published",
+        "createdDateTime", "observed_at", "datetime",
+    ),
+    "source_system": (
+        "source_system", "source", "system", "log_source", "product", "eventSource", "service",
+        "appDisplayName",
+    ),
+    "event_type": (
+        "event_type", "type", "event_name", "request_category", "alert_type", "category",
+        "riskEventType",
+    ),
+    "username": (
+        "username", "user", "user_name", "account", "actor", "userPrincipalName", "principal",
+        "src_user", "actor.alternateId", "userIdentity.userName",
+    ),
+    "source_ip": (
+        "source_ip", "src_ip", "client_ip", "ipAddress", "sourceIPAddress", "client.ipAddress",
+        "remote_ip", "ip", "sourceAddress",
+    ),
+    "destination_ip": (
+        "destination_ip", "dest_ip", "dst_ip", "target_ip", "assigned_private_ip", "server_ip",
+    ),
+    "asset": (
+        "asset", "host", "hostname", "device", "computer", "device_name", "device.hostname",
+        "deviceDetail.displayName", "target_resource", "resource",
+    ),
+    "action": (
+        "action", "operation", "operationName", "activity", "eventName", "event_action",
+    ),
+    "outcome": (
+        "outcome", "result", "status", "status_code", "response_code", "errorCode",
+        "status.errorCode", "status.failureReason",
+    ),
+    "severity": ("severity", "level", "risk", "priority", "riskLevelDuringSignIn"),
+    "mitre_technique_id": ("mitre_technique_id", "technique_id", "mitre", "technique"),
+    "message": ("message", "reason", "description", "details", "alert", "failureReason"),
+}
 
 BASE = EVENTS.strip() + """,
 r AS (SELECT s.event_id, s.u, s.kind, s.k, e.t, 'user-' || s.u AS usr, '203.0.113.' || (s.u % 200) AS ip,
