@@ -32,7 +32,8 @@ class Stages:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/stages/{job}-{uuid.uuid4().hex}"
         self._count = 0
-        self._paths: dict[int, str] = {}
+        # By the frame's id; holding the frame keeps the id its own.
+        self._held: dict[int, tuple[str, DataFrame]] = {}
 
     def write(self, df: DataFrame) -> DataFrame:
         """Cut the lineage: the rows survive lost executors and are computed once."""
@@ -40,23 +41,19 @@ class Stages:
         self._count += 1
         df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
-        self._paths[id(back)] = path
-        # Keeps the frame alive, so that its id stays its own.
-        self._paths[-id(back)] = back  # type: ignore[assignment]
+        self._held[id(back)] = path, back
         return back
 
     def drop(self, *frames: DataFrame) -> None:
         jvm = self.spark.sparkContext._jvm
         for frame in frames:
-            path = self._paths.pop(id(frame), None)
-            self._paths.pop(-id(frame), None)
-            if path:
-                where = jvm.org.apache.hadoop.fs.Path(path)
+            held = self._held.pop(id(frame), None)
+            if held:
+                where = jvm.org.apache.hadoop.fs.Path(held[0])
                 where.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(
                     where, True
                 )
 
-
     def release(self) -> None:
         """Let Spark delete the shuffle files of finished jobs now; else they stay until the
         driver happens to collect its garbage.
