@@ -112,6 +112,13 @@ def load_upload(
     return sinks.append_events(store, normalized)
 
 
+def browse_stored_events(
+    store: Store, start: datetime | None = None, end: datetime | None = None, **filters
+) -> DataFrame:
+    """A page of stored events (see ``browse.browse_events``); time bounds read only their days."""
+    return browse.browse_events(sinks.events(store, start, end), start=start, end=end, **filters)
+
+
 def detect(
     store: Store, dataset_id: int | None = None, everything: bool = False
 ) -> dict[str, int]:

@@ -129,8 +129,14 @@ def append_events(store: Store, normalized: DataFrame) -> dict[str, int]:
     }
 
 
-def events(store: Store) -> DataFrame:
-    return store.read("normalized_events", EVENT_SCHEMA)
+def events(store: Store, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """Stored events; with time bounds, those of the days between, which prunes the day folders."""
+    df = store.read("normalized_events", EVENT_SCHEMA, dated=True)
+    if start:
+        df = df.where(F.col("event_date") >= F.to_date(F.lit(start)))
+    if end:
+        df = df.where(F.col("event_date") <= F.to_date(F.lit(end)))
+    return df.select(*EVENT_SCHEMA.fieldNames())
 
 
 _REJECT = "dataset_id bigint, file_name string, record_no bigint, reason string"

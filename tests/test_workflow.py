@@ -315,3 +315,12 @@ def test_stored_mappings_and_uploads(spark, tmp_path):
     workflow.map_upload(store, str(path), 7, "generic", spark.createDataFrame(rows, columns), later + timedelta(minutes=1))
     workflow.load_upload(store, str(path), 7, "generic")
     assert sinks.events(store).first()["username"] == "ANN"
+
+
+def test_time_bounds_prune_days(spark, store):
+    start, end = datetime(2026, 3, 2), datetime(2026, 3, 3)
+    page = workflow.browse_stored_events(store, start, end)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    text = page._jdf.queryExecution().explainString(mode)
+    assert "PartitionFilters: [isnotnull(event_date" in text
+    assert page.count() == browse.browse_events(sinks.events(store), start=start, end=end).count() > 0
