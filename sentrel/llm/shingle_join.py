@@ -204,7 +204,8 @@ def _whole_sets(docs: DataFrame, candidates: DataFrame, settings: Settings, stag
     found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("place", place).mapInArrow(
         run, "doc_id long, node long, tokens array<long>"
     )
-    rows = candidates.withColumnsRenamed({"node": "__node", "doc_id": "__doc"})
+    # Candidates grow with the corpus: whole sets meet them by key at every size.
+    rows = candidates.withColumnsRenamed({"node": "__node", "doc_id": "__doc"}).hint("merge")
     exact = found.join(
         rows, (F.col("node") == F.col("__node")) & F.col("doc_id").eqNullSafe(F.col("__doc"))
     )
@@ -310,7 +311,7 @@ def intersections(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarr
 
 def _links(whole: DataFrame, cluster: DataFrame, settings: Settings, stages: Stages) -> DataFrame:
     """``u, v``: a spanning forest of the links inside every pair of blocks."""
-    members = stages.write(whole.join(cluster, "node"))
+    members = stages.write(whole.join(cluster.hint("merge"), "node"))
     stages.release()
     sizes = stages.write(
         members.groupBy("cluster").agg(F.sum("n").alias("size")).where(F.col("size") > settings.block_tokens)
