@@ -1,8 +1,9 @@
 """Mixing documents to target shares by iterative proportional fitting.
 
 Token counts of the cells source x language x topic are raked: in turn, the cells of every source,
-language and topic are scaled to that value's target share, until all three marginals hold. A
-document is then kept with a probability in proportion to its cell's weight. DataFrame work only.
+language and topic are scaled to that value's target share, until all three marginals hold. The
+sample's size is set beforehand and a cell's weight is its documents' probability: no weight passes
+1, and what a full cell or value cannot give the others do. DataFrame work only.
 """
 
 from __future__ import annotations
@@ -37,10 +38,16 @@ class Settings:
 
     A dimension without targets is tempered: shares in proportion to the present ones raised to
     ``temper``, which lifts small values and lowers dominant ones.
+
+    ``keep`` is the share of all tokens that the sample holds in expectation, whatever the cells
+    are. A value whose target is more than it has is kept whole, and the others share the rest.
+    Without ``keep`` the shares hold exactly, so the cell of the largest weight sets the size: one
+    rare cell can lower it to next to nothing.
     """
 
     targets: dict[str, dict[str | None, float]] = field(default_factory=dict)
     temper: float = 0.7
+    keep: float | None = 0.3
     tolerance: float = 1e-9
     sweeps: int = 40
     seed: str = "mix"
@@ -60,7 +67,9 @@ def _prepared(docs: DataFrame, topic: Column) -> DataFrame:
 
 
 def _targets(cells: DataFrame, name: str, settings: Settings) -> DataFrame:
-    """``value, mass``: the tokens that the marginal should hold, adding up to all tokens."""
+    """``value, mass``: the tokens that the marginal should hold, adding up to all tokens, or to
+    the share ``keep`` of them with no value above what it has.
+    """
     present = cells.groupBy(name).agg(F.sum("tokens").cast("double").alias("tokens"))
     if name in settings.targets:
         rows = [
@@ -74,32 +83,68 @@ def _targets(cells: DataFrame, name: str, settings: Settings) -> DataFrame:
     totals = wanted.agg(F.sum("share"), F.sum("tokens")).first()
     if not totals[0]:
         return wanted.select(name, F.lit(0.0).alias("mass"))
-    return wanted.select(name, (F.col("share") / F.lit(totals[0]) * F.lit(totals[1])).alias("mass"))
+    if settings.keep is None:
+        return wanted.select(name, (F.col("share") / F.lit(totals[0]) * F.lit(totals[1])).alias("mass"))
+    scale, filled = 0.0, None
+    while True:
+        # Values that the scale fills stay full, as it only grows.
+        full = F.col("share") * F.lit(scale) >= F.col("tokens")
+        held, free, number = wanted.where(F.col("share") > 0).agg(
+            F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("share"))), F.count_if(full)
+        ).first()
+        if not free or number == filled:
+            break
+        scale, filled = max(scale, (settings.keep * totals[1] - (held or 0.0)) / free), number
+    mass = F.least("tokens", F.col("share") * F.lit(scale))
+    return wanted.select(name, F.when(F.col("share") > 0, mass).otherwise(0.0).alias("mass"))
+
+
+def _factor(settings: Settings) -> Column:
+    """What a value's cells are scaled by, from its ``mass`` and its ``held`` and ``full`` tokens."""
+    if settings.keep is None:
+        return F.when(F.col("held") > 0, F.col("mass") / F.col("held")).otherwise(0.0)
+    free = F.col("held") - F.col("full")
+    return (
+        F.when(F.col("held") <= 0, 0.0)
+        .when((F.col("mass") < F.col("held")) | (free <= 0), F.least(F.lit(1.0), F.col("mass") / F.col("held")))
+        .otherwise((F.col("mass") - F.col("full")) / free)
+    )
 
 
 def rake(cells: DataFrame, settings: Settings, stages: Stages) -> DataFrame:
     """``source, lang, topic, tokens, weight``: cells (of any number) raked to the targets.
 
-    A sweep fits each dimension once; every sweep's cells are written. Marginals that contradict
-    each other, or ask for values without tokens, end after ``sweeps`` sweeps.
+    A sweep fits each dimension once; every sweep's cells are written. With ``keep`` no weight
+    passes 1: scaling to a marginal and cutting at 1 are projections in turn, which end where all
+    of them hold. Marginals that contradict each other, or ask for values without tokens, end
+    after ``sweeps`` sweeps, or where a sweep changes nothing.
     """
     targets = {name: stages.write(_targets(cells, name, settings)) for name in DIMENSIONS}
-    current = cells.withColumns({"weight": F.lit(1.0), "moved": F.lit(0.0)})
+    start = 1.0 if settings.keep is None else float(settings.keep)
+    current = cells.withColumns({"weight": F.lit(start), "moved": F.lit(0.0), "before": F.lit(start)})
+    amount = F.col("tokens") * F.col("weight")
     for sweep in range(settings.sweeps):
         for name in DIMENSIONS:
-            held = current.groupBy(name).agg(F.sum(F.col("tokens") * F.col("weight")).alias("held"))
-            factors = held.join(targets[name], name).select(
-                name, F.when(F.col("held") > 0, F.col("mass") / F.col("held")).otherwise(0.0).alias("factor")
+            held = current.groupBy(name).agg(
+                F.sum(amount).alias("held"), F.sum(F.when(F.col("weight") >= 1, amount).otherwise(0.0)).alias("full")
             )
+            factors = held.join(targets[name], name).select(name, _factor(settings).alias("factor"))
+            weight = F.col("weight") * F.col("factor")
             current = current.join(factors, name).select(
-                *DIMENSIONS, "tokens", (F.col("weight") * F.col("factor")).alias("weight"),
+                *DIMENSIONS, "tokens", "before",
+                (weight if settings.keep is None else F.least(F.lit(1.0), weight)).alias("weight"),
                 F.greatest(
                     "moved", F.when(F.col("tokens") > 0, F.abs(F.col("factor") - 1)).otherwise(0.0)
                 ).alias("moved"),
             )
+        if settings.keep is not None:
+            # A full value asks for more for ever; what counts is whether weights still change.
+            change = F.abs(F.col("weight") - F.col("before")) / F.col("before")
+            moving = (F.col("tokens") > 0) & (F.col("before") > 0)
+            current = current.withColumn("moved", F.when(moving, change).otherwise(0.0))
         written = stages.write(current)
         moved = written.agg(F.max("moved")).first()[0]
-        current = written.withColumn("moved", F.lit(0.0))
+        current = written.withColumns({"moved": F.lit(0.0), "before": F.col("weight")})
         if moved is None or moved <= settings.tolerance:
             break
     return written.select(*DIMENSIONS, "tokens", "weight")
@@ -108,12 +153,13 @@ def rake(cells: DataFrame, settings: Settings, stages: Stages) -> DataFrame:
 def probabilities(docs: DataFrame, topic: Column | None = None, settings: Settings = Settings()) -> DataFrame:
     """All rows and columns of ``docs`` with ``tokens``, ``topic``, ``probability``, ``sampled``.
 
-    Tokens are words. The probability is the cell's weight over the largest weight of any cell
-    with tokens, so the kept tokens hold the target shares in expectation and no probability
-    exceeds 1. A document without tokens follows its cell; a cell without tokens has probability
-    0. The draw hashes ``doc_id``: repeated rows go or stay together, also from run to run. Null
-    sources, languages and topics are values of their own. Columns of the four result names are
-    replaced.
+    Tokens are words. The probability is the cell's weight, raked so that the kept tokens come to
+    ``settings.keep`` of all and hold the target shares in expectation, as far as the tokens
+    reach. Without ``keep`` it is the weight over the largest weight of any cell with tokens. No
+    probability exceeds 1. A document without tokens follows its cell; a cell without tokens has
+    probability 0. The draw hashes ``doc_id``: repeated rows go or stay together, also from run
+    to run. Null sources, languages and topics are values of their own. Columns of the four
+    result names are replaced.
     """
     stages = Stages(docs.sparkSession, "mixing")
     results = ("tokens", "probability", "sampled")
@@ -124,7 +170,9 @@ def probabilities(docs: DataFrame, topic: Column | None = None, settings: Settin
         prepared.groupBy(*(F.col(f"__{d}").alias(d) for d in DIMENSIONS)).agg(F.sum("__tokens").alias("tokens"))
     )
     raked = rake(cells, settings, stages)
-    largest = raked.where(F.col("tokens") > 0).agg(F.max("weight")).first()[0] or 0.0
+    largest = 1.0
+    if settings.keep is None:
+        largest = raked.where(F.col("tokens") > 0).agg(F.max("weight")).first()[0] or 0.0
     share = F.when(F.col("tokens") > 0, F.col("weight") / F.lit(largest)) if largest else F.lit(0.0)
     weights = stages.write(
         raked.select(

@@ -94,8 +94,12 @@ SQL["op1_line_dedup"] = line_dedup.oracle()
 
 @query
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sampling probability of every document under tempered shares, and the draw."""
-    return mixing.probabilities(table(spark, sf_dir, "documents")).select(
+    """Sampling probability of every document under tempered shares, and the draw.
+
+    As its SQL has it, shares hold exactly and the largest weight is 1.
+    """
+    exact = mixing.Settings(keep=None)
+    return mixing.probabilities(table(spark, sf_dir, "documents"), settings=exact).select(
         "doc_id", "tokens", "topic", F.round("probability", 6).alias("probability"), "sampled"
     )
 

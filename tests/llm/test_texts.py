@@ -154,6 +154,19 @@ def test_mixing_odd_rows(spark):
     assert {r["probability"] for r in mixing.probabilities(documents(spark, [(1, None), (2, "")])).collect()} == {0.0}
 
 
+def test_a_tiny_source_leaves_the_rest(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    tiny = docs.limit(1).select(
+        *(F.lit(v).cast(docs.schema[c].dataType).alias(c) for c, v in
+          ((c, {"doc_id": -1, "text": "one two three four five six seven eight nine ten"}.get(c)) for c in docs.columns))
+    )
+    plain, beside = ({r["doc_id"]: r for r in mixing.probabilities(d).collect()} for d in (docs, docs.unionByName(tiny)))
+    share = sum(r["tokens"] * r["probability"] for r in plain.values()) / sum(r["tokens"] for r in plain.values())
+    assert share == pytest.approx(mixing.Settings().keep, rel=1e-6)
+    assert beside[-1]["probability"] == pytest.approx(1, rel=1e-6)
+    assert max(abs(beside[d]["probability"] - r["probability"]) for d, r in plain.items()) < 0.01
+
+
 # ------------------------------------------------------------------- shingle join
 
 
