@@ -10,8 +10,9 @@ here are, one after the other, a hash order, rare tokens first, and a second has
 2. The sets that stay are gathered whole. Under the order "rare tokens first", with exact counts
    among them, prefixes are matched and sets that share prefix tokens form clusters.
 3. Under a second hash order, each cluster is cut into the parts that share prefix tokens there.
-4. Inside a part, blocks of sets are compared exactly, two blocks at a time. Pairs are never
-   listed: a block returns a spanning forest of its links, and distributed components join them.
+4. Inside a part, blocks of sets are compared exactly, two blocks at a time. Links are held for
+   one tile of two blocks only, then folded into a spanning forest, which distributed components
+   join.
 
 Equal sets are one node throughout.
 """
@@ -42,7 +43,8 @@ class Settings:
 
     At 8 deviations a set of a linked pair is lost with a probability below 1e-11; sets of up to
     48 shingles are tested whole. ``document_bits`` bounds the bitmap of candidates that is
-    broadcast; a full one only lets more documents through to an exact join.
+    broadcast; a full one only lets more documents through to an exact join. A block holds about
+    ``block_tokens`` tokens and ``block_rows`` sets at most.
     """
 
     width: int = 5
@@ -51,6 +53,7 @@ class Settings:
     deviations: float = 8.0
     document_bits: int = 1 << 23
     block_tokens: int = 1 << 17
+    block_rows: int = 1 << 13
 
 
 def _top(share: float) -> int:
@@ -309,14 +312,43 @@ def intersections(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarr
     return out.astype(np.int64)
 
 
+def spanning(
+    nodes: np.ndarray, tokens: list[np.ndarray], first: np.ndarray, second: np.ndarray, percent: int, step: int = 512
+) -> np.ndarray:
+    """Smallest node that links between the places ``first`` and ``second`` reach, for every place.
+
+    Holds the links of one tile. A tile whose sets are all connected already is not compared.
+    """
+    order = np.argsort(nodes)
+    sizes = np.array([len(x) for x in tokens], dtype=np.int64)
+    heads = np.arange(len(nodes))
+    same = np.array_equal(first, second)
+    for i in range(0, len(first), step):
+        for j in range(i if same else 0, len(second), step):
+            x, y = first[i : i + step], second[j : j + step]
+            if (heads[x] == heads[x[0]]).all() and (heads[y] == heads[x[0]]).all():
+                continue
+            both = intersections([tokens[k] for k in x], [tokens[k] for k in y])
+            union = sizes[x][:, None] + sizes[y][None, :] - both
+            a, b = np.nonzero(100 * both >= percent * union)
+            a, b = heads[x[a]], heads[y[b]]
+            apart = a != b
+            if apart.any():
+                best = forest(a[apart], b[apart], nodes)
+                heads = order[np.searchsorted(nodes, best[heads], sorter=order)]
+    return nodes[heads]
+
+
 def _links(whole: DataFrame, cluster: DataFrame, settings: Settings, stages: Stages) -> DataFrame:
     """``u, v``: a spanning forest of the links inside every pair of blocks."""
     members = stages.write(whole.join(cluster.hint("merge"), "node"))
     stages.release()
     sizes = stages.write(
-        members.groupBy("cluster").agg(F.sum("n").alias("size")).where(F.col("size") > settings.block_tokens)
+        members.groupBy("cluster").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("rows"))
+        .where((F.col("size") > settings.block_tokens) | (F.col("rows") > settings.block_rows))
     )
-    parts = F.coalesce(F.ceil(F.col("size") / settings.block_tokens), F.lit(1)).cast("int")
+    by_size = F.greatest(F.col("size") / settings.block_tokens, F.col("rows") / settings.block_rows)
+    parts = F.coalesce(F.ceil(by_size), F.lit(1)).cast("int")
     blocked = (
         members.join(sizes, "cluster", "left").withColumn("parts", parts)
         .withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
@@ -334,24 +366,7 @@ def _links(whole: DataFrame, cluster: DataFrame, settings: Settings, stages: Sta
         lists = group.column("tokens").combine_chunks()
         flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
         tokens = [flat[a:b] for a, b in zip(ends, ends[1:])]
-        sizes = np.diff(ends)
-        first = np.flatnonzero(own == low)
-        second = np.flatnonzero(own == high)
-        linked: list[tuple[np.ndarray, np.ndarray]] = []
-        step = 512
-        for i in range(0, len(first), step):
-            for j in range(i if low == high else 0, len(second), step):
-                x, y = first[i : i + step], second[j : j + step]
-                both = intersections([tokens[k] for k in x], [tokens[k] for k in y])
-                union = sizes[x][:, None] + sizes[y][None, :] - both
-                a, b = np.nonzero(100 * both >= settings.percent * union)
-                apart = x[a] != y[b]
-                linked.append((x[a[apart]], y[b[apart]]))
-        a = np.concatenate([x for x, _ in linked] + [np.zeros(0, np.int64)]).astype(np.int64)
-        b = np.concatenate([y for _, y in linked] + [np.zeros(0, np.int64)]).astype(np.int64)
-        if not len(a):
-            return
-        roots = forest(a, b, nodes)
+        roots = spanning(nodes, tokens, np.flatnonzero(own == low), np.flatnonzero(own == high), settings.percent)
         some = np.flatnonzero(roots != nodes)
         yield pa.RecordBatch.from_arrays([pa.array(nodes[some]), pa.array(roots[some])], names=["u", "v"])
 

@@ -5,15 +5,18 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 from sentrel.llm import bpe, language, line_dedup, mixing, quality, queries, shingle_join, toxicity
+from sentrel.llm.stages import sorted_groups
 from tests.compare import duck_rows, register, spark_rows
 from tests.llm.plain import kept_lines, shingle_set, smallest_reachable
 
@@ -202,6 +205,37 @@ def test_join_against_all_pairs(spark):
     check_join(spark, texts)
 
 
+def test_links_of_one_tile_are_held():
+    n = 3000
+    shared = np.arange(1, 10, dtype=np.int64)
+    family = [np.append(shared, np.int64(100 + k)) for k in range(n)]
+    alone = [np.arange(10**6 + 10 * k, 10**6 + 10 * k + 10, dtype=np.int64) for k in range(600)]
+    nodes = np.random.default_rng(3).permutation(n + 600).astype(np.int64) - 1000
+    places = np.arange(n + 600)
+    for first, second in ((places, places), (places[::2], places[1::2])):
+        tracemalloc.start()
+        found = shingle_join.spanning(nodes, family + alone, first, second, 75)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert (found[:n] == nodes[:n].min()).all() and (found[n:] == nodes[n:]).all()
+        assert peak < 60 << 20
+
+
+def test_blocks_are_bounded_by_rows(spark, monkeypatch):
+    rows = [(i, f"a b c d e f g h i j k l m w{i}") for i in range(40)] + [(100, "n o p q r s")]
+    read = []
+
+    def groups(df, keys, *args):
+        if keys == ["cluster", "low", "high"]:
+            read.extend(r[0] for r in df.groupBy("cluster", "low", "high").count().select("count").collect())
+        return sorted_groups(df, keys, *args)
+
+    monkeypatch.setattr(shingle_join, "sorted_groups", groups)
+    found = shingle_join.near_duplicates(documents(spark, rows), shingle_join.Settings(block_rows=8)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {i: 0 if i < 40 else i for i, _ in rows}
+    assert max(read) < 40
+
+
 def test_join_of_odd_rows(spark):
     rows = [
         (1, None), (2, ""), (3, " \n"), (4, "a b"), (5, "A  B"), (6, "a b c"), (7, "a b c d e"), (8, "a b c d e f g h"),
