@@ -42,15 +42,38 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one of the smallest ``doc_id``.
+    """One row of each group of near-duplicates: the one of the smallest ``doc_id``.
 
-    Rows without ``doc_id`` stay. Rows that share the smallest ``doc_id`` of a group all stay.
+    Rows are told apart by ``doc_id`` and text: another text of a ``doc_id`` is a row of its own. A
+    row without ``doc_id`` stays where its group has no other. Texts without words all stay.
     """
     configure(spark)
-    found = shingle_join.near_duplicates(docs)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    stages = Stages(spark, "near-duplicates")
+    texts = stages.write(
+        shingle_join.grouped(docs).where(F.col("component").isNotNull())
+        .groupBy("component", "doc_id", "digest").agg(F.count(F.lit(1)).alias("many"))
+    )
+    best = texts.groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")).alias("best")
+    )
+    stays = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("digest") == F.col("best.digest"))
+    touched = stages.write(
+        texts.join(best, "component").select(
+            F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "many", stays.alias("stays")
+        ).where(~F.col("stays") | (F.col("many") > 1))
+    )
+    stages.drop(texts)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (shingle_join.digest() == F.col("__digest"))
     # As many rows as copies: texts meet them by key at every size.
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(touched.hint("merge"), same, "left_anti").select(docs.columns)
+    repeated = touched.where("stays")
+    if repeated.isEmpty():
+        return kept
+    row = F.struct(*docs.columns)
+    first = docs.join(repeated.hint("merge"), same, "left_semi").groupBy("doc_id", shingle_join.digest()).agg(
+        F.min(row).alias("__row")
+    )
+    return kept.unionByName(first.select("__row.*"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentrel.llm import shingles
@@ -81,6 +81,11 @@ def least_shared(counted: int, n: int, settings: Settings) -> int:
     return max(1, int(ratio * counted - settings.deviations * np.sqrt(ratio * (1 - ratio) * counted)))
 
 
+def digest() -> Column:
+    """Tells apart the texts of rows that share a ``doc_id``."""
+    return F.xxhash64("text")
+
+
 def _node(tokens: np.ndarray) -> int:
     """Name of a set: a hash of its sorted tokens."""
     factors = shingles.mix(np.arange(1, len(tokens) + 1, dtype=np.uint64))
@@ -90,7 +95,7 @@ def _node(tokens: np.ndarray) -> int:
 
 
 def _signatures(docs: DataFrame, settings: Settings) -> DataFrame:
-    """``doc_id, n, node, counted, least, sample``; a task publishes each distinct set once."""
+    """``doc_id, digest, n, node, counted, least, sample``; a task publishes each distinct set once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -114,14 +119,14 @@ def _signatures(docs: DataFrame, settings: Settings) -> DataFrame:
             if len(seen) > 1 << 18:
                 seen.clear()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.array(counts, pa.int32()), pa.array(least, pa.int32()),
+                [batch.column("doc_id"), batch.column("digest"), pa.array(sizes, pa.int64()),
+                 pa.array(nodes, pa.int64()), pa.array(counts, pa.int32()), pa.array(least, pa.int32()),
                  pa.array(samples, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "node", "counted", "least", "sample"],
+                names=["doc_id", "digest", "n", "node", "counted", "least", "sample"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n long, node long, counted int, least int, sample array<long>"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", digest().alias("digest")).mapInArrow(
+        run, "doc_id long, digest long, n long, node long, counted int, least int, sample array<long>"
     )
 
 
@@ -373,21 +378,17 @@ def _links(whole: DataFrame, cluster: DataFrame, settings: Settings, stages: Sta
     return sorted_groups(blocked, ["cluster", "low", "high"], compare, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row.
+def grouped(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``doc_id, digest, n_shingles, component_id, component`` of every row.
 
-    Two texts link when their sets of five-word shingles have a Jaccard similarity of 0.75 or
-    more; the component is the smallest ``doc_id`` that links reach, the row's own included.
-    Texts with fewer than five words are one shingle; null texts and texts without words have
-    none and link with nothing. Rows without ``doc_id`` link as any other but lend no id: a
-    component of such rows alone is null. Rows that share a ``doc_id`` are separate texts. Other
-    columns are not read.
+    The component names the texts that links connect, with ``doc_id`` or without; null for texts
+    without shingles, which link with nothing.
     """
     small_batches(docs.sparkSession)
     stages = Stages(docs.sparkSession, "shingle-join")
     signed = stages.write(_signatures(docs, settings))
     nodes, candidates = _candidates(signed, stages)
-    rows = stages.write(signed.select("doc_id", "n", "node"))
+    rows = stages.write(signed.select("doc_id", "digest", "n", "node"))
     stages.drop(signed)
     stages.release()
     whole = _whole_sets(docs, candidates, settings, stages)
@@ -401,10 +402,26 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
         found.join(nodes, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     )
     by_node = stages.write(
-        nodes.join(found.join(smallest, "component").select("node", "component_id"), "node", "left")
-        .select("node", F.coalesce("component_id", "doc_id").alias("component_id"))
+        nodes.join(found.join(smallest, "component"), "node", "left").select(
+            "node", F.coalesce("component", "node").alias("component"),
+            F.coalesce("component_id", "doc_id").alias("component_id"),
+        )
     )
     return rows.join(by_node, "node", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
+        "doc_id", "digest", F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "component",
     )
+
+
+def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row.
+
+    Two texts link when their sets of five-word shingles have a Jaccard similarity of 0.75 or
+    more; the component is the smallest ``doc_id`` that links reach, the row's own included.
+    Texts with fewer than five words are one shingle; null texts and texts without words have
+    none and link with nothing. Rows without ``doc_id`` link as any other but lend no id: a
+    component of such rows alone is null. Rows that share a ``doc_id`` are separate texts. Other
+    columns are not read.
+    """
+    return grouped(docs, settings).select("doc_id", "n_shingles", "component_id")

@@ -68,3 +68,47 @@ def test_run_gives_the_same(spark, steps):
     assert {(r["doc_id"], r["ids_sha256"]) for r in corpus_pipeline.run(spark, SF_DIR).collect()} == {
         (r["doc_id"], r["ids_sha256"]) for r in steps[5].collect()
     }
+
+
+# ------------------------------------------------------------------- odd rows
+
+LONG = " ".join(f"w{i}" for i in range(40))
+OTHER = " ".join(f"v{i}" for i in range(40))
+ODD = [
+    (1, LONG), (1, LONG), (2, LONG + " x"), (2, OTHER), (None, LONG), (None, "a b c d e f"), (None, "a b c d e f"),
+    (3, None), (3, None), (4, ""), (4, ""), (5, "one two"), (None, None), (6, "p q r s t u"), (6, "P  q r s t u"),
+]
+
+
+def odd(spark):
+    like = spark.read.parquet(f"{SF_DIR}/documents.parquet").schema
+    rows = [tuple({"doc_id": d, "text": t}.get(c) for c in like.names) for d, t in ODD]
+    return spark.createDataFrame(rows, like).repartition(3)
+
+
+def test_one_row_of_each_group_stays(spark):
+    found = corpus_pipeline.near_duplicates(spark, odd(spark), SF_DIR).collect()
+    texts = [(r["doc_id"], r["text"]) for r in found if r["doc_id"] != 6]
+    assert sorted(texts, key=repr) == sorted(
+        [(1, LONG), (2, OTHER), (None, "a b c d e f"), (3, None), (3, None), (4, ""), (4, ""), (5, "one two"), (None, None)],
+        key=repr,
+    )
+    assert sum(r["doc_id"] == 6 for r in found) == 1
+
+
+@pytest.mark.parametrize("place", [0, 1, 3, 4])
+def test_stages_take_odd_rows(spark, place):
+    name, stage = corpus_pipeline.STAGES[place]
+    docs = odd(spark)
+    if name == "quality":
+        docs = docs.unionByName(spark.read.parquet(f"{SF_DIR}/documents.parquet").where("doc_id > 6"))
+    found = [(r["doc_id"], r["text"] if "text" in r else None) for r in stage(spark, docs, SF_DIR).collect()]
+    rows = [r for r in found if r[0] is None or r[0] <= 6]
+    if name == "encode":
+        assert sorted((d for d, _ in rows), key=repr) == sorted((d for d, _ in ODD), key=repr)
+    else:
+        assert all(rows.count(r) <= ODD.count(r) for r in rows)
+    if name == "line_dedup":
+        assert sorted(rows, key=repr) == sorted(ODD, key=repr)
+    if name == "mixing":
+        assert all(rows.count(r) in (0, ODD.count(r)) for r in rows)
