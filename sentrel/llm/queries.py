@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentrel.llm import (
-    bpe, chat, language, line_dedup, mixing, quality, shingle_join, toxicity, vector_dedup,
-    vector_search,
+    alignment, bpe, chat, decontaminate, hard_negatives, language, line_dedup, mixing, quality,
+    shingle_join, toxicity, vector_dedup, vector_search,
 )
 from sentrel.llm.stages import table
 from sentrel.session import configure
@@ -119,3 +119,38 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count and component of every document at Jaccard similarity 0.75."""
     return shingle_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words, hit words and benchmark items met of every document."""
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+SQL["op11_decontaminate"] = decontaminate.oracle()
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positives of every fiftieth vector and the hard negatives of each."""
+    own, number = F.col("label"), F.col("vec_id")
+    moved = F.when(number % 7 == 0, (own + 1) % 10).otherwise(own)
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), number % 50 == 0, moved)
+
+
+SQL["op12_hard_negatives"] = hard_negatives.oracle()
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between two tokenizers' ids of every document."""
+    return alignment.align(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"), keep_groups=False,
+    ).drop("groups")
