@@ -34,7 +34,10 @@ ev AS (
     CASE WHEN value >= 200 THEN 'critical' WHEN value >= 90 THEN 'high'
          WHEN value >= 35 THEN 'medium' ELSE 'low' END AS severity,
     CASE WHEN kind = 'purchase' AND k >= 50 AND k % 5 = 4 THEN 'T1003.001' END AS mitre_technique_id,
-    CAST(NULL AS VARCHAR) AS normalized_message
+    CASE WHEN kind = 'purchase' AND k >= 50 AND k % 10 = 7 THEN 'Malware signature ' || k
+         WHEN kind = 'purchase' AND k >= 50 AND k % 10 = 2 THEN 'Store of CREDENTIALs read, code ' || k
+         WHEN k % 7 = 3 THEN 'Observed code ' || k || ' of user ' || u
+         WHEN k % 7 = 5 THEN '' END AS normalized_message
   FROM src
 )"""
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from oracles.base import ALERTS, ASSIGNED, BUNDLE, EVENTS, EVIDENCE, INCIDENTS, chain
 
 A = chain(ALERTS)
@@ -100,16 +102,66 @@ def _pieces(**marks: str) -> str:
     return text.strip()
 
 
+FALLBACK = dict(
+    EXEC="'Incident ' || i.incident_id || ' is a ' || i.severity || ' severity investigation affecting ' "
+    "|| coalesce(i.affected_user, 'Not set') || '. Generate an LLM summary for a richer narrative.'",
+    TECH="'The incident currently contains ' || z.alerts || ' linked alerts and ' || z.events || ' normalized evidence events.'",
+    STEPS="'No containment recommendations are available.'",
+)
 SUMMARIZED = _pieces(
     EXEC="s.executive_summary", TECH="s.technical_summary", DOT="''", MESSAGE="''",
     STEPS="'- ' || replace(s.steps, chr(10), chr(10) || '- ')",
 )
 PLAIN = _pieces(
-    EXEC="'Incident ' || i.incident_id || ' is a ' || i.severity || ' severity investigation affecting ' "
-    "|| coalesce(i.affected_user, 'Not set') || '. Generate an LLM summary for a richer narrative.'",
-    TECH="'The incident currently contains ' || z.alerts || ' linked alerts and ' || z.events || ' normalized evidence events.'",
-    DOT="''", MESSAGE="' - ' || coalesce(normalized_message, 'Not set')",
-    STEPS="'No containment recommendations are available.'",
+    EXEC=FALLBACK["EXEC"], TECH=FALLBACK["TECH"],
+    DOT="''", MESSAGE="' - ' || coalesce(nullif(normalized_message, ''), 'Not set')",
+    STEPS=FALLBACK["STEPS"],
+)
+# Two summary runs: the first saw the evidence of each week's first hour and left high incidents out, the
+# second saw all evidence of critical incidents.
+EARLY_BUNDLE = re.sub(
+    r"\b(b_events|sizes|entities|texts|summaries)\b", r"early_\1", BUNDLE[BUNDLE.index("sizes AS (") :]
+).strip()
+VERSIONS = f"""
+early_b_events AS (SELECT * FROM b_events WHERE t - epoch_us(date_trunc('week', make_timestamp(t))) < 3600000000),
+{EARLY_BUNDLE},
+held AS (
+  SELECT e.*, 1 AS version, s.alert_count, s.event_count FROM early_b_events e JOIN early_summaries s USING (incident_id)
+  WHERE incident_id IN (SELECT incident_id FROM incidents WHERE severity <> 'high')
+  UNION ALL SELECT e.*, 2, s.alert_count, s.event_count FROM b_events e JOIN summaries s USING (incident_id)
+  WHERE incident_id IN (SELECT incident_id FROM incidents WHERE severity = 'critical')
+)""".strip()
+AS_OF = f"""
+chosen AS (
+  SELECT s.incident_id, 2 AS version, s.executive_summary, s.technical_summary, s.steps
+  FROM summaries s JOIN incidents i USING (incident_id) WHERE i.severity = 'critical'
+  UNION ALL SELECT s.incident_id, 1, s.executive_summary, s.technical_summary, s.steps
+  FROM early_summaries s JOIN incidents i USING (incident_id) WHERE i.severity NOT IN ('critical', 'high')
+  UNION ALL SELECT i.incident_id, 0, {FALLBACK['EXEC']}, {FALLBACK['TECH']}, NULL
+  FROM incidents i JOIN sizes z USING (incident_id) WHERE i.severity = 'high'
+),
+listed AS (
+  SELECT h.incident_id, h.event_id, h.t, h.source_system, h.event_type, '' AS message FROM held h JOIN chosen USING (incident_id, version)
+  UNION ALL SELECT e.incident_id, e.event_id, e.t, e.source_system, e.event_type, ' - ' || coalesce(nullif(e.normalized_message, ''), 'Not set')
+  FROM b_events e JOIN chosen c USING (incident_id) WHERE c.version = 0
+),
+told AS (
+  SELECT * FROM listed
+  UNION ALL SELECT e.incident_id, e.event_id, e.t, e.source_system, e.event_type, ' - ' || coalesce(nullif(e.normalized_message, ''), 'Not set')
+  FROM b_events e WHERE incident_id NOT IN (SELECT incident_id FROM listed)
+),
+""".strip() + "\n" + (
+    _pieces(
+        EXEC="s.executive_summary", TECH="s.technical_summary", DOT="''", MESSAGE="message",
+        STEPS="coalesce('- ' || replace(s.steps, chr(10), chr(10) || '- '), 'No containment recommendations are available.')",
+    )
+    .replace("JOIN summaries s", "JOIN chosen s").replace("AS lo FROM b_events", "AS lo FROM listed")
+    .replace("FROM b_events JOIN b_last", "FROM listed JOIN b_last").replace("FROM b_events", "FROM told")
+    .replace(
+        "'## Evidence Event IDs' || chr(10) || chr(10) FROM",
+        "'## Evidence Event IDs' || chr(10) || chr(10) || CASE WHEN i.incident_id IN (SELECT incident_id FROM listed) THEN '' "
+        "ELSE 'No evidence event IDs are available.' END FROM",
+    )
 )
 # Order of pieces inside a document: numeric, like the event times and ids they come from.
 PIECE_ORDER = (
@@ -180,7 +232,12 @@ SQL: dict[str, str] = {
     "evidence_bundle": f"{B} SELECT * FROM sizes",
     "affected_entities": f"{B} SELECT * FROM entities",
     "attack_timeline": f"{B} SELECT incident_id, event_id, {iso('t', 'T')} AS timestamp_text, source_system, event_type, "
-    "username, asset, action, outcome, severity FROM b_events",
+    "username, asset, action, outcome, severity, t, normalized_message AS message FROM b_events",
+    "summary_store": f"{B}, {VERSIONS} SELECT incident_id || '@' || epoch_us(CASE version WHEN 1 THEN TIMESTAMP '2024-02-01 00:00:00' "
+    "ELSE TIMESTAMP '2024-02-02 00:00:00' END) AS summary_id, incident_id, event_id, t, source_system, event_type, username, asset, "
+    "action, outcome, severity, normalized_message AS message, alert_count, event_count FROM held",
+    "report_after_late_evidence": f"{B}, {VERSIONS}, {AS_OF} SELECT incident_id, part_no, {cut('document')} FROM "
+    f"(SELECT incident_id, string_agg(text, '' ORDER BY {PIECE_ORDER}) AS document FROM doc GROUP BY 1), {parts('document')}",
     "incident_summary": f"{B} SELECT * EXCLUDE (technical_summary), {cut('technical_summary')} FROM summaries, {parts('technical_summary')}".replace("AS text", "AS technical_summary"),
     "latest_summary": f"{I}, {STORED_SUMMARIES} SELECT incident_id, dataset_id, max(summary_id) AS summary_id "
     "FROM stored GROUP BY incident_id, dataset_id",
@@ -221,7 +278,8 @@ FROM incidents i JOIN alert_lines a USING (incident_id) JOIN event_lines e USING
     "SELECT s.dataset_id, (SELECT count(*) FROM ev e WHERE e.dataset_id IS NOT DISTINCT FROM s.dataset_id) AS events, "
     "(SELECT count(*) FROM alerts e WHERE e.dataset_id IS NOT DISTINCT FROM s.dataset_id) AS alerts, "
     "(SELECT count(*) FROM incidents e WHERE e.dataset_id IS NOT DISTINCT FROM s.dataset_id) AS incidents, "
-    "(SELECT count(*) FROM stored e WHERE e.dataset_id IS NOT DISTINCT FROM s.dataset_id) AS summaries FROM scopes s",
+    "(SELECT count(*) FROM stored e WHERE e.dataset_id IS NOT DISTINCT FROM s.dataset_id) AS summaries, "
+    "(SELECT count(DISTINCT source_system) FROM ev e WHERE e.dataset_id = s.dataset_id) AS uploads FROM scopes s",
     "dataset_state": f"{chain(ALERTS, EVIDENCE, ASSIGNED, INCIDENTS, events=SPLIT_EVENTS)}, "
     "ds AS (SELECT dataset_id, CASE source_system WHEN 'vpn' THEN 'ready_to_normalize' WHEN 'api_gateway' THEN 'workflow_complete' "
     "ELSE 'normalized' END AS status FROM ev GROUP BY dataset_id, source_system) "

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import json
+import re
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sentrel.functions.aliases import SUGGESTED
 from sentrel.functions.payload import object_fields, parse
@@ -22,42 +26,102 @@ EDITABLE_STATUSES = ("uploaded", "mapping_required", "ready_to_normalize", "fail
 _PLACE = ("dataset_id", "file_name", "record_no")
 
 
-def _nesting(payload: Column) -> Column:
-    """Levels of objects in JSON text: the most braces open at once, outside strings."""
-    bare = F.regexp_replace(F.regexp_replace(payload, r"\\.", ""), '"[^"]*"', "")
-    braces = F.split(F.regexp_replace(bare, "[^{}]", ""), "")
-    start = F.struct(F.lit(0).alias("open"), F.lit(0).alias("most"))
-
-    def step(state: Column, brace: Column) -> Column:
-        now = state["open"] + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
-        return F.struct(now.alias("open"), F.greatest(state["most"], now).alias("most"))
-
-    return F.aggregate(braces, start, step, lambda state: state["most"])
+#: Levels of objects that built-in functions open; records that may be nested deeper are walked.
+OPENED_LEVELS = 3
+
+_STRING = re.compile(r'"(?:[^"\\]|\\.)*"')
+_SCALAR = re.compile(r"[^,}\]\s]+")
+_LIST_MARK = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]]')
+_BETWEEN = re.compile(r"[\s,:]*")
+
+
+def leaf_fields(text: str) -> list[tuple[str, str]]:
+    """Dotted path and JSON text of every leaf of an object, given as valid JSON text of any depth."""
+    names: list[str] = []
+    out, at = [], _BETWEEN.match(text, text.index("{") + 1).end()
+    while True:
+        if text[at] == "}":
+            if not names:
+                return out
+            names.pop()
+            at = _BETWEEN.match(text, at + 1).end()
+            continue
+        end = _STRING.match(text, at).end()
+        name, at = json.loads(text[at:end], strict=False), _BETWEEN.match(text, end).end()
+        if text[at] == "{":
+            names.append(name)
+            at = _BETWEEN.match(text, at + 1).end()
+            continue
+        end = _value_end(text, at)
+        out.append((".".join([*names, name]), text[at:end]))
+        at = _BETWEEN.match(text, end).end()
+
+
+def _value_end(text: str, at: int) -> int:
+    if text[at] == '"':
+        return _STRING.match(text, at).end()
+    if text[at] != "[":
+        return _SCALAR.match(text, at).end()
+    opened = 0
+    for mark in _LIST_MARK.finditer(text, at):
+        opened += {"[": 1, "]": -1}.get(mark.group(), 0)
+        if not opened:
+            return mark.end()
+    raise ValueError("an array without an end")
+
+
+LEAVES = T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("json", T.StringType())]))
+_ARROW_LEAVES = pa.list_(pa.struct([("key", pa.string()), ("json", pa.string())]))
+
+
+def _walked(texts: pa.Array) -> pa.Array:
+    if texts.null_count == len(texts):
+        return pa.nulls(len(texts), _ARROW_LEAVES)
+    found = [None if text is None else leaf_fields(text) for text in texts.to_pylist()]
+    return pa.array([x and [{"key": k, "json": j} for k, j in x] for x in found], _ARROW_LEAVES)
+
+
+def deep_fields(text: Column) -> Column:
+    """Leaves of JSON objects nested deeper than built-in functions look; null for null."""
+    return F.arrow_udf(_walked, LEAVES)(text)
+
+
+def _opened(rows: DataFrame, fields: Column) -> DataFrame:
+    """Each row's ``fields`` as rows of their own, under longer paths; rows without stay as they are."""
+    key = F.col("key")
+    return (
+        rows.withColumn("fields", fields)
+        .where(F.col("fields").isNull() | (F.size("fields") > 0))
+        .select(*_PLACE, "path", "value", F.explode_outer("fields").alias("key", "child"))
+        .select(
+            *_PLACE,
+            F.when(key.isNull(), F.col("path")).otherwise(F.concat_ws(".", "path", "key")).alias("path"),
+            F.when(key.isNull(), F.col("value")).otherwise(F.col("child")).alias("value"),
+        )
+    )
 
 
 def flatten_paths(records: DataFrame) -> DataFrame:
     """(dataset_id, file_name, record_no, path, value): leaf fields by dotted path.
 
-    Arrays are leaves and empty objects vanish. One aggregate finds how deep the records are
-    nested; a second scan opens that many levels.
+    Arrays are leaves and empty objects vanish. One scan and one plan whatever the depth: built-in
+    functions open the first levels, and records with more braces than that are walked, with a
+    stack of the walk's own.
     """
-    depth = records.agg(F.max(_nesting(F.col("payload")))).first()[0] or 0
-    rows = records.select(
-        *_PLACE, F.lit(None).cast("string").alias("path"), parse(F.col("payload")).alias("value")
-    )
-    for _ in range(depth):
-        rows = (
-            rows.withColumn("fields", object_fields(F.col("value")))
-            .where(F.col("fields").isNull() | (F.size("fields") > 0))
-            .select(*_PLACE, "path", "value", F.explode_outer("fields").alias("key", "child"))
-            .select(
-                *_PLACE,
-                F.when(F.col("key").isNull(), F.col("path"))
-                .otherwise(F.concat_ws(".", "path", "key")).alias("path"),
-                F.when(F.col("key").isNull(), F.col("value"))
-                .otherwise(F.col("child")).alias("value"),
-            )
+    payload, value = F.col("payload"), parse(F.col("payload"))
+    braces = F.length(payload) - F.length(F.replace(payload, F.lit("{"), F.lit("")))
+    deep = (braces > OPENED_LEVELS) & object_fields(value).isNotNull()
+    rows = (
+        records.select(*_PLACE, payload, deep_fields(F.when(deep, payload)).alias("leaves"))
+        .where(F.col("leaves").isNull() | (F.size("leaves") > 0))
+        .select(*_PLACE, payload, F.explode_outer("leaves").alias("leaf"))
+        .select(
+            *_PLACE, F.col("leaf.key").alias("path"),
+            parse(F.coalesce(F.col("leaf.json"), payload)).alias("value"),
         )
+    )
+    for _ in range(OPENED_LEVELS):
+        rows = _opened(rows, object_fields(F.col("value")))
     return rows.where(F.col("path").isNotNull())
 
 

@@ -51,24 +51,31 @@ def report_name() -> Column:
 
 
 def report_pieces(
-    evidence: Evidence, generated_at: Column, summaries: DataFrame | None = None
+    evidence: Evidence, generated_at: Column, summaries: DataFrame | None = None,
+    timeline: DataFrame | None = None,
 ) -> DataFrame:
     """Report of every visible incident as (incident_id, section, place, text) pieces.
 
     ``summaries`` holds at most one summary per incident (see ``summary.latest_summary``);
-    incidents without one get the fallback wording. Concatenating an incident's texts in
-    (section, place) order gives its document.
+    incidents without one get the fallback wording. A report shows the timeline and the evidence
+    ids that its summary rests on: ``timeline`` holds them as stored with these summaries
+    (``incident_id, event_id, event_timestamp, source_system, event_type``), whatever evidence
+    came later; without it the summaries are taken to be of now. Where a summary's timeline is empty,
+    the timeline section lists today's events. Concatenating an incident's texts in (section,
+    place) order gives its document.
     """
     shown, own_alerts, own_events = evidence.incidents, evidence.alerts, evidence.events
     alert_counts = own_alerts.groupBy("incident_id").agg(F.count(F.lit(1)).alias("alerts"))
-    event_counts = own_events.groupBy("incident_id").agg(
-        F.count(F.lit(1)).alias("events"), F.min("event_id").alias("smallest")
-    )
+    event_counts = _counted(own_events, "events", "smallest")
+    if timeline is None:
+        held_counts = event_counts.toDF("incident_id", "held", "smallest_held")
+    else:
+        held_counts = _counted(timeline, "held", "smallest_held")
     heads = (
         shown.join(alert_counts, "incident_id", "left")
         .join(event_counts, "incident_id", "left")
-        .withColumn("alerts", F.coalesce("alerts", F.lit(0)))
-        .withColumn("events", F.coalesce("events", F.lit(0)))
+        .join(held_counts, "incident_id", "left")
+        .fillna(0, ["alerts", "events", "held"])
     )
     if summaries is None:
         heads = heads.select(
@@ -124,10 +131,11 @@ def report_pieces(
         F.lit("\n\n## Executive Summary\n\n"), executive,
         F.lit("\n\n## Technical Summary\n\n"), technical,
     )
+    told = summarized & (F.col("held") > 0)
     timeline_opening = F.concat(
         F.when(summarized, F.lit(".")).otherwise(F.lit("")),
         F.lit("\n\n## Attack Timeline\n\n"),
-        F.when(F.col("events") == 0, F.lit(NO_TIMELINE + "\n")).otherwise(F.lit("")),
+        F.when(~told & (F.col("events") == 0), F.lit(NO_TIMELINE + "\n")).otherwise(F.lit("")),
     )
     alerts_opening = F.concat(
         F.lit("\n## Triggered Alerts\n\n"),
@@ -135,7 +143,8 @@ def report_pieces(
     )
     ids_opening = F.concat(
         F.lit("\n## Evidence Event IDs\n\n"),
-        F.when(F.col("events") == 0, F.lit(NO_IDS)).otherwise(F.lit("")),
+        F.when(F.when(summarized, F.col("held")).otherwise(F.col("events")) == 0, F.lit(NO_IDS))
+        .otherwise(F.lit("")),
     )
     steps = F.col("recommended_containment_steps")
     bullets = F.array_join(
@@ -146,17 +155,13 @@ def report_pieces(
         F.coalesce(blank_to_null(bullets), F.lit(NO_STEPS)),
         F.lit("\n" + CLOSING),
     )
-    has_summary = heads.select("incident_id", summarized.alias("summarized"), "smallest")
-    # A stored timeline names system and type; the fallback adds the message.
-    timeline_line = F.concat(
-        F.lit("- **"), utc_text(F.col("event_timestamp")), F.lit("** - Event "),
-        F.col("event_id").cast("string"), F.lit(": "), display(F.col("source_system")),
-        F.lit(" / "), display(F.col("event_type")),
-        F.when(F.col("summarized"), F.lit("")).otherwise(
-            F.concat(F.lit(" - "), display(F.col("normalized_message")))
-        ),
-        F.lit("\n"),
-    )
+    def line(*ending: Column) -> Column:
+        return F.concat(
+            F.lit("- **"), utc_text(F.col("event_timestamp")), F.lit("** - Event "),
+            F.col("event_id").cast("string"), F.lit(": "), display(F.col("source_system")),
+            F.lit(" / "), display(F.col("event_type")), *ending, F.lit("\n"),
+        )
+
     alert_line = F.concat(
         F.lit("| "),
         F.concat_ws(
@@ -178,21 +183,32 @@ def report_pieces(
             (1, opening), (3, timeline_opening), (5, alerts_opening), (7, ids_opening), (9, ending)
         )
     ]
-    separator = F.when(F.col("event_id") == F.col("smallest"), F.lit("")).otherwise(F.lit(", "))
-    listed = F.concat(separator, F.col("event_id").cast("string"))
-    event_pieces = [
-        _piece(4, timeline_line, instant(F.col("event_timestamp")), F.col("event_id")),
-        _piece(8, listed, F.col("event_id")),
-    ]
-    with_summary = F.array(_piece(2, listed, F.col("event_id")), *event_pieces)
+
+    def listed(smallest: str) -> Column:
+        first = F.when(F.col("event_id") == F.col(smallest), F.lit("")).otherwise(F.lit(", "))
+        return F.concat(first, F.col("event_id").cast("string"))
+
+    event, when = F.col("event_id"), instant(F.col("event_timestamp"))
+    # A stored timeline names system and type; today's adds the message.
+    of_summary = F.array(
+        _piece(2, listed("smallest_held"), event), _piece(4, line(), when, event),
+        _piece(8, listed("smallest_held"), event),
+    )
+    fallback = _piece(4, line(F.lit(" - "), display(F.col("normalized_message"))), when, event)
+    of_today = F.array(fallback, _piece(8, listed("smallest"), event))
+    marks = heads.select("incident_id", summarized.alias("summarized"), told.alias("told"), "smallest", "smallest_held")
+    today = own_events.join(marks, "incident_id")
+    if timeline is None:
+        events = today.select("incident_id", F.inline(F.when(F.col("told"), of_summary).otherwise(of_today)))
+    else:
+        events = today.where(~F.col("told")).select(
+            "incident_id", F.inline(F.when(F.col("summarized"), F.array(fallback)).otherwise(of_today))
+        ).unionByName(
+            timeline.join(marks.where("told"), "incident_id").select("incident_id", F.inline(of_summary))
+        )
     return (
         heads.select("incident_id", F.inline(F.array(*head_pieces)))
-        .unionByName(
-            own_events.join(has_summary, "incident_id").select(
-                "incident_id",
-                F.inline(F.when(F.col("summarized"), with_summary).otherwise(F.array(*event_pieces))),
-            )
-        )
+        .unionByName(events)
         .unionByName(
             pieces(
                 own_alerts, 6, alert_line,
@@ -202,6 +218,12 @@ def report_pieces(
     )
 
 
+def _counted(events: DataFrame, count: str, smallest: str) -> DataFrame:
+    return events.groupBy("incident_id").agg(
+        F.count(F.lit(1)).alias(count), F.min("event_id").alias(smallest)
+    )
+
+
 def _piece(section: int, text: Column, *place: Column) -> Column:
     return F.struct(
         F.lit(section).alias("section"),

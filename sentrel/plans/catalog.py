@@ -5,6 +5,7 @@ Times are returned as epoch microseconds or text, id lists as rows.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,11 +16,14 @@ from sentrel.operators import (
 )
 from sentrel.plans import investigate as inv
 from sentrel.plans.registry import Query, query
-from sentrel.session import materialize
+from sentrel.session import materialize, shared_dir
+from sentrel.sources import sinks
+from sentrel.sources.sinks import Store
 from sentrel.sources.telemetry import canonical_events
 
 GENERATED_AT = "2024-02-01 00:00:00"
 RERUN_FROM = datetime(2024, 1, 15)
+FIRST_SUMMARIES, SECOND_SUMMARIES = datetime(2024, 2, 1), datetime(2024, 2, 2)
 BROWSE_FROM = datetime(2024, 1, 8)
 BROWSE_TO = datetime(2024, 1, 22, 2, 0, 0)
 
@@ -60,8 +64,11 @@ def _flat_pieces(df: DataFrame) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The canonical event table as stored: every rule scans it, with its own columns."""
-    return materialize(canonical_events(spark, sf_dir), "canonical-events")
+    """The canonical event table as stored: every rule scans it, with its own columns.
+
+    It is dealt out once, as the given table may be one row group.
+    """
+    return materialize(canonical_events(spark, sf_dir).repartition("event_id"), "canonical-events")
 
 
 def _state(spark: SparkSession, sf_dir: str) -> inv.Investigation:
@@ -290,7 +297,7 @@ def affected_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def attack_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = summary.attack_timeline(_evidence(_state(spark, sf_dir)))
-    return rows.drop("timestamp", "message")
+    return rows.withColumn("timestamp", F.unix_micros("timestamp")).withColumnRenamed("timestamp", "t")
 
 
 @query
@@ -370,6 +377,52 @@ def incident_report_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_pieces(_report(spark, sf_dir, False)[1])
 
 
+def _summarized_twice(spark: SparkSession, sf_dir: str) -> tuple[summary.Evidence, Store]:
+    """All evidence, and a store of two summary runs.
+
+    The first run saw the evidence of each week's first hour and left the high incidents out; the second
+    saw all of it, for the critical incidents only.
+    """
+    gathered = _evidence(_state(spark, sf_dir))
+    when = F.col("event_timestamp")
+    in_week = F.unix_micros(when) - F.unix_micros(F.date_trunc("week", when))
+    early = summary.Evidence(
+        gathered.incidents, gathered.alerts, gathered.events.where(in_week < F.lit(3_600_000_000))
+    )
+    store = Store(spark, f"{shared_dir(spark)}/stages/summaries-{uuid.uuid4().hex}")
+    for at, seen, severity in (
+        (FIRST_SUMMARIES, early, F.col("severity") != "high"),
+        (SECOND_SUMMARIES, gathered, F.col("severity") == "critical"),
+    ):
+        wanted = seen.incidents.where(severity).select("incident_id")
+        drafts = materialize(summary.summarize(seen).join(wanted, "incident_id", "left_semi"), "drafts")
+        sinks.append_summaries(store, drafts, at, seen.events)
+    return gathered, store
+
+
+@query
+def summary_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored timelines of both versions, beside the counts their summaries were stored with."""
+    _, store = _summarized_twice(spark, sf_dir)
+    heads = sinks.summaries(store).select("summary_id", "alert_count", "event_count")
+    return sinks.summary_timeline(store).join(heads, "summary_id").select(
+        "summary_id", "incident_id", "event_id", _us("event_timestamp", "t"), "source_system",
+        "event_type", "username", "asset", "action", "outcome", "severity",
+        F.col("normalized_message").alias("message"), "alert_count", "event_count",
+    )
+
+
+@query
+def report_after_late_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports as of the latest summaries, though evidence came after them, in parts."""
+    gathered, store = _summarized_twice(spark, sf_dir)
+    latest = materialize(summary.latest_summary(sinks.summaries(store)), "latest-summaries")
+    at = F.lit(GENERATED_AT).cast("timestamp")
+    return summary.document_parts(
+        report.report_pieces(gathered, at, latest, sinks.timeline_of(store, latest))
+    )
+
+
 # --------------------------------------------------------------------------- dashboard
 
 
@@ -378,10 +431,15 @@ def dashboard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = _state(spark, sf_dir)
     return dashboard.dashboard_counts(
         events=state.events, alerts=state.alerts, incidents=state.incidents,
-        summaries=_stored_summaries(state.incidents),
+        summaries=_stored_summaries(state.incidents), uploads=_uploads(state.events),
     )
 
 
+def _uploads(events: DataFrame) -> DataFrame:
+    """Uploads derived from the events: one for each scope and source, none for the sample scope."""
+    return events.where(F.col("dataset_id").isNotNull()).select("dataset_id", "source_system").distinct()
+
+
 def _datasets(events: DataFrame) -> DataFrame:
     """Dataset dimension derived from the events."""
     return events.where(F.col("dataset_id").isNotNull()).groupBy("dataset_id", "source_system").agg(

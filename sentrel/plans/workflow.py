@@ -197,11 +197,16 @@ def summarize(
 
 
 def write_report(store: Store, run_at: datetime, dataset_id: int | None = None) -> None:
-    """Store the reports of a scope's incidents as pieces, with summaries where there are any."""
+    """Store the reports of a scope's incidents as pieces.
+
+    Where there is a summary, the report shows the evidence as of its latest version.
+    """
+    latest = materialize(summary.latest_summary(sinks.summaries(store)), "latest-summaries")
     pieces = report.report_pieces(
         stored_evidence(store, dataset_id),
         F.lit(run_at).cast("timestamp"),
-        summary.latest_summary(sinks.summaries(store)),
+        latest,
+        sinks.timeline_of(store, latest),
     )
     sinks.write_pieces(store, "reports", pieces, dataset_id)
 

@@ -13,7 +13,8 @@ from sentrel.sources.telemetry import _burst_time, _events, _text
 
 
 def _rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).withColumn("at", _burst_time(F.col("ts")))
+    """The table may be one row group; rows are dealt out before they are rendered."""
+    return _events(spark, sf_dir).repartition("event_id").withColumn("at", _burst_time(F.col("ts")))
 
 
 def _iso(at: Column) -> Column:

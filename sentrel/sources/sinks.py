@@ -309,24 +309,30 @@ SUMMARY_SCHEMA = (
 )
 
 
-_SUMMARY_EVENT = "summary_id string, incident_id string, event_id bigint"
+_TIMELINE = (
+    "summary_id string, incident_id string, event_id bigint, event_timestamp timestamp, "
+    "source_system string, event_type string, username string, asset string, action string, "
+    "outcome string, severity string, normalized_message string"
+)
 
 
 def append_summaries(
     store: Store, summaries: DataFrame, created_at: datetime, evidence: DataFrame
 ) -> None:
-    """Store summaries, and as a table of their own the evidence ids each of them rests on."""
+    """Store summaries, and as a table of their own the timeline each of them rests on: the rows
+    of its evidence as they are now. A summary is a version; later ones leave it alone.
+    """
     stamp = F.lit(created_at).cast("timestamp")
     rows = summaries.withColumn("created_at", stamp).withColumn(
         "summary_id", F.concat_ws("@", "incident_id", F.unix_micros(stamp).cast("string"))
     )
     names = [part.split()[0] for part in SUMMARY_SCHEMA.split(", ")]
     store.append("summaries", rows.select(*names))
+    own = [part.split()[0] for part in _TIMELINE.split(", ")]
     store.append(
-        "summary_events",
-        rows.select("summary_id", "incident_id").join(
-            evidence.select("incident_id", "event_id"), "incident_id"
-        ).select("summary_id", "incident_id", "event_id"),
+        "summary_timeline",
+        rows.select("summary_id", "incident_id")
+        .join(evidence.select(*own[1:]), "incident_id").select(*own),
     )
 
 
@@ -334,15 +340,20 @@ def summaries(store: Store) -> DataFrame:
     return store.read("summaries", SUMMARY_SCHEMA)
 
 
-def summary_events(store: Store) -> DataFrame:
-    """Evidence of every stored summary, as it was when the summary was made."""
-    return store.read("summary_events", _SUMMARY_EVENT)
+def summary_timeline(store: Store) -> DataFrame:
+    """Timeline of every stored summary version, as it was when the summary was made."""
+    return store.read("summary_timeline", _TIMELINE)
+
+
+def timeline_of(store: Store, chosen: DataFrame) -> DataFrame:
+    """The stored timeline of the chosen summary versions."""
+    return summary_timeline(store).join(chosen.select("summary_id"), "summary_id", "left_semi")
 
 
 def technical_text(store: Store) -> DataFrame:
     """The whole technical text of every stored summary as pieces, by ``summary_id``."""
     stored = summaries(store).withColumn("incident_id", F.col("summary_id"))
-    ids = summary_events(store).withColumn("incident_id", F.col("summary_id"))
+    ids = summary_timeline(store).select(F.col("summary_id").alias("incident_id"), "event_id")
     return technical_pieces(stored, ids).withColumnRenamed("incident_id", "summary_id")
 
 

@@ -73,6 +73,13 @@ def canonical_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(click, F.lit("CLOUD-IAM")).when(api, F.lit("API-GATEWAY-01"))
         .otherwise(F.concat(F.lit("LAPTOP-"), _text(user % 50)))
     )
+    endpoint = (kind == "purchase") & (k >= 50)
+    message = (
+        F.when(endpoint & (k % 10 == 7), F.concat(F.lit("Malware signature "), _text(k)))
+        .when(endpoint & (k % 10 == 2), F.concat(F.lit("Store of CREDENTIALs read, code "), _text(k)))
+        .when(k % 7 == 3, F.concat(F.lit("Observed code "), _text(k), F.lit(" of user "), _text(user)))
+        .when(k % 7 == 5, F.lit(""))
+    )
     severity = (
         F.when(F.col("value") >= 200, "critical").when(F.col("value") >= 90, "high")
         .when(F.col("value") >= 35, "medium").otherwise("low")
@@ -92,5 +99,5 @@ def canonical_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         outcome.alias("outcome"),
         severity.alias("severity"),
         F.when(credential, F.lit("T1003.001")).alias("mitre_technique_id"),
-        F.lit(None).cast("string").alias("normalized_message"),
+        message.alias("normalized_message"),
     )

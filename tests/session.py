@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +18,7 @@ def local_session(cores: str | None = None) -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-"))
         .config("spark.ui.enabled", "false")
         # Call-site capture costs a round trip per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")

@@ -137,6 +137,36 @@ def test_records_of_any_depth_keep_their_fields(spark):
     assert profile.readiness(profile.inspect_schema(uploaded(spark, deep))).first()["status"] == "ready_to_normalize"
 
 
+def test_a_very_deep_record_beside_flat_ones(spark):
+    deep = '"x"'
+    for level in range(999):
+        deep = '{"k%d": %s}' % (level % 3, deep)
+    odd = '{"a.b": 1, "a": {"b": {"c": {"d": {"e": [1, {"z": "]}"}], "f \\"q": 1.50, "g": {}, "h": null, "i": "}{"}}}}}'
+    empty = '{"a": {"b": {"c": {"d": {}}}}}'
+    flat = spark.range(5_000).selectExpr(
+        "1L AS dataset_id", "'generic' AS source_type", "'f' AS file_name", "id AS record_no", "'{\"k\": 1}' AS payload"
+    )
+    rows = [(1, "generic", "g", n, text) for n, text in enumerate((deep, odd, empty, "[1]", "{", '{"k": 1, "k": {}}'), 1)]
+    records_ = flat.unionByName(spark.createDataFrame(rows, UPLOAD))
+    found = profile.flatten_paths(records_).select(
+        "file_name", "record_no", "path", profile.render_sample(F.col("value")).alias("sample")
+    )
+    assert found.where("file_name = 'f'").count() == 5_000
+    own = {(r["record_no"], r["path"]): r["sample"] for r in found.where("file_name = 'g'").collect()}
+    names = [f"k{level % 3}" for level in reversed(range(999))]
+    assert own == {
+        (1, ".".join(names)): "x", (2, "a.b"): "1", (2, "a.b.c.d.e"): '[1,{"z":"]}"}]', (2, 'a.b.c.d.f "q'): "1.5",
+        (2, "a.b.c.d.h"): "null", (2, "a.b.c.d.i"): "}{",
+    }
+
+
+def test_flattening_has_one_plan_and_one_scan(spark, tmp_path):
+    uploaded(spark, {"a": {"b": {"c": {"d": {"e": 1}}}}}, {"a": 1}).write.parquet(str(tmp_path / "r"))
+    plan = profile.flatten_paths(spark.read.parquet(str(tmp_path / "r")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert plan.count("Generate explode") == profile.OPENED_LEVELS + 1
+
+
 def test_one_source_per_target(spark):
     fields = spark.createDataFrame(
         [(1, "zeit.time", 1), (1, "event_time", 2), (1, "timestamp", 3)], "dataset_id bigint, path string, seen bigint"

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sentrel.operators import browse, dashboard, ownership, report, summary
 from sentrel.plans import workflow
+from sentrel.schema import INCIDENT_EVENT_SCHEMA
 from sentrel.sources import sinks
 from sentrel.sources.sinks import Store
 from tests.fixtures import minutes
@@ -144,6 +145,36 @@ def test_incident_and_its_report(store):
     )
 
 
+def test_a_report_shows_the_evidence_of_its_summary(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path))
+    workflow.run_all(spark, str(tmp_path), folder, RUN_AT)
+    incident = sinks.incidents(store).first()["incident_id"]
+    workflow.summarize(store, RUN_AT)
+    workflow.write_report(store, RUN_AT)
+    before = document(store, incident)
+    # Event 6 becomes evidence after the summary.
+    store.append("incident_events", spark.createDataFrame([(incident, None, 6)], INCIDENT_EVENT_SCHEMA))
+    assert workflow.stored_evidence(store).events.where("event_id = 6").count() == 1
+    workflow.write_report(store, RUN_AT)
+    assert document(store, incident) == before
+    later = RUN_AT + timedelta(days=1)
+    workflow.summarize(store, later)
+    workflow.write_report(store, RUN_AT)
+    after = document(store, incident)
+    assert "Event 6: " in after and "\n1, 2, 3, 4, 5, 6, 7, 9, 10, 12, 14, 15, 16\n" in after
+    assert sinks.summary_timeline(store).groupBy("summary_id").count().orderBy("count").select("count").collect() == [(12,), (13,)]
+
+
+def test_a_summary_without_evidence_leaves_todays_timeline(spark, store):
+    gathered = workflow.stored_evidence(store)
+    drafts = summary.summarize(gathered).withColumn("summary_id", F.lit("s"))
+    none = sinks.summary_timeline(Store(spark, store.root + "-none"))
+    pieces = report.report_pieces(gathered, F.lit(RUN_AT), drafts, none)
+    text = summary.document_parts(pieces).first()["text"]
+    assert "Event 1: CLOUD-IAM / interactive_login - " in text
+    assert "No evidence event IDs are available." in text and "Evidence event IDs: ." in text
+
+
 def test_a_document_of_many_pieces_is_whole(spark):
     rows = spark.range(20_001).selectExpr(
         "'big' AS incident_id", "1 AS section", "array(id) AS place", "concat(id, ', ') AS text"
