@@ -22,7 +22,6 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentrel.llm.stages import small_batches
 
 #: Widths of the matrices; a piece goes to the narrowest that holds it.
 WIDTHS = (4, 8, 12, 16, 24, 32, 48, 64, 128, 256)
@@ -319,7 +318,6 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, keep_ids: bool =
     repeated rows, a null ``doc_id`` stays null, other columns are not read. No shuffle; a task
     holds one batch of texts and a bounded table of pieces.
     """
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path, pattern)

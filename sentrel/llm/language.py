@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from sentrel.llm import sample
 from sentrel.llm.shingles import text_buffers
-from sentrel.llm.stages import small_batches
 
 UNDETERMINED = "und"
 LETTER = regex.compile(r"\p{L}")
@@ -182,15 +181,19 @@ def pooled(network: Network, column: pa.Array, width: int) -> np.ndarray:
 def train(
     docs: DataFrame, modulus: int, remainder: int, settings: Settings = Settings()
 ) -> tuple[list[str], Network | None]:
-    """Fit on at most ``per_language`` documents of each language outside the held-out fold."""
+    """Fit on at most ``per_language`` documents of each language outside the held-out fold.
+
+    Documents labelled ``und`` teach nothing. Of rows that share ``doc_id`` and ``lang`` one text
+    counts, that of smallest digest.
+    """
     spark = docs.sparkSession
-    small_batches(spark)
     known = docs.select("doc_id", "lang").where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull()
         & (F.col("lang") != UNDETERMINED) & ~sample.fold(modulus, remainder)
     )
+    # Rows of one document share a place.
     place = Window.partitionBy("lang").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
-    picked = known.withColumn("place", F.row_number().over(place)).where(
+    picked = known.withColumn("place", F.dense_rank().over(place)).where(
         F.col("place") <= settings.per_language
     ).select("doc_id", "lang").distinct().collect()
     languages = sorted({row["lang"] for row in picked})
@@ -220,9 +223,10 @@ def train(
             )
 
     # The chosen side is the sample itself, bounded by per_language.
-    rows = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).mapInArrow(
+    texts = docs.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"])
+    rows = sample.one_text(texts, "doc_id", "lang").mapInArrow(
         run, "doc_id string, lang string, stretch binary"
-    ).limit(2 * settings.per_language * settings.windows * len(languages)).collect()
+    ).collect()
     rows = sorted({(r["doc_id"], r["lang"], bytes(r["stretch"])) for r in rows})
     if not rows:
         return [], None
@@ -244,7 +248,6 @@ def identify(
     score 0. Repeated rows give repeated rows; other columns are not read.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     shared = spark.sparkContext.broadcast((languages, network.weights if network else None))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 
 from sentrel.llm import sample
 from sentrel.llm.shingles import BASE, blocks, mix, text_buffers, word_hashes
-from sentrel.llm.stages import small_batches
 
 REPEATED = np.uint64(0x5851F42D4C957F2D)
 CASED_VALUES = mix(np.arange(1, 257, dtype=np.uint64) * BASE)
@@ -107,7 +106,10 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], classes: int, settings:
     """Train on (class, buckets, shares); every epoch draws as many rows of each class present."""
     rng = np.random.default_rng(7)
     size = 1 << settings.bucket_bits
-    vectors = rng.uniform(-1, 1, (size, settings.dimensions)).astype(np.float32) / settings.dimensions
+    vectors = np.empty((size, settings.dimensions), dtype=np.float32)
+    for start in range(0, size, 4096):
+        part = vectors[start : start + 4096]
+        part[:] = rng.uniform(-1, 1, part.shape).astype(np.float32) / settings.dimensions
     output = np.zeros((classes, settings.dimensions), dtype=np.float32)
     bias = np.zeros(classes, dtype=np.float32)
     by_class = [[i for i, row in enumerate(rows) if row[0] == c] for c in range(classes)]
@@ -143,7 +145,6 @@ def train(
     """Fit on at most ``per_class`` labelled documents of each class outside the held-out fold."""
     known = sample.agreed_labels(labels, column, modulus, remainder)
     chosen = {value: sample.draw(known, value, settings.per_class) for value in (0, 1)}
-    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,12 +160,11 @@ def train(
 
     found = sample.with_texts(docs, chosen).mapInArrow(
         run, "doc_id string, label int, buckets binary, shares binary"
-    ).limit(4 * settings.per_class).collect()
-    found.sort(key=lambda row: (row["doc_id"], bytes(row["buckets"])))
+    ).toArrow().sort_by("doc_id")
     return fit(
         [
-            (row["label"], np.frombuffer(row["buckets"], "<u4"), np.frombuffer(row["shares"], "<f4"))
-            for row in found
+            (label, np.frombuffer(buckets, "<u4"), np.frombuffer(shares, "<f4"))
+            for label, buckets, shares in zip(*(found.column(c).to_pylist() for c in ("label", "buckets", "shares")))
         ],
         2, settings,
     )
@@ -177,7 +177,6 @@ def score_documents(docs: DataFrame, model: Model, modulus: int, remainder: int)
     columns are not read. Without any labelled row every score is 0.5.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     shared = spark.sparkContext.broadcast((model.weights, model.bias, model.settings))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,12 +198,9 @@ def score_documents(docs: DataFrame, model: Model, modulus: int, remainder: int)
 
 
 
-
-
 def reject(docs: DataFrame, model: Model) -> DataFrame:
     """The rows whose score reaches the threshold, with all their columns, in one pass."""
     spark = docs.sparkSession
-    small_batches(spark)
     shared = spark.sparkContext.broadcast((model.weights, model.bias, model.settings))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

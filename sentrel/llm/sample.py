@@ -35,13 +35,19 @@ def agreed_labels(labels: DataFrame, column: str, modulus: int, remainder: int)
     )
 
 
+def one_text(rows: DataFrame, *keys: str) -> DataFrame:
+    """``keys, text``: of the rows that share the keys, the text of smallest digest."""
+    return rows.groupBy(*keys).agg(F.min_by("text", F.md5(F.col("text").cast("binary"))).alias("text"))
+
+
 def with_texts(docs: DataFrame, chosen: dict) -> DataFrame:
-    """``doc_id, label, text`` of the chosen documents (``label -> ids``, a bounded sample)."""
+    """``doc_id, label, text`` of the chosen documents (``label -> ids``, a bounded sample).
+
+    A document is one row, however many rows of ``docs`` bear its ``doc_id``.
+    """
     rows = [(doc_id, label) for label, ids in chosen.items() for doc_id in ids]
     kind = dict(docs.dtypes)["doc_id"]
     label_kind = "string" if any(isinstance(label, str) for label in chosen) else "int"
     picked = docs.sparkSession.createDataFrame(rows, f"doc_id {kind}, label {label_kind}")
     # The picked side is the sample itself, whose size the caller bounds.
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select(
-        "doc_id", "label", "text"
-    )
+    return one_text(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id"), "doc_id", "label")

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from sentrel.llm import shingles
 from sentrel.llm.components import components, forest
-from sentrel.llm.stages import Stages, bitmap, small_batches, sorted_groups
+from sentrel.llm.stages import Stages, bitmap, sorted_groups
 
 
 #: Counts of tokens are told apart up to here, in the bits above so many bits of hash.
@@ -384,7 +384,6 @@ def grouped(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     The component names the texts that links connect, with ``doc_id`` or without; null for texts
     without shingles, which link with nothing.
     """
-    small_batches(docs.sparkSession)
     stages = Stages(docs.sparkSession, "shingle-join")
     signed = stages.write(_signatures(docs, settings))
     nodes, candidates = _candidates(signed, stages)

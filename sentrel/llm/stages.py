@@ -12,19 +12,10 @@ from pyspark.sql import functions as F
 
 from sentrel.session import shared_dir
 
-#: Rows of text handed to Python at once; texts differ in length by orders of magnitude.
-TEXT_ROWS = 256
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = TEXT_ROWS) -> None:
-    """Bound the rows Spark hands to Python at once, so that long texts fit a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-
-
 class Stages:
     """Tables one job writes to the shared folder and removes once nothing reads them."""
 

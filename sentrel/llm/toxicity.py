@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentrel.llm import sample
-from sentrel.llm.stages import small_batches
 
 #: About forty bytes, up to the next space; a run without spaces is cut at eighty.
 WINDOW = re.compile(rb"(?s).{1,40}[^ ]{0,40}")
@@ -196,7 +195,6 @@ def score_documents(
     found. Repeated rows give repeated rows; other columns are not read.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     shared = spark.sparkContext.broadcast((model.ordinary, model.toxic, model.weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -9,8 +9,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-VECTOR_ROWS = 4096
-
 
 def raw_vectors(column: pa.Array) -> list[bytes | None]:
     """Little-endian doubles of every row; None for null, empty, zero or non-finite vectors."""
@@ -28,7 +26,6 @@ def raw_vectors(column: pa.Array) -> list[bytes | None]:
 
 def with_raw(rows: DataFrame, vector: str) -> DataFrame:
     """``vec_id, raw`` of every row; ``raw`` is null where the vector takes no part."""
-    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(VECTOR_ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
