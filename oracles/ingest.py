@@ -279,6 +279,7 @@ FILE_ROWS = (
 SQL: dict[str, str] = {
     "csv_records": FILE_ROWS,
     "ndjson_records": FILE_ROWS,
+    "json_array_records": FILE_ROWS,
     "normalize_auth": _source("n_auth"),
     "normalize_vpn": _source("n_vpn"),
     "normalize_cloud": _source("n_cloud"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sentrel.operators import normalize, profile, uploads
@@ -129,14 +129,14 @@ def ndjson_reject_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.select("dataset_id", "file_name", "line_no", "reason")
 
 
-def _file_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _file_rows(spark: SparkSession, sf_dir: str, *more: Column) -> DataFrame:
     """Events as file rows; the note holds commas, quotes and a line break."""
     note = F.concat(
         F.lit('first "'), F.coalesce("asset", F.lit("")), F.lit('"\nsecond, '), F.col("event_id").cast("string")
     )
     return canonical_events(spark, sf_dir).select(
         F.col("event_id").cast("string").alias("event_id"),
-        F.coalesce("username", F.lit("")).alias("username"), note.alias("note"),
+        F.coalesce("username", F.lit("")).alias("username"), note.alias("note"), *more,
     )
 
 
@@ -167,6 +167,22 @@ def ndjson_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cells(files.read_ndjson(spark, path))
 
 
+@query
+def json_array_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events written as JSON arrays, a file for each day, and read back."""
+    path = f"{shared_dir(spark)}/stages/json-{uuid.uuid4().hex}"
+    in_day = Window.partitionBy("day").orderBy("event_id")
+    place, last = F.row_number().over(in_day), F.lead("event_id").over(in_day).isNull()
+    lines = _file_rows(spark, sf_dir, F.to_date("event_timestamp").alias("day")).select(
+        "day",
+        F.concat(
+            F.when(place == 1, "[").otherwise(","), F.to_json(F.struct("event_id", "username", "note")), F.when(last, "]").otherwise("")
+        ).alias("value"),
+    )
+    lines.write.partitionBy("day").text(path)
+    return _cells(files.read_json(spark, path))
+
+
 @query
 def flatten_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every leaf field of every uploaded record."""

@@ -3,23 +3,22 @@
 Every reader returns records (``file_name``, ``record_no``, ``payload`` as JSON text) in which
 ``record_no`` counts the records or lines of the file from 1.
 
-CSV and NDJSON files are split across tasks. A JSON array file is one document and is parsed by
-one task; deliver large arrays as many files or as NDJSON.
+Files of every format are split across tasks (see ``sources.splits``), and no list of files passes
+through the driver.
 """
 
 from __future__ import annotations
 
-import csv
 from dataclasses import dataclass
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sentrel.schema import RECORD_SCHEMA
+from sentrel.session import materialize
 from sentrel.sources.records import ndjson_records, ndjson_rejects
+from sentrel.sources.splits import csv_cells, csv_records, json_segments, named_like
 
 # Upload formats by file suffix.
 SUFFIXES = (".csv", ".json", ".ndjson")
@@ -73,55 +72,107 @@ def _records(df: DataFrame) -> DataFrame:
     return df.select("file_name", F.col("record_no").cast("bigint").alias("record_no"), "payload")
 
 
+def _json_elements(spark: SparkSession, path: str | list[str], lone_object: bool, suffix: str | None) -> DataFrame:
+    """Segments of JSON documents with the elements they hold; null where a segment is no JSON."""
+    text = F.btrim(F.regexp_replace("text", "^\ufeff", ""), F.lit(" \t\r\n"))
+    body = F.when(F.col("tail"), text).otherwise(F.concat(text, F.lit("}")))
+    first, tail = F.col("place") == 0, F.col("tail")
+    rest = F.when(body.startswith(","), F.concat(F.lit("["), F.substring(body, 2, 2**30)))
+    of_array = (
+        F.when(first & ~tail, F.concat(body, F.lit("]")))
+        .when(first, body)
+        .when(~tail, F.concat(rest, F.lit("]")))
+        .when(body == "]", F.lit("[]"))
+        # Something must follow the comma.
+        .when(~F.regexp_like(body, F.lit(r"^,\s*\]$")), rest)
+    )
+    of_object = F.when(first & ~tail, F.concat(F.lit("["), body, F.lit("]"))).when(tail & (body == ""), F.lit("[]"))
+    document = F.when(F.col("opener") == "[", F.when(~tail | body.endswith("]"), of_array))
+    if lone_object:
+        document = F.when(F.col("opener") == "{", of_object).otherwise(document)
+    return json_segments(spark, path, suffix).select(
+        "file", "file_name", "block", "place",
+        F.when(F.col("sound"), F.try_variant_get(F.try_parse_json(document), "$", "array<variant>")).alias("elements"),
+    )
+
+
 def read_json(
-    spark: SparkSession, path: str | list[str], strict: bool = True, lone_object: bool = False
+    spark: SparkSession, path: str | list[str], strict: bool = True, lone_object: bool = False,
+    suffix: str | None = None,
 ) -> DataFrame:
     """Records of JSON files that hold an array of objects.
 
-    ``lone_object`` also accepts a single object as one record. Strict: a file that is no such
-    document, or an element that is no object, fails the job; otherwise it is left out.
+    A file is read by as many tasks as it has splits. ``lone_object`` also accepts a single object as
+    one record. Strict: a file that is no such document, or an element that is no object, fails the
+    job; otherwise it is left out, and ``json_rejects`` lists it.
     """
-    whole = (
-        spark.read.option("multiLine", True).option("singleVariantColumn", "document")
-        .json(path)
-        .select("document", F.col("_metadata.file_name").alias("file_name"))
-    )
-    document = F.col("document")
-    elements = F.try_variant_get(document, "$", "array<variant>")
-    if lone_object:
-        is_lone = F.try_variant_get(document, "$", "map<string,variant>").isNotNull()
-        elements = F.coalesce(elements, F.when(is_lone, F.array(document)))
-    if strict:
-        wanted = "an object or an array of objects" if lone_object else "a JSON array"
-        wrong = F.raise_error(F.concat(F.lit(f"Expected {wanted} in "), F.col("file_name")))
-        elements = F.coalesce(elements, wrong.cast("array<variant>"))
-    opened = whole.select("file_name", F.posexplode(elements).alias("place", "element"))
-    text = F.to_json("element")
-    is_record = text.startswith("{")
-    records = opened.select(
-        "file_name", (F.col("place") + 1).alias("record_no"), text.alias("payload"),
-        F.coalesce(is_record, F.lit(False)).alias("is_record"),
-    )
+    segments = _json_elements(spark, path, lone_object, suffix)
     if not strict:
-        return _records(records.where("is_record"))
+        return _records(_lenient_json(segments).where("is_record"))
+    wanted = "an object or an array of objects" if lone_object else "a JSON array"
+    wrong = F.raise_error(F.concat(F.lit(f"Expected {wanted} in "), F.col("file_name")))
     not_object = F.raise_error(
         F.concat(F.lit("Expected every record to be an object in "), F.col("file_name"))
     )
-    return _records(
-        records.withColumn(
-            "payload", F.when(F.col("is_record"), F.col("payload")).otherwise(not_object)
+    # Every element is an object, so a segment holds one and its place is the record's.
+    opened = segments.select(
+        "file_name", (F.col("place") + 1).alias("record_no"),
+        F.explode(F.coalesce("elements", wrong.cast("array<variant>"))).alias("element"),
+    )
+    text = F.to_json("element")
+    return _records(opened.withColumn("payload", F.when(text.startswith("{"), text).otherwise(not_object)))
+
+
+def _lenient_json(segments: DataFrame) -> DataFrame:
+    """Elements of the readable files, numbered, and whether they are objects."""
+    segments = materialize(segments, "json-segments")
+    bad = segments.where(F.col("elements").isNull()).select("file").distinct()
+    good = segments.join(bad, "file", "left_anti")
+    sizes = good.groupBy("file", "block").agg(F.sum(F.size("elements")).alias("size"))
+    rows_before = lambda order: F.coalesce(
+        F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    blocks = sizes.select(
+        "file", "block", rows_before(Window.partitionBy("file").orderBy("block")).alias("before")
+    )
+    in_block = rows_before(Window.partitionBy("file", "block").orderBy("place"))
+    numbered = good.withColumn("size", F.size("elements")).withColumn("within", in_block).join(blocks, ["file", "block"])
+    opened = numbered.select(
+        "file_name", (F.col("before") + F.col("within") + 1).alias("first"),
+        F.posexplode("elements").alias("at", "element"),
+    )
+    text = F.to_json("element")
+    return opened.select(
+        "file_name", (F.col("first") + F.col("at")).alias("record_no"), text.alias("payload"),
+        F.coalesce(text.startswith("{"), F.lit(False)).alias("is_record"),
+    )
+
+
+def json_rejects(
+    spark: SparkSession, path: str | list[str], lone_object: bool = True, suffix: str | None = None
+) -> DataFrame:
+    """What a lenient load leaves out: elements that are no objects, and unreadable files whole."""
+    segments = materialize(_json_elements(spark, path, lone_object, suffix), "json-segments")
+    files = segments.where(F.col("elements").isNull()).select("file", "file_name").distinct()
+    return (
+        _lenient_json(segments).where("NOT is_record")
+        .select("file_name", F.col("record_no").cast("bigint").alias("record_no"), F.lit("not a JSON object").alias("reason"))
+        .unionByName(
+            files.select("file_name", F.lit(None).cast("bigint").alias("record_no"), F.lit("not a JSON document").alias("reason"))
         )
     )
 
 
-def read_csv(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | list[str], strict: bool = True, suffix: str | None = None
+) -> DataFrame:
     """Records of CSV files with a header each, every cell as text.
 
-    A short row has nulls for the missing cells. Strict: a row with more cells than its header
-    fails the job; otherwise ``csv_rejects`` lists it. Files whose quoted cells hold line breaks
-    are one task each; all other files are split.
+    A file is read by as many tasks as it has splits, also where quoted cells hold line breaks. A
+    short row has nulls for the missing cells. Strict: a row with more cells than its header fails
+    the job; otherwise ``csv_rejects`` lists it.
     """
-    rows = _csv_rows(spark, path)
+    rows = _csv_rows(spark, path, suffix)
     if not strict:
         return _records(rows.where(~F.col("overlong")))
     wrong = F.raise_error(
@@ -134,97 +185,44 @@ def read_csv(spark: SparkSession, path: str | list[str], strict: bool = True) ->
     return _records(rows.where(F.when(F.col("overlong"), wrong.cast("boolean")).otherwise(F.lit(True))))
 
 
-def csv_rejects(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def csv_rejects(spark: SparkSession, path: str | list[str], suffix: str | None = None) -> DataFrame:
     """Rows with more cells than the header has columns."""
-    rows = _csv_rows(spark, path).where("overlong")
+    rows = _csv_rows(spark, path, suffix).where("overlong")
     return rows.select("file_name", "record_no", F.lit("more cells than columns").alias("reason"))
 
 
-@dataclass(frozen=True)
-class _Layout:
-    """CSV files that share a header, and whether their quoted cells hold line breaks."""
-
-    header: str
-    broken: bool
-    files: list[str]
-
-
-def _layouts(spark: SparkSession, path: str | list[str]) -> list[_Layout]:
-    """One entry for each distinct header, found by one pass over the lines.
-
-    A line with an odd number of quotes opens or closes a cell that goes on in another line.
-    """
-    line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    lines = spark.read.text(path).select(
-        line, F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"),
-        (quotes % 2 == 1).alias("odd"),
+def _csv_rows(spark: SparkSession, path: str | list[str], suffix: str | None) -> DataFrame:
+    """Rows of all files, each with its own file's header: layouts are a table keyed by file."""
+    records = materialize(csv_records(spark, path, suffix), "csv-records").withColumn("cells", csv_cells(F.col("text")))
+    named = F.transform("names", lambda name, at: F.struct(name.alias("name"), at.alias("at")))
+    # Of columns that share a name the last keeps it; columns without a name are dropped.
+    later = lambda column: F.slice(F.col("names"), column["at"] + 2, F.size("names"))
+    kept = F.filter(
+        named, lambda column: (column["name"] != "") & ~F.array_contains(later(column), column["name"])
     )
-    found = (
-        lines.groupBy("file").agg(F.min_by("value", "place").alias("header"), F.max("odd").alias("broken"))
-        .groupBy("header", "broken").agg(F.sort_array(F.collect_list("file")).alias("files"))
-        .orderBy("header", "broken").collect()
-    )
-    return [
-        _Layout(row["header"], row["broken"], [unquote(file) for file in row["files"]]) for row in found
-    ]
-
-
-def _column_names(reader, layout: _Layout) -> list[str]:
-    """Column names of a layout; of columns that share a name, the last keeps it."""
-    if layout.header.count('"') % 2:
-        names = reader.csv(layout.files[0]).columns
-    else:
-        names = next(csv.reader([layout.header.removeprefix("\ufeff")]), [])
-    return [
-        f"__unused_{i}" if not name or name in names[i + 1 :] else name for i, name in enumerate(names)
-    ]
-
-
-def _csv_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    parts = [_layout_rows(spark, layout) for layout in _layouts(spark, path)]
-    empty = spark.createDataFrame([], "file_name string, record_no bigint, payload string, overlong boolean")
-    return reduce(DataFrame.unionByName, parts, empty)
-
-
-def _layout_rows(spark: SparkSession, layout: _Layout) -> DataFrame:
-    reader = spark.read.option("header", True).option("multiLine", layout.broken).option("escape", '"')
-    names = _column_names(reader, layout)
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in (*names, "_corrupt_record")])
-    rows = (
-        reader.schema(schema).option("columnNameOfCorruptRecord", "_corrupt_record").csv(layout.files)
+    headers = (
+        records.where(F.col("record") == 1)
+        .select("file", csv_cells(F.regexp_replace("text", "^\ufeff", "")).alias("names"))
+        .select("file", kept.alias("columns"), F.size("names").alias("width"))
     )
-    # Short and overlong rows are both reported as corrupt; their cells tell them apart.
-    raw = F.col("_corrupt_record")
-    unquoted = F.regexp_replace(raw, '"[^"]*"', "")
-    commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
-    quoted = [f"`{name.replace('`', '``')}`" for name in names]
-    filled = sum((F.col(name).isNotNull().cast("int") for name in quoted), F.lit(0))
-    cells = F.when(raw.isNull(), filled).otherwise(commas + 1)
-    overlong = cells > len(names)
-    # Empty cells read as null; only those a short row lacks stay null.
-    values = [
-        F.when(raw.isNull(), F.coalesce(F.col(column), F.lit(""))).otherwise(F.col(column)).alias(name)
-        for name, column in zip(names, quoted) if not name.startswith("__unused_")
-    ]
-    payload = F.to_json(F.struct(*values), {"ignoreNullFields": "false"}) if values else F.lit("{}")
-    return (
-        _numbered(rows, "record_no")
-        .withColumn("overlong", overlong)
-        .withColumn("payload", payload)
-        .select("file_name", F.col("record_no").cast("bigint").alias("record_no"), "payload", "overlong")
+    cells = F.transform("columns", lambda column: F.struct(column["name"], F.get("cells", column["at"])))
+    return records.where(F.col("record") > 1).join(headers, "file").select(
+        "file_name", (F.col("record") - 1).cast("bigint").alias("record_no"),
+        F.to_json(F.map_from_entries(cells)).alias("payload"), (F.size("cells") > F.col("width")).alias("overlong"),
     )
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], suffix: str | None = None) -> DataFrame:
     """(file_name, line_no, line) of text files, blank lines counted."""
-    return _numbered(spark.read.text(path), "line_no").withColumnRenamed("value", "line")
+    lines = named_like(spark.read, suffix).text(path)
+    return _numbered(lines, "line_no").withColumnRenamed("value", "line")
 
 
-def read_ndjson(spark: SparkSession, path: str | list[str], strict: bool = True) -> DataFrame:
+def read_ndjson(
+    spark: SparkSession, path: str | list[str], strict: bool = True, suffix: str | None = None
+) -> DataFrame:
     """Records of newline-delimited JSON. Strict: a bad line fails the job with its number."""
-    lines = read_lines(spark, path)
+    lines = read_lines(spark, path, suffix)
     if not strict:
         return _records(ndjson_records(lines))
     message = F.raise_error(
@@ -268,18 +266,17 @@ def read_upload(
     strict: bool = True,
 ) -> DataFrame:
     """Records of an uploaded file, or of all files in a folder, by suffix."""
-    present = _suffixes(spark, path)
-    unknown = set(present) - set(SUFFIXES)
-    if unknown and strict:
-        raise ValueError(f"Only {', '.join(SUFFIXES)} uploads are supported, found {sorted(unknown)}")
-    readers = {
-        ".csv": lambda names: read_csv(spark, names, strict),
-        ".json": lambda names: read_json(spark, names, strict, lone_object=True),
-        ".ndjson": lambda names: read_ndjson(spark, names, strict),
-    }
-    parts = [readers[suffix](present[suffix]) for suffix in SUFFIXES if suffix in present]
-    empty = spark.createDataFrame([], "file_name string, record_no bigint, payload string")
-    records = reduce(DataFrame.unionByName, parts, empty)
+    if strict:
+        found = _unknown_files(spark, path).select("file_name").head(3)
+        if found:
+            names = sorted(row["file_name"] for row in found)
+            raise ValueError(f"Only {', '.join(SUFFIXES)} uploads are supported, found {names}")
+    parts = [
+        read_csv(spark, path, strict, ".csv"),
+        read_json(spark, path, strict, lone_object=True, suffix=".json"),
+        read_ndjson(spark, path, strict, ".ndjson"),
+    ]
+    records = reduce(DataFrame.unionByName, parts)
     return records.withColumn("dataset_id", F.lit(dataset_id).cast("bigint")).withColumn(
         "source_type", F.lit(source_type)
     )
@@ -290,35 +287,26 @@ def upload_rejects(spark: SparkSession, path: str, dataset_id: int) -> DataFrame
 
     Files of an unknown format are listed whole, without a record number.
     """
-    present = _suffixes(spark, path)
+    lines = ndjson_rejects(read_lines(spark, path, ".ndjson"))
     parts = [
-        spark.createDataFrame(
-            [(name.rsplit("/", 1)[-1], None, "unsupported format") for suffix in sorted(set(present) - set(SUFFIXES))
-             for name in present[suffix]],
-            "file_name string, record_no bigint, reason string",
-        )
+        _unknown_files(spark, path).select(
+            "file_name", F.lit(None).cast("bigint").alias("record_no"), F.lit("unsupported format").alias("reason")
+        ),
+        csv_rejects(spark, path, ".csv"),
+        json_rejects(spark, path, suffix=".json"),
+        lines.select("file_name", F.col("line_no").cast("bigint").alias("record_no"), "reason"),
     ]
-    if ".csv" in present:
-        parts.append(csv_rejects(spark, present[".csv"]))
-    if ".ndjson" in present:
-        parts.append(
-            ndjson_rejects(read_lines(spark, present[".ndjson"]))
-            .select("file_name", F.col("line_no").cast("bigint").alias("record_no"), "reason")
-        )
     return reduce(DataFrame.unionByName, parts).select(
         F.lit(dataset_id).cast("bigint").alias("dataset_id"), "file_name", "record_no", "reason"
     )
 
 
-def _suffixes(spark: SparkSession, path: str) -> dict[str, list[str]]:
-    """Files with content by suffix in lower case. The driver lists input files in any case."""
-    found = spark.read.format("binaryFile").load(path).where("length > 0").select(
-        "path", F.lower(F.regexp_extract("path", r"(\.[^./]*)$", 1)).alias("suffix")
-    )
-    out: dict[str, list[str]] = {}
-    for row in found.orderBy("path").collect():
-        out.setdefault(row["suffix"], []).append(row["path"])
-    return out
+def _unknown_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files with content whose format is not known; only their names are read."""
+    name = F.element_at(F.split("path", "/"), -1)
+    return spark.read.format("binaryFile").load(path).where("length > 0").select(
+        name.alias("file_name"), F.lower(F.regexp_extract(name, r"(\.[^.]*)$", 1)).alias("suffix")
+    ).where(~F.col("suffix").isin(*SUFFIXES))
 
 
 def with_event_ids(records: DataFrame, sources: tuple[SourceFile, ...] = SOURCE_FILES) -> DataFrame:
