@@ -8,9 +8,11 @@ sample's size is set beforehand and a cell's weight is its documents' probabilit
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentrel.llm.stages import Stages
@@ -111,43 +113,98 @@ def _factor(settings: Settings) -> Column:
     )
 
 
+#: Sweeps between two written tables, after which convergence is looked at.
+WRITTEN_SWEEPS = 4
+
+
+def _swept(cells: DataFrame, settings: Settings) -> DataFrame:
+    """Fit each dimension once; ``before`` keeps the weight that the sweep began with."""
+    amount, weight = F.col("tokens") * F.col("weight"), F.col("weight")
+    cells = cells.withColumn("before", weight)
+    for name in DIMENSIONS:
+        value = Window.partitionBy(name)
+        scaled = weight * _factor(settings)
+        cells = cells.withColumns(
+            {
+                "mass": F.col(f"mass_{name}"), "held": F.sum(amount).over(value),
+                "full": F.sum(F.when(weight >= 1, amount).otherwise(0.0)).over(value),
+            }
+        ).withColumn("weight", scaled if settings.keep is None else F.least(F.lit(1.0), scaled))
+    return cells.drop("mass", "held", "full")
+
+
 def rake(cells: DataFrame, settings: Settings, stages: Stages) -> DataFrame:
-    """``source, lang, topic, tokens, weight``: cells (of any number) raked to the targets.
+    """``source, lang, topic, tokens, weight`` and each dimension's ``mass_``: cells raked to the targets.
 
-    A sweep fits each dimension once; every sweep's cells are written. With ``keep`` no weight
-    passes 1: scaling to a marginal and cutting at 1 are projections in turn, which end where all
-    of them hold. Marginals that contradict each other, or ask for values without tokens, end
-    after ``sweeps`` sweeps, or where a sweep changes nothing.
+    A sweep fits each dimension once, by sums over the cells of each value; a few sweeps' cells are
+    written at a time. With ``keep`` no weight passes 1: scaling to a marginal and cutting at 1 are
+    projections in turn, which end where all of them hold. Marginals that contradict each other,
+    or ask for values without tokens, end after ``sweeps`` sweeps, or where a sweep changes
+    nothing. ``marginals`` tells how far each is off; a warning says if one is by over a hundredth.
     """
-    targets = {name: stages.write(_targets(cells, name, settings)) for name in DIMENSIONS}
     start = 1.0 if settings.keep is None else float(settings.keep)
-    current = cells.withColumns({"weight": F.lit(start), "moved": F.lit(0.0), "before": F.lit(start)})
-    amount = F.col("tokens") * F.col("weight")
-    for sweep in range(settings.sweeps):
-        for name in DIMENSIONS:
-            held = current.groupBy(name).agg(
-                F.sum(amount).alias("held"), F.sum(F.when(F.col("weight") >= 1, amount).otherwise(0.0)).alias("full")
-            )
-            factors = held.join(targets[name], name).select(name, _factor(settings).alias("factor"))
-            weight = F.col("weight") * F.col("factor")
-            current = current.join(factors, name).select(
-                *DIMENSIONS, "tokens", "before",
-                (weight if settings.keep is None else F.least(F.lit(1.0), weight)).alias("weight"),
-                F.greatest(
-                    "moved", F.when(F.col("tokens") > 0, F.abs(F.col("factor") - 1)).otherwise(0.0)
-                ).alias("moved"),
-            )
-        if settings.keep is not None:
-            # A full value asks for more for ever; what counts is whether weights still change.
-            change = F.abs(F.col("weight") - F.col("before")) / F.col("before")
-            moving = (F.col("tokens") > 0) & (F.col("before") > 0)
-            current = current.withColumn("moved", F.when(moving, change).otherwise(0.0))
-        written = stages.write(current)
-        moved = written.agg(F.max("moved")).first()[0]
-        current = written.withColumns({"moved": F.lit(0.0), "before": F.col("weight")})
+    current = cells.withColumn("weight", F.lit(start))
+    for name in DIMENSIONS:
+        current = current.join(_targets(cells, name, settings).withColumnRenamed("mass", f"mass_{name}"), name)
+    written = stages.write(current)
+    moved, done = None, 0
+    while done < settings.sweeps:
+        for _ in range(min(WRITTEN_SWEEPS, settings.sweeps - done)):
+            current = _swept(current, settings)
+            done += 1
+        last, written = written, stages.write(current)
+        stages.drop(last)
+        moving = (F.col("tokens") > 0) & (F.col("before") > 0)
+        change = F.abs(F.col("weight") - F.col("before")) / F.col("before")
+        moved = written.agg(F.max(F.when(moving, change))).first()[0]
+        current = written.drop("before")
         if moved is None or moved <= settings.tolerance:
             break
-    return written.select(*DIMENSIONS, "tokens", "weight")
+    worst = residuals(current).agg(F.max(F.abs(F.col("residual")))).first()[0] or 0.0
+    if worst > OFF:
+        warnings.warn(f"a marginal is off by {worst:.3g} of its target after {done} sweeps; see marginals()", stacklevel=2)
+    return current
+
+
+#: Share of its target by which a marginal may be off without a warning.
+OFF = 0.01
+
+
+def residuals(raked: DataFrame) -> DataFrame:
+    """``dimension, value, target, held, residual`` of every marginal of raked cells, in tokens."""
+    parts = [
+        raked.groupBy(F.col(name).alias("value")).agg(
+            F.max(f"mass_{name}").alias("target"), F.sum(F.col("tokens") * F.col("weight")).alias("held")
+        ).select(
+            F.lit(name).alias("dimension"), F.when(F.col("value") != MISSING, F.substring("value", 2, 1 << 30)).alias("value"),
+            "target", "held",
+            F.when(F.col("target") > 0, (F.col("held") - F.col("target")) / F.col("target")).alias("residual"),
+        )
+        for name in DIMENSIONS
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def marginals(docs: DataFrame, topic: Column | None = None, settings: Settings = Settings()) -> DataFrame:
+    """``dimension, value, target, held, residual``: what each marginal should hold and does, in tokens.
+
+    ``residual`` is the difference as a share of the target, null for a target of nothing.
+    """
+    stages = Stages(docs.sparkSession, "mixing")
+    return residuals(rake(_cells(_prepared(docs, _topic(docs, topic)), stages), settings, stages))
+
+
+def _topic(docs: DataFrame, topic: Column | None) -> Column:
+    """The given topic, else the table's own column, else one from the form of the text."""
+    if topic is not None:
+        return topic
+    return F.col("topic") if "topic" in docs.columns else form_topic()
+
+
+def _cells(prepared: DataFrame, stages: Stages) -> DataFrame:
+    return stages.write(
+        prepared.groupBy(*(F.col(f"__{d}").alias(d) for d in DIMENSIONS)).agg(F.sum("__tokens").alias("tokens"))
+    )
 
 
 def probabilities(docs: DataFrame, topic: Column | None = None, settings: Settings = Settings()) -> DataFrame:
@@ -158,18 +215,16 @@ def probabilities(docs: DataFrame, topic: Column | None = None, settings: Settin
     reach. Without ``keep`` it is the weight over the largest weight of any cell with tokens. No
     probability exceeds 1. A document without tokens follows its cell; a cell without tokens has
     probability 0. The draw hashes ``doc_id``: repeated rows go or stay together, also from run
-    to run. Null sources, languages and topics are values of their own. Columns of the four
-    result names are replaced.
+    to run. Null sources, languages and topics are values of their own. Columns named ``tokens``,
+    ``probability`` or ``sampled`` are replaced; a ``topic`` column stays and is the topic, unless
+    another one is given.
     """
     stages = Stages(docs.sparkSession, "mixing")
-    results = ("tokens", "probability", "sampled")
-    own = [c for c in docs.columns if c not in (*results, "topic")]
-    chosen = topic if topic is not None else form_topic()
-    prepared = _prepared(docs, chosen)
-    cells = stages.write(
-        prepared.groupBy(*(F.col(f"__{d}").alias(d) for d in DIMENSIONS)).agg(F.sum("__tokens").alias("tokens"))
-    )
-    raked = rake(cells, settings, stages)
+    results = ("tokens", "probability", "sampled", "topic")
+    own = [c for c in docs.columns if c not in results]
+    own_topic = topic is None and "topic" in docs.columns
+    prepared = _prepared(docs, _topic(docs, topic))
+    raked = rake(_cells(prepared, stages), settings, stages)
     largest = 1.0
     if settings.keep is None:
         largest = raked.where(F.col("tokens") > 0).agg(F.max("weight")).first()[0] or 0.0
@@ -181,11 +236,11 @@ def probabilities(docs: DataFrame, topic: Column | None = None, settings: Settin
     )
     digits = F.substring(F.md5(F.concat(F.lit(f"{settings.seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))), 1, 13)
     draw = F.conv(digits, 16, 10).cast("double") / F.lit(float(16**13))
-    return prepared.select(*own, "__tokens", *(f"__{d}" for d in DIMENSIONS)).join(
-        weights, [f"__{d}" for d in DIMENSIONS]
-    ).select(
-        *own, F.col("__tokens").alias("tokens"),
-        F.when(F.col("__topic") != MISSING, F.substring("__topic", 2, 1 << 30)).alias("topic"),
+    shown = F.col("topic") if own_topic else F.when(F.col("__topic") != MISSING, F.substring("__topic", 2, 1 << 30))
+    return prepared.select(
+        *own, *(["topic"] if own_topic else []), "__tokens", *(f"__{d}" for d in DIMENSIONS)
+    ).join(weights, [f"__{d}" for d in DIMENSIONS]).select(
+        *own, F.col("__tokens").alias("tokens"), shown.alias("topic"),
         "probability", (draw < F.col("probability")).alias("sampled"),
     )
 

@@ -161,13 +161,18 @@ def train(
     found = sample.with_texts(docs, chosen).mapInArrow(
         run, "doc_id string, label int, buckets binary, shares binary"
     ).toArrow().sort_by("doc_id")
-    return fit(
-        [
-            (label, np.frombuffer(buckets, "<u4"), np.frombuffer(shares, "<f4"))
-            for label, buckets, shares in zip(*(found.column(c).to_pylist() for c in ("label", "buckets", "shares")))
-        ],
-        2, settings,
-    )
+    held = [arrays(found.column(name), kind) for name, kind in (("buckets", "<u4"), ("shares", "<f4"))]
+    return fit(list(zip(found.column("label").to_pylist(), *held)), 2, settings)
+
+
+def arrays(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
+    """The rows of a binary column as arrays that share its memory."""
+    whole = column.cast(pa.large_binary()).combine_chunks()
+    _, ends, data = whole.buffers()
+    if data is None:
+        return [np.zeros(0, kind)] * len(column)
+    ends = np.frombuffer(ends, np.int64)[whole.offset : whole.offset + len(whole) + 1]
+    return [np.frombuffer(data, kind, (b - a) // 4, a) for a, b in zip(ends[:-1], ends[1:])]
 
 
 def score_documents(docs: DataFrame, model: Model, modulus: int, remainder: int) -> DataFrame:

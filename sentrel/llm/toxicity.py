@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentrel.llm import sample
@@ -27,10 +27,17 @@ SAVINGS = (1, 2, 3, 4)
 
 @dataclass(frozen=True)
 class Settings:
-    """``toxic_rows`` and ``ordinary_rows`` bound the labelled rows that training reads."""
+    """``toxic_rows`` and ``ordinary_rows`` bound the labelled rows that training reads, and
+    ``sample_bytes`` the bytes of either kind: whole texts, in the order of the rows' digests, as far
+    as they hold so many together. A text of more than a sixteenth of them is no sample. The ordinary
+    dictionary learns from windows, in seeded random order, of ``dictionary_sample`` times its own
+    size, as more of them wear its content down; all else reads every window of the sample.
+    """
 
     toxic_rows: int = 800
     ordinary_rows: int = 1600
+    sample_bytes: int = 8 << 20
+    dictionary_sample: int = 50
     ordinary_bytes: int = 32768
     toxic_bytes: int = 2048
     rounds: int = 4
@@ -139,7 +146,11 @@ def fit(toxic: list[bytes], ordinary: list[bytes], settings: Settings = Settings
         return [distinct[i] for i in rng.permutation(len(distinct))]
 
     toxic_parts, ordinary_parts = parts(toxic), parts(ordinary)
-    base = trained(ordinary_parts[:40_000], settings.ordinary_bytes, 12)
+    upto = np.cumsum([len(p) for p in ordinary_parts])
+    base = trained(
+        ordinary_parts[: int(np.searchsorted(upto, settings.dictionary_sample * settings.ordinary_bytes)) + 1],
+        settings.ordinary_bytes, 12,
+    )
     plain = lengths(compressor(base), toxic_parts)
     share = plain / np.maximum([len(p) for p in toxic_parts], 1)
     chosen = [p for p, x in zip(toxic_parts, share) if x > np.median(share)]
@@ -179,9 +190,14 @@ def train(
     """Fit on a bounded sample of labelled documents outside the held-out fold."""
     known = sample.agreed_labels(labels, column, modulus, remainder)
     chosen = {1: sample.draw(known, 1, settings.toxic_rows), 0: sample.draw(known, 0, settings.ordinary_rows)}
-    rows = sample.with_texts(docs, chosen).where(F.length("text") > 0).limit(
-        2 * (settings.toxic_rows + settings.ordinary_rows)
-    ).collect()
+    size = F.octet_length("text")
+    # One partition for each label, of as many rows as the sample has.
+    order = Window.partitionBy("label").orderBy(F.md5(F.col("doc_id").cast("string")), "doc_id")
+    rows = (
+        sample.with_texts(docs, chosen).where((size > 0) & (size <= settings.sample_bytes // 16))
+        .withColumn("upto", F.sum(size).over(order)).where(F.col("upto") <= settings.sample_bytes)
+        .select("label", "doc_id", "text").collect()
+    )
     texts = sorted({(row["label"], row["doc_id"], row["text"].encode()) for row in rows})
     return fit([t for y, _, t in texts if y == 1], [t for y, _, t in texts if y == 0], settings)
 

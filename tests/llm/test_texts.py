@@ -15,7 +15,9 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from sentrel.llm import bpe, language, line_dedup, mixing, quality, queries, shingle_join, toxicity
+from sentrel.llm import (
+    bpe, language, line_dedup, mixing, quality, queries, sample, shingle_join, toxicity,
+)
 from sentrel.llm.stages import sorted_groups
 from tests.compare import duck_rows, register, spark_rows
 from tests.llm.plain import kept_lines, shingle_set, smallest_reachable
@@ -360,3 +362,48 @@ def test_runs_across_batches(step, monkeypatch):
         assert keys == sorted(
             (int(a), (min(many[int(x)], 4) << 52) | y) for a, x, y in zip(node, h, low) if many[int(x)] > 1
         )
+
+
+def test_a_topic_column_stays_and_is_the_topic(spark):
+    rows = [(i, "a b c d", "s", "en", 7 if i % 3 else None, 1) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, topic int, tokens int")
+    out = mixing.probabilities(docs)
+    assert dict(out.dtypes)["topic"] == "int" and out.columns.count("tokens") == 1
+    assert {(r["topic"], r["tokens"]) for r in out.collect()} == {(7, 4), (None, 4)}
+    shares = {(r["dimension"], r["value"]): r for r in mixing.marginals(docs).collect()}
+    assert set(shares) == {("source", "s"), ("lang", "en"), ("topic", "7"), ("topic", None)}
+    assert all(abs(r["residual"]) < 1e-6 for r in shares.values())
+
+
+def test_marginals_that_contradict_each_other_say_so(spark):
+    rows = [(i, "w " * 10, "a" if i % 2 else "b", "x" if i % 2 else "y", "t") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, topic string")
+    settings = mixing.Settings(targets={"source": {"a": 0.9, "b": 0.1}, "lang": {"x": 0.1, "y": 0.9}}, keep=None, sweeps=8)
+    with pytest.warns(UserWarning, match="a marginal is off"):
+        residuals = {(r["dimension"], r["value"]): r["residual"] for r in mixing.marginals(docs, settings=settings).collect()}
+    assert abs(residuals["source", "a"]) > 0.5 and abs(residuals["lang", "x"]) < 1e-6
+
+
+def test_training_takes_one_text_a_document(spark):
+    docs = spark.createDataFrame(
+        [(d, f"text {i % 7} of {d} " * 20) for d in range(8) for i in range(100)], "doc_id long, text string"
+    )
+    labels = spark.createDataFrame([(d, d % 2) for d in range(8)], "doc_id long, quality int")
+    models = [quality.train(docs.repartition(n), labels, "quality", 4, 2) for n in (1, 5)]
+    assert (models[0].weights == models[1].weights).all() and (models[0].bias == models[1].bias).all()
+    picked = sample.with_texts(docs, {0: [0, 2], 1: [1]}).collect()
+    assert sorted((r["doc_id"], r["label"]) for r in picked) == [(0, 0), (1, 1), (2, 0)]
+
+
+def test_the_ordinary_dictionary_learns_from_a_stated_share(monkeypatch):
+    seen = []
+    real = toxicity.trained
+    monkeypatch.setattr(toxicity, "trained", lambda samples, size, segment: seen.append(samples) or real(samples, size, segment))
+    ordinary = [f"plain words {i} and {i * i} more of them".encode() for i in range(50_000)]
+    settings = toxicity.Settings(rounds=1)
+    toxicity.fit([b"you vile wretch " * 3] * 20, ordinary, settings)
+    bound = settings.dictionary_sample * settings.ordinary_bytes
+    assert bound <= sum(map(len, seen[0])) <= bound + 80
+    seen.clear()
+    toxicity.fit([b"you vile wretch " * 3] * 20, ordinary, toxicity.Settings(rounds=1, dictionary_sample=10**6))
+    assert len(seen[0]) == len({w for t in ordinary for w in toxicity.windows(t)})
