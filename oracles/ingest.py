@@ -299,6 +299,8 @@ SQL: dict[str, str] = {
     "AS scan_no FROM auto QUALIFY scan_no <= 100",
     "raw_dedupe": f"{S} SELECT CAST(NULL AS BIGINT) AS dataset_id, source_system, event_type, "
     "'part-' || (event_id % 4) || '.ndjson' AS file_name, event_id AS record_no, t FROM n_all",
+    "raw_dedupe_other_day": f"{S} SELECT CASE WHEN event_id % 3 = 1 THEN event_id + (SELECT max(event_id) FROM n_all WHERE event_id % 3 <> 1) "
+    "ELSE event_id END AS event_id, source_system, event_type, CASE WHEN event_id % 3 = 1 THEN t + 86400000000 ELSE t END AS t FROM n_all",
     "ndjson_reject_audit": f"{U} SELECT dataset_id, file_name, event_id AS line_no, CASE event_id % 50 WHEN 13 THEN 'invalid JSON' "
     "ELSE 'not a JSON object' END AS reason FROM up WHERE event_id % 50 IN (13, 21, 34)",
     "flatten_paths": f"{P} SELECT dataset_id, record_no, path, sample FROM paths",

@@ -11,7 +11,8 @@ from sentrel.operators import normalize, profile, uploads
 from sentrel.plans.registry import query
 from sentrel.schema import NORMALIZED_COLUMNS, TARGET_FIELDS
 from sentrel.session import materialize, shared_dir
-from sentrel.sources import feeds, files, records
+from sentrel.sources import feeds, files, records, sinks
+from sentrel.sources.sinks import Store
 from sentrel.sources.telemetry import canonical_events
 
 
@@ -122,6 +123,21 @@ def raw_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def raw_dedupe_other_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored events after two loads; the second reads every time a day later, the first lacks a third."""
+    store = Store(spark, f"{shared_dir(spark)}/stages/raw-{uuid.uuid4().hex}")
+    feed = materialize(
+        normalize.normalize_records(_sources(spark, sf_dir)).withColumn("event_id", F.col("record_no")), "feed"
+    )
+    sinks.append_events(store, feed.where(F.col("record_no") % 3 != 1))
+    later = feed.withColumn("event_timestamp", F.expr("event_timestamp + interval 1 day"))
+    sinks.append_events(store, later)
+    return sinks.events(store).select(
+        "event_id", "source_system", "event_type", F.unix_micros("event_timestamp").alias("t")
+    )
+
+
 @query
 def ndjson_reject_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of the uploads that hold no record."""

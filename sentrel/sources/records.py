@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentrel.functions.payload import canonical_json, parse
@@ -39,12 +39,9 @@ def first_of_each(normalized: DataFrame) -> DataFrame:
     is kept. Keeping rank one is a group limit: each task passes on at most one copy of a
     payload, however many there are.
     """
-    keyed = normalized.withColumn("payload_key", F.sha2(canonical_json(F.col("payload")), 256))
-    order = Window.partitionBy(
-        "dataset_id", "source_system", "event_type", "payload_key"
-    ).orderBy("file_name", "record_no")
+    order = Window.partitionBy("event_key").orderBy("file_name", "record_no")
     return (
-        keyed.withColumn("copy_no", F.row_number().over(order))
+        normalized.withColumn("event_key", event_key()).withColumn("copy_no", F.row_number().over(order))
         .where(F.col("copy_no") == 1)
         .drop("copy_no")
     )
@@ -59,4 +56,9 @@ def not_stored(fresh: DataFrame, stored: DataFrame, keys: list[str]) -> DataFram
     return fresh.join(known, condition, "left_anti")
 
 
-RAW_KEYS = ["dataset_id", "source_system", "event_type", "payload_key"]
+def event_key() -> Column:
+    """Digest of what identifies an event: scope, source system, type, and payload in canonical form."""
+    parts = F.struct(
+        "dataset_id", "source_system", "event_type", canonical_json(F.col("payload")).alias("payload")
+    )
+    return F.sha2(F.to_json(parts), 256)

@@ -6,6 +6,7 @@ read at the start of an append and written once; readers see either version.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -16,14 +17,14 @@ from pyspark.sql import types as T
 
 from sentrel.functions.payload import canonical_json
 from sentrel.operators.profile import EDITABLE_STATUSES, replace_mappings
-from sentrel.operators.rules import new_alerts, null_safe_join
+from sentrel.operators.rules import new_alerts
 from sentrel.operators.summary import technical_pieces
 from sentrel.schema import (
     ALERT_SCHEMA, DATASET_SCHEMA, EVENT_SCHEMA, INCIDENT_EVENT_SCHEMA, INCIDENT_SCHEMA,
     MAPPING_SCHEMA,
 )
 from sentrel.session import materialize
-from sentrel.sources.records import RAW_KEYS, first_of_each, not_stored
+from sentrel.sources.records import first_of_each, not_stored
 
 # Dataset statuses in the order a dataset goes through them.
 DATASET_STATUSES = (
@@ -39,6 +40,9 @@ class Store:
 
     spark: SparkSession
     root: str
+    #: Buckets of the raw events, for the first session that uses the store; about one for each
+    #: 256 MB of raw events it is to hold.
+    key_buckets: int = 32
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
@@ -64,68 +68,91 @@ class Store:
         dated.write.mode("append").partitionBy("event_date").parquet(self.path(table))
 
 
-_RAW = T.StructType(
-    [field for field in EVENT_SCHEMA if field.name in ("event_id", "dataset_id", "event_timestamp")]
-    + [
-        T.StructField(name, T.StringType())
-        for name in ("source_system", "event_type", "raw_payload", "payload_key")
-    ]
+_RAW = (
+    "event_id bigint, dataset_id bigint, event_timestamp timestamp, source_system string, "
+    "event_type string, raw_payload string, event_key string"
 )
+RAW_COLUMNS = [part.split()[0] for part in _RAW.split(", ")]
+
+
+def _raw_table(store: Store) -> str:
+    """Name of the raw events in this session's catalog; their files are bucketed by ``event_key``.
+
+    The number of buckets is the store's own from its first use on, whatever later sessions ask for.
+    """
+    known = store.read("raw_layout", "buckets int").first()
+    if known is None:
+        store.append("raw_layout", store.spark.createDataFrame([(store.key_buckets,)], "buckets int"))
+    buckets = known["buckets"] if known else store.key_buckets
+    name = f"raw_events_{hashlib.md5(store.path('raw_events').encode()).hexdigest()}"
+    place = store.path("raw_events").replace("'", "\\'")
+    store.spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({_RAW}) USING parquet "
+        f"CLUSTERED BY (event_key) INTO {buckets} BUCKETS LOCATION '{place}'"
+    )
+    store.spark.catalog.refreshTable(name)
+    return name
+
+
+def raw_events(store: Store) -> DataFrame:
+    """Stored raw events; a join on ``event_key`` reads them bucket by bucket, without a shuffle."""
+    return store.spark.table(_raw_table(store))
+
+
+def append_raw(store: Store, rows: DataFrame) -> None:
+    name = _raw_table(store)
+    buckets = store.read("raw_layout", "buckets int").first()["buckets"]
+    # One task writes a bucket, so a run adds one file to each.
+    rows.select(RAW_COLUMNS).repartition(buckets, "event_key").write.insertInto(name)
+
+
+def _last_id(store: Store) -> int:
+    """The largest id handed out; runs reserve theirs in a table of their own before using them."""
+    reserved = store.read("event_ids", "last_id bigint").agg(F.max("last_id")).first()[0]
+    if reserved is None:
+        reserved = raw_events(store).agg(F.max("event_id")).first()[0]
+    return reserved or 0
 
 
 def append_events(store: Store, normalized: DataFrame) -> dict[str, int]:
     """Store raw and normalized events not stored yet; returns the run's counters.
 
     ``normalized`` carries ``event_id``, ``payload`` and the canonical fields. The raw table
-    keeps the payload as canonical JSON and its digest, which is what identifies an event.
-    The normalized table is checked on its own, so a run that died between the two appends
-    is completed by the next.
+    keeps the payload as canonical JSON and the key that identifies an event; an event is known by
+    its key alone, also where its time is read differently now. The normalized table is checked
+    on its own, so a run that died between the two appends is completed by the next.
     """
+    last_id = _last_id(store)
+    known = raw_events(store).select("event_key", F.col("event_id").alias("stored_id"))
     seen = Observation()
     normalized = normalized.observe(seen, F.count(F.lit(1)).alias("processed"))
-    distinct = materialize(
-        first_of_each(normalized).withColumn("raw_payload", canonical_json(F.col("payload"))),
-        "distinct-events",
+    distinct = first_of_each(normalized).withColumn("raw_payload", canonical_json(F.col("payload")))
+    # Joined by key at every size: only this run's rows are shuffled, to the stored buckets.
+    keyed = materialize(
+        distinct.hint("merge").join(known, "event_key", "left")
+        .withColumn("event_id", F.coalesce("stored_id", F.col("event_id") + F.lit(last_id))),
+        "keyed-events",
     )
-    stored = store.read("raw_events", _RAW, dated=True)
-    last_id = stored.agg(F.max("event_id")).first()[0] or 0
-    # Equal payloads have equal times, so only the days of this run can hold a match.
-    first_day, last_day = distinct.agg(
-        F.to_date(F.min("event_timestamp")), F.to_date(F.max("event_timestamp"))
+    is_new = F.col("stored_id").isNull()
+    added, largest, low, high = keyed.agg(
+        F.count_if(is_new), F.max(F.when(is_new, F.col("event_id"))), F.min("stored_id"), F.max("stored_id")
     ).first()
-
-    def of_these_days(table: DataFrame) -> DataFrame:
-        day = F.col("event_date")
-        if first_day is None:
-            return table.where(day.isNull())
-        return table.where(day.isNull() | day.between(F.lit(first_day), F.lit(last_day)))
-
-    stored = of_these_days(stored)
-    raw = materialize(
-        not_stored(distinct, stored, RAW_KEYS)
-        .withColumn("event_id", F.col("event_id") + F.lit(last_id))
-        .select(*_RAW.fieldNames()),
-        "raw-events",
-    )
-    store.append("raw_events", raw, "event_timestamp")
-
-    held = of_these_days(store.read("raw_events", _RAW, dated=True)).select(*RAW_KEYS, "event_id")
-    owned = null_safe_join(distinct.drop("event_id"), held, RAW_KEYS, "inner")
-    fresh = materialize(
-        not_stored(
-            owned,
-            of_these_days(store.read("normalized_events", EVENT_SCHEMA, dated=True)),
-            ["event_id"],
-        ).select(*EVENT_SCHEMA.fieldNames()),
-        "normalized-events",
-    )
+    if added:
+        store.append("event_ids", store.spark.createDataFrame([(largest,)], "last_id bigint"))
+        append_raw(store, keyed.where(is_new))
+    fresh = keyed.where(is_new).select(*EVENT_SCHEMA.fieldNames())
+    if low is not None:
+        held = store.read("normalized_events", EVENT_SCHEMA, dated=True).where(F.col("event_id").between(low, high))
+        again = not_stored(keyed.where(~is_new), held, ["event_id"])
+        fresh = fresh.unionByName(again.select(*EVENT_SCHEMA.fieldNames()))
+    fresh = materialize(fresh, "normalized-events")
     store.append("normalized_events", fresh, "event_timestamp")
-    processed, added = seen.get["processed"], fresh.count()
+    processed, inserted = seen.get["processed"], fresh.count()
     return {
         "processed": processed,
-        "raw_inserted": raw.count(),
-        "normalized_inserted": added,
-        "skipped_existing": processed - added,
+        "raw_inserted": added,
+        "normalized_inserted": inserted,
+        "skipped_existing": processed - inserted,
     }
 
 

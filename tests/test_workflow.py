@@ -8,10 +8,10 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from sentrel.operators import browse, dashboard, ownership, report, summary
+from sentrel.operators import browse, dashboard, normalize, ownership, report, summary
 from sentrel.plans import workflow
 from sentrel.schema import INCIDENT_EVENT_SCHEMA
-from sentrel.sources import sinks
+from sentrel.sources import files, sinks
 from sentrel.sources.sinks import Store
 from tests.fixtures import minutes
 
@@ -96,12 +96,38 @@ def test_an_interrupted_load_is_completed(spark, folder, tmp_path):
     whole = Store(spark, str(tmp_path / "a"))
     workflow.load_sources(whole, folder)
     half = Store(spark, str(tmp_path / "b"))
-    half.append("raw_events", whole.read("raw_events", sinks._RAW), "event_timestamp")
+    sinks.append_raw(half, sinks.raw_events(whole))
     counters = workflow.load_sources(half, folder)
     assert (counters["raw_inserted"], counters["normalized_inserted"]) == (0, 16)
     assert sinks.events(half).exceptAll(sinks.events(whole)).count() == 0
 
 
+def test_stored_keys_are_not_shuffled_and_outlive_the_session(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "a"), key_buckets=4)
+    workflow.load_sources(store, folder)
+    known = sinks.raw_events(store)
+    fresh = spark.range(9).select(F.md5(F.col("id").cast("string")).alias("event_key")).hint("merge")
+    plan = fresh.join(known, "event_key", "left")._jdf.queryExecution().executedPlan().toString()
+    stored = plan[plan.rindex("Join"):]
+    assert "Bucketed: true" in stored and stored.count("Exchange") == 1
+    # Another session knows nothing of the table but its folder, and may ask for other buckets.
+    later = Store(spark.newSession(), str(tmp_path / "a"), key_buckets=9)
+    assert workflow.load_sources(later, folder)["raw_inserted"] == 0
+    assert sinks.raw_events(later).count() == 16
+
+
+def test_an_event_whose_time_is_read_differently_is_the_same_event(spark, folder, tmp_path):
+    store = Store(spark, str(tmp_path / "a"))
+    events = normalize.normalize_records(files.with_event_ids(files.read_sources(spark, folder)))
+    assert sinks.append_events(store, events)["raw_inserted"] == 16
+    moved = events.withColumn("event_timestamp", F.expr("event_timestamp + interval 2 days"))
+    assert sinks.append_events(store, moved)["normalized_inserted"] == 0
+    more = moved.withColumn("payload", F.concat(F.lit('{"more": 1, '), F.substring("payload", 2, 9999)))
+    assert sinks.append_events(store, more)["normalized_inserted"] == 16
+    ids = sorted(r["event_id"] for r in sinks.events(store).collect())
+    assert ids == list(range(1, 33))
+
+
 def test_incident_and_its_report(store):
     incident = sinks.incidents(store).first()
     assert incident["severity"] == "critical"
