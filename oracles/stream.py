@@ -13,7 +13,7 @@ SQL: dict[str, str] = {
     "ON g.sid = s.event_id WHERE g.n >= 3",
     "stream_vpn_privilege": f"{A} SELECT dataset_id, related_username AS username, lead_event_id AS event_id, anchor_t AS t, "
     "evidence_count - 1 AS actions, last_us, normalized_event_id AS last_event_id FROM r3",
-    "stream_multi_high": f"{A} SELECT lead_event_id, first_us, last_us, normalized_event_id AS last_event_id, evidence_count "
+    "stream_multi_high": f"{A} SELECT dataset_id, related_username AS username, lead_event_id, first_us, last_us, normalized_event_id AS last_event_id, evidence_count "
     "FROM r6",
     "stream_sessions": f"""{A},
 flags AS (

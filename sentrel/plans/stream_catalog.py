@@ -11,9 +11,9 @@ from sentrel.plans.registry import query
 from sentrel.sources import feeds
 from sentrel.sources.telemetry import canonical_events
 from sentrel.streaming import jobs
-from sentrel.streaming.replay import replay, write_feed
+from sentrel.streaming.replay import FILES, replay, write_feed
 
-# Lateness long enough for a feed stored in no particular order.
+# Alerts are made from finished windows and may end hours after they begin; raw records have no order.
 WHOLE_FEED = "60 days"
 CLOSING_AT = "2026-01-01 00:00:00"
 
@@ -39,14 +39,13 @@ def _event_feed(spark: SparkSession, sf_dir: str) -> str:
     connect = dict(source_system="vpn", action="connect", outcome="success", username="closing")
     ends.append(_closing(events, "event_timestamp", event_id=-3, severity="low", **connect))
     closing = ends[0].unionByName(ends[1]).unionByName(ends[2])
-    return write_feed(events, closing.withColumn("event_id", F.col("event_id").cast("bigint")))
+    closing = closing.withColumn("event_id", F.col("event_id").cast("bigint"))
+    return write_feed(events, closing, "event_timestamp")
 
 
 @query
 def stream_brute_force(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = replay(
-        spark, _event_feed(spark, sf_dir), lambda df: jobs.brute_force(df, lateness=WHOLE_FEED)
-    )
+    found = replay(spark, _event_feed(spark, sf_dir), jobs.brute_force, FILES)
     return found.select(
         "dataset_id", "username", "source_ip", "event_id",
         F.unix_micros("event_timestamp").alias("t"), "failures",
@@ -56,9 +55,7 @@ def stream_brute_force(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_vpn_privilege(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = replay(
-        spark, _event_feed(spark, sf_dir), lambda df: jobs.vpn_privilege(df, lateness=WHOLE_FEED)
-    )
+    found = replay(spark, _event_feed(spark, sf_dir), jobs.vpn_privilege, FILES)
     return found.select(
         "dataset_id", "username", "event_id", F.unix_micros("event_timestamp").alias("t"),
         "actions", F.unix_micros("last_seen").alias("last_us"), "last_event_id",
@@ -67,9 +64,9 @@ def stream_vpn_privilege(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_multi_high(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay(
-        spark, _event_feed(spark, sf_dir), lambda df: jobs.multiple_high(df, lateness=WHOLE_FEED)
-    ).drop("key")
+    found = replay(spark, _event_feed(spark, sf_dir), jobs.multiple_high, FILES)
+    named = F.from_json("key", "dataset_id bigint, username string")
+    return found.select(named.alias("k"), *[c for c in found.columns if c != "key"]).select("k.*", *found.columns[1:])
 
 
 @query

@@ -13,6 +13,9 @@ RUNTIME_SETTINGS = {
     # A hot join key is split into several tasks once its size is known.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # State of streams grows and shrinks one entry at a time.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Rows differ in length by orders of magnitude: batches for Python are cut by their bytes.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",

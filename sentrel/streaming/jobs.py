@@ -7,14 +7,13 @@ the results equal those of the batch jobs.
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from sentrel.functions.payload import canonical_json
 from sentrel.functions.text import blank_to_null, severity_rank
@@ -40,120 +39,38 @@ def dedupe_events(normalized: DataFrame, lateness: str = LATENESS) -> DataFrame:
     )
 
 
-# Kinds of events a windowed rule waits for, in the order they count at one instant.
-_POOL, _ANCHOR = 1, 2
-
-_COUNTED = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("event_id", T.LongType()),
-        T.StructField("t", T.LongType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("edge_t", T.LongType()),
-        T.StructField("edge_id", T.LongType()),
-    ]
-)
-# Events ahead of the watermark; then three parallel lists the rule keeps about its window.
-_WINDOW_STATE = T.StructType(
-    [T.StructField(f"waiting_{name}", T.ArrayType(T.LongType())) for name in ("t", "kind", "id")]
-    + [T.StructField(f"held_{name}", T.ArrayType(T.LongType())) for name in ("a", "b", "c")]
-    + [T.StructField(name, T.LongType()) for name in ("total", "last_t", "last_id")]
-)
-
-
-def _counting(width_us: int, needed: int, backward: bool):
-    """State update of one key: for each anchor, count the pool events in its window.
-
-    Events settle in time order once the watermark has passed them. Counts are differences of
-    a running total, so the work is linear in the events and no pairs are formed. Backward
-    windows end at the anchor and report their first pool event; forward windows start at it
-    and report the last.
-    """
-
-    def run(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            wt, wk, wi, ha, hb, hc, total, last_t, last_id = state.get
-            waiting, held = list(zip(wt, wk, wi)), deque(zip(ha, hb, hc))
-        else:
-            waiting, held, total, last_t, last_id = [], deque(), 0, 0, 0
-        if not state.hasTimedOut:
-            for batch in batches:
-                waiting.extend(zip(batch["t"].tolist(), batch["kind"].tolist(), batch["event_id"].tolist()))
-        watermark = state.getCurrentWatermarkMs() * 1000
-        # At one instant, pool events count for a backward window and after a forward anchor.
-        waiting.sort(key=lambda item: (item[0], item[1] if backward else -item[1], item[2]))
-        found, settled = [], 0
-
-        def close_before(t: int) -> None:
-            """Forward windows that end before ``t`` are complete."""
-            while held and held[0][0] + width_us < t:
-                start_t, event_id, before = held.popleft()
-                if total - before >= needed:
-                    found.append((event_id, start_t, total - before, last_t, last_id))
-
-        for t, kind, event_id in waiting:
-            if t >= watermark:
-                break
-            settled += 1
-            if not backward:
-                close_before(t)
-                if kind == _ANCHOR:
-                    held.append((t, event_id, total))
-                else:
-                    total, last_t, last_id = total + 1, t, event_id
-                continue
-            while held and held[0][0] < t - width_us:
-                total -= held.popleft()[1]
-            if kind == _ANCHOR:
-                if total >= needed:
-                    found.append((event_id, t, total, held[0][0], held[0][2]))
-                continue
-            total += 1
-            if held and held[-1][0] == t:
-                held[-1] = (t, held[-1][1] + 1, held[-1][2])
-            else:
-                held.append((t, 1, event_id))
-        waiting = waiting[settled:]
-        if not backward:
-            close_before(watermark)
-        # No later anchor can reach pool events that lie a window behind the watermark.
-        while backward and held and held[0][0] < watermark - width_us:
-            total -= held.popleft()[1]
-        columns = [list(column) for column in zip(*waiting)] or [[], [], []]
-        columns += [list(column) for column in zip(*held)] or [[], [], []]
-        if not waiting and not held:
-            state.remove()
-        else:
-            state.update((*columns, total, last_t, last_id))
-            wake = waiting[0][0] if waiting else held[0][0] + width_us
-            state.setTimeoutTimestamp(max(wake, watermark) // 1000 + 1)
-        if found:
-            rows = pd.DataFrame(found, columns=["event_id", "t", "n", "edge_t", "edge_id"])
-            yield rows.assign(key=key[0])[_COUNTED.fieldNames()]
-
-    return run
+def _interval(us: int) -> str:
+    return f"INTERVAL '{us // 1_000_000}.{us % 1_000_000:06d}' SECOND"
 
 
 def _windowed(
-    events: DataFrame, keys: list[str], pool: Column, anchor: Column, width_us: int, needed: int,
-    backward: bool, lateness: str,
+    events: DataFrame, keys: list[str], pool: Column, anchor: Column, start: str, end: str, needed: int,
+    lateness: str,
 ) -> DataFrame:
-    timed = (
-        events.where(F.col("event_timestamp").isNotNull() & (pool | anchor))
-        .select(
-            F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("key"),
-            F.when(pool, _POOL).otherwise(_ANCHOR).cast("bigint").alias("kind"),
-            "event_id", "event_timestamp", F.unix_micros("event_timestamp").alias("t"),
-        )
-        .withWatermark("event_timestamp", lateness)
+    """Anchors with at least ``needed`` pool events between the times ``start`` and ``end``.
+
+    An interval join of two streams, then an aggregate per anchor. Both sides are dropped from the
+    state once the watermark rules out a partner, so it holds a window and the lateness of events
+    however long the stream runs.
+    """
+    key = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"})
+    timed = events.where(F.col("event_timestamp").isNotNull()).withWatermark("event_timestamp", lateness)
+    anchors = timed.where(anchor).select(
+        *keys, key.alias("key"), "event_id", F.col("event_timestamp").alias("anchor_at")
     )
-    counted = timed.groupBy("key").applyInPandasWithState(
-        _counting(width_us, needed, backward), _COUNTED, _WINDOW_STATE, "append",
-        GroupStateTimeout.EventTimeTimeout,
+    others = timed.where(pool).select(
+        key.alias("pool_key"), F.col("event_id").alias("pool_id"), F.col("event_timestamp").alias("pool_at")
+    )
+    within = F.expr(f"key = pool_key AND pool_at >= {start} AND pool_at <= {end}")
+    return (
+        anchors.join(others, within)
+        .groupBy(*keys, "event_id", "anchor_at")
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.min("pool_at").alias("first_at"), F.max("pool_at").alias("last_at"),
+            F.max_by("pool_id", F.struct("pool_at", "pool_id")).alias("last_id"),
+        )
+        .where(F.col("n") >= needed)
     )
-    types = {"dataset_id": "bigint"}
-    schema = ", ".join(f"{name} {types.get(name, 'string')}" for name in keys)
-    return counted.withColumn("k", F.from_json("key", schema)).select("k.*", "event_id", "t", "n", "edge_t", "edge_id")
 
 
 def brute_force(
@@ -165,12 +82,11 @@ def brute_force(
     """
     found = _windowed(
         events, ["dataset_id", "username", "source_ip"], is_login("failure"), is_login("success"),
-        cfg.brute_force_window_us, cfg.brute_force_failures, True, lateness,
+        f"anchor_at - {_interval(cfg.brute_force_window_us)}", "anchor_at", cfg.brute_force_failures, lateness,
     )
     return found.select(
-        "dataset_id", "username", "source_ip", "event_id",
-        F.timestamp_micros("t").alias("event_timestamp"), F.col("n").alias("failures"),
-        F.timestamp_micros("edge_t").alias("first_seen"),
+        "dataset_id", "username", "source_ip", "event_id", F.col("anchor_at").alias("event_timestamp"),
+        F.col("n").alias("failures"), F.col("first_at").alias("first_seen"),
     )
 
 
@@ -183,13 +99,12 @@ def vpn_privilege(
     last_event_id); a connect is settled once its hour has passed.
     """
     found = _windowed(
-        events.where(has_user()), ["dataset_id", "username"], is_privilege_action(cfg),
-        is_vpn_connect(), cfg.vpn_window_us, 1, False, lateness,
+        events.where(has_user()), ["dataset_id", "username"], is_privilege_action(cfg), is_vpn_connect(),
+        "anchor_at", f"anchor_at + {_interval(cfg.vpn_window_us)}", 1, lateness,
     )
     return found.select(
-        "dataset_id", "username", "event_id", F.timestamp_micros("t").alias("event_timestamp"),
-        F.col("n").alias("actions"), F.timestamp_micros("edge_t").alias("last_seen"),
-        F.col("edge_id").alias("last_event_id"),
+        "dataset_id", "username", "event_id", F.col("anchor_at").alias("event_timestamp"),
+        F.col("n").alias("actions"), F.col("last_at").alias("last_seen"), F.col("last_id").alias("last_event_id"),
     )
 
 
@@ -224,82 +139,90 @@ def incident_sessions(
 
 
 _FOUND = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("lead_event_id", T.LongType()),
-        T.StructField("first_us", T.LongType()),
-        T.StructField("last_us", T.LongType()),
-        T.StructField("last_event_id", T.LongType()),
-        T.StructField("evidence_count", T.LongType()),
+    [T.StructField("key", T.StringType())]
+    + [
+        T.StructField(name, T.LongType())
+        for name in ("lead_event_id", "first_us", "last_us", "last_event_id", "evidence_count")
     ]
 )
-# Events still ahead of the watermark, and what is known of the user's first window.
-_STATE = T.StructType(
-    [
-        T.StructField("waiting_t", T.ArrayType(T.LongType())),
-        T.StructField("waiting_id", T.ArrayType(T.LongType())),
-        T.StructField("recent_t", T.ArrayType(T.LongType())),
-        T.StructField("recent_id", T.ArrayType(T.LongType())),
-        T.StructField("lead_id", T.LongType()),
-        T.StructField("lead_t", T.LongType()),
-        T.StructField("last_t", T.LongType()),
-        T.StructField("last_id", T.LongType()),
-        T.StructField("n", T.LongType()),
-        T.StructField("done", T.BooleanType()),
-    ]
+_EVENT = T.StructType([T.StructField("t", T.LongType()), T.StructField("event_id", T.LongType())])
+_WINDOW = T.StructType(
+    [T.StructField(name, T.LongType()) for name in ("lead_t", "lead_id", "last_t", "last_id", "n")]
 )
+#: Events are settled together, this many milliseconds of event time at once.
+SETTLE_MS = 300_000
+
 
+class FirstWindow(StatefulProcessor):
+    """First window of a user with enough serious events, emitted once when it is complete.
 
-def _first_window(width_us: int, needed: int):
-    """State update for one user: settle events behind the watermark in order, emit once."""
-
-    def run(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            wt, wi, rt, ri, lead_id, lead_t, last_t, last_id, n, done = state.get
-            waiting, recent = list(zip(wt, wi)), list(zip(rt, ri))
-        else:
-            waiting, recent, done = [], [], False
-            lead_id = lead_t = last_t = last_id = n = 0
-        if not state.hasTimedOut:
-            for batch in batches:
-                if not done:
-                    waiting.extend(zip(batch["t"].tolist(), batch["event_id"].tolist()))
-        watermark = state.getCurrentWatermarkMs() * 1000
-        waiting = deque(sorted(waiting))
-        while not done and waiting and waiting[0][0] < watermark:
-            t, event_id = waiting.popleft()
-            if n:
-                if t > lead_t + width_us:
+    Events are appended to a list as they come and settled in time order by timers, once the
+    watermark has passed them. What is kept of settled events does not grow: fewer than ``needed``
+    recent ones, or the first window's lead, last event and count. After the window is out only a
+    mark stays.
+    """
+
+    def __init__(self, width_us: int, needed: int) -> None:
+        self.width_us, self.needed = width_us, needed
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState("waiting", _EVENT)
+        self.recent = handle.getListState("recent", _EVENT)
+        self.window = handle.getValueState("window", _WINDOW)
+        self.done = handle.getValueState("done", T.StructType([T.StructField("done", T.BooleanType())]))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        done, times = self.done.exists(), set()
+        for batch in rows:
+            if done:
+                continue
+            found = list(zip(batch["t"].tolist(), batch["event_id"].tolist()))
+            self.waiting.appendList(found)
+            times |= {(t // 1000 // SETTLE_MS + 1) * SETTLE_MS for t, _ in found}
+        for at in times:
+            self.handle.registerTimer(at)
+        return iter(())
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.done.exists():
+            return
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting = sorted(self.waiting.get())
+        settled = [event for event in waiting if event[0] < watermark]
+        window = self.window.get() if self.window.exists() else None
+        recent = [tuple(event) for event in self.recent.get()]
+        for t, event_id in settled:
+            if window:
+                if t > window[0] + self.width_us:
                     break
-                last_t, last_id, n = t, event_id, n + 1
+                window = (window[0], window[1], t, event_id, window[4] + 1)
                 continue
-            recent = [item for item in recent if item[0] >= t - width_us] + [(t, event_id)]
-            if len(recent) >= needed:
-                (lead_t, lead_id), n = recent[0], len(recent)
-                last_t, last_id = t, event_id
-        found = bool(n) and not done and watermark > lead_t + width_us
-        if found:
-            done, waiting, recent = True, [], []
-        state.update(
-            (
-                [t for t, _ in waiting], [i for _, i in waiting],
-                [t for t, _ in recent], [i for _, i in recent],
-                lead_id, lead_t, last_t, last_id, n, done,
-            )
-        )
-        if not done:
-            next_t = lead_t + width_us if n else (waiting[0][0] if waiting else None)
-            if next_t is not None:
-                state.setTimeoutTimestamp(max(next_t // 1000 + 1, watermark // 1000 + 1))
-        if found:
-            yield pd.DataFrame(
-                {
-                    "key": [key[0]], "lead_event_id": [lead_id], "first_us": [lead_t],
-                    "last_us": [last_t], "last_event_id": [last_id], "evidence_count": [n],
-                }
-            )
-
-    return run
+            recent = [event for event in recent if event[0] >= t - self.width_us] + [(t, event_id)]
+            if len(recent) >= self.needed:
+                window, recent = (*recent[0], t, event_id, len(recent)), []
+        if window and watermark > window[0] + self.width_us:
+            self.done.update((True,))
+            for state in (self.waiting, self.recent, self.window):
+                state.clear()
+            lead_t, lead_id, last_t, last_id, n = window
+            yield pd.DataFrame([[key[0], lead_id, lead_t, last_t, last_id, n]], columns=_FOUND.fieldNames())
+            return
+        _put(self.waiting, waiting[len(settled):])
+        _put(self.recent, recent)
+        if window:
+            self.window.update(window)
+            self.handle.registerTimer((window[0] + self.width_us) // 1000 + 1)
+
+    def close(self) -> None:
+        pass
+
+
+def _put(state, events: list[tuple]) -> None:
+    if events:
+        state.put(events)
+    else:
+        state.clear()
 
 
 def multiple_high(
@@ -319,10 +242,6 @@ def multiple_high(
         )
         .withWatermark("event_timestamp", lateness)
     )
-    return serious.groupBy("key").applyInPandasWithState(
-        _first_window(cfg.high_window_us, needed),
-        _FOUND,
-        _STATE,
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
+    return serious.groupBy("key").transformWithStateInPandas(
+        FirstWindow(cfg.high_window_us, needed), _FOUND, "Append", "EventTime"
     )

@@ -66,3 +66,46 @@ def test_multi_high_stream_emits_each_user_once(spark):
         "lead_event_id", "normalized_event_id", "evidence_count"
     )
     assert got == sorted(tuple(row) for row in expected.collect()) == [(1, 3, 3), (8, 10, 3)]
+
+
+def daily_feed(spark, days):
+    """One file for each day's rows, in time order."""
+    path = write_feed(frame(spark, days[0]).coalesce(1), frame(spark, []))
+    for rows in days[1:]:
+        frame(spark, rows).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def state_rows(progress, operator):
+    return [
+        op["numRowsTotal"] for report in progress for op in report["stateOperators"] if op["operatorName"] == operator
+    ]
+
+
+def test_a_long_stream_keeps_one_window_of_events(spark):
+    days = [
+        [failure(day * 100 + n, START + timedelta(days=day, seconds=n)) for n in range(40)]
+        + [event(day * 100 + 90, START + timedelta(days=day, minutes=5))]
+        for day in range(6)
+    ]
+    progress = []
+    found = replay(spark, daily_feed(spark, days), jobs.brute_force, files_per_batch=1, progress=progress)
+    # The last day's window is still open.
+    assert sorted(tuple(r) for r in found.select("event_id", "failures").collect()) == [(d * 100 + 90, 40) for d in range(5)]
+    held = state_rows(progress, "symmetricHashJoin")
+    assert len(held) >= 6 and max(held) <= 2 * 2 * 41
+
+
+def test_a_busy_user_costs_no_more_as_the_stream_goes_on(spark):
+    # Events 13 and 17 hours apart never make three in a day; the other user's do at once.
+    days = [
+        [serious(day * 1000 + n, START + timedelta(hours=30 * day + 13 * n), username="calm") for n in range(2)]
+        + [serious(day * 1000 + 100 + n, START + timedelta(hours=30 * day, seconds=n), username="busy") for n in range(300)]
+        for day in range(6)
+    ]
+    progress = []
+    found = replay(spark, daily_feed(spark, days), jobs.multiple_high, files_per_batch=1, progress=progress)
+    assert [(r["lead_event_id"], r["evidence_count"]) for r in found.collect()] == [(100, 300)]
+    held = [op["numRowsTotal"] for report in progress for op in report["stateOperators"]]
+    assert len(held) >= 6
+    assert max(held[3:]) <= max(held[:3])
