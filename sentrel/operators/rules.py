@@ -13,12 +13,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentrel.functions.text import blank_to_null, floor_cell, none_text
 from sentrel.schema import ALERT_COLUMNS
+from sentrel.session import materialize
 
 MINUTE_US = 60 * 1_000_000
 HOUR_US = 60 * MINUTE_US
@@ -95,8 +97,8 @@ def has_user() -> Column:
 # --------------------------------------------------------------------------- assembly
 
 
-def _candidate(df: DataFrame, rule_no: int, rule_name: str, **columns: Column) -> DataFrame:
-    """Give a rule's rows the alert layout; columns not named are null."""
+def _layout(rule_no: int, rule_name: str, **columns: Column) -> list[Column]:
+    """A rule's columns in the alert layout; those not named are null."""
     defaults: dict[str, Column] = {
         "mitre_technique_id": F.lit(None).cast("string"),
         "evidence_ip": F.lit(None).cast("string"),
@@ -112,14 +114,24 @@ def _candidate(df: DataFrame, rule_no: int, rule_name: str, **columns: Column) -
     values["alert_id"] = F.concat_ws(
         "-", values["rule_no"], values["lead_event_id"], values["evidence_count"]
     )
-    return df.select(*(values[name].alias(name) for name in ALERT_COLUMNS))
+    return [values[name].alias(name) for name in ALERT_COLUMNS]
+
+
+def _candidate(df: DataFrame, rule_no: int, rule_name: str, **columns: Column) -> DataFrame:
+    return df.select(*_layout(rule_no, rule_name, **columns))
+
+
+@dataclass(frozen=True)
+class SingleEvent:
+    """A rule that fires on one event: where, and the alert's columns."""
+
+    fires: Column
+    columns: list[Column]
 
 
-def _single_event(df: DataFrame, rule_no: int, rule_name: str, **columns: Column) -> DataFrame:
-    """Candidate for a rule that fires on one event."""
+def _single_event(fires: Column, rule_no: int, rule_name: str, **columns: Column) -> SingleEvent:
     when = F.col("event_timestamp")
-    return _candidate(
-        df,
+    return SingleEvent(fires, _layout(
         rule_no,
         rule_name,
         related_username=F.col("username"),
@@ -132,23 +144,14 @@ def _single_event(df: DataFrame, rule_no: int, rule_name: str, **columns: Column
         anchor_ts=when,
         anchor_id=F.col("event_id"),
         **columns,
-    )
+    ))
 
 
-def _by_instant(pool: DataFrame, keys: list[str]) -> DataFrame:
-    """Collapse a pool to one row per key and instant.
-
-    Partial aggregation makes a burst of equal timestamps cost one row, and caps a time cell
-    at its number of distinct instants.
-    """
-    return (
-        pool.where(F.col("event_timestamp").isNotNull())
-        .withColumn("t", F.unix_micros("event_timestamp"))
-        .groupBy(*keys, "t")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.max(F.struct("event_id", "asset")).alias("last"),
-        )
+def fired(events: DataFrame, rules: list[SingleEvent]) -> DataFrame:
+    """Alerts of all these rules, in one scan; an event may fire several."""
+    alerts = F.array(*(F.when(rule.fires, F.struct(*rule.columns)) for rule in rules))
+    return events.where(reduce(Column.__or__, (rule.fires for rule in rules))).select(
+        F.inline(F.filter(alerts, lambda alert: alert.isNotNull()))
     )
 
 
@@ -167,41 +170,30 @@ def brute_force(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
     keys = ["dataset_id", "username", "source_ip"]
     width = cfg.brute_force_window_us
     columns = [*keys, "event_id", "event_timestamp", "asset"]
-    failures = _by_instant(events.where(is_login("failure")).select(*columns), keys)
-    successes = (
-        events.where(is_login("success") & F.col("event_timestamp").isNotNull())
-        .select(*columns)
-        .withColumn("s_t", F.unix_micros("event_timestamp"))
-    )
+    timed = events.where(F.col("event_timestamp").isNotNull()).withColumn("at", F.unix_micros("event_timestamp"))
+    successes = timed.where(is_login("success")).select(*columns, F.col("at").alias("s_t"))
 
-    cell = floor_cell(F.col("t"), width)
-    nothing = F.lit(None).cast("bigint")
-    pool_rows = failures.select(
-        *keys,
-        F.explode(F.array(cell, cell + 1)).alias("cell"),
-        "t",
-        F.lit(1).alias("mark"),
-        "n",
-        F.col("t").alias("failure_t"),
-        nothing.alias("s_t"),
-    )
-    # Marks 0 and 2 sort before and after failures of the same instant: closed bounds.
-    marks = F.explode(
-        F.array(
-            F.struct((F.col("s_t") - width).alias("t"), F.lit(0).alias("mark")),
-            F.struct(F.col("s_t").alias("t"), F.lit(2).alias("mark")),
+    at, nothing = F.col("at"), F.lit(None).cast("bigint")
+    cell = floor_cell(at, width)
+
+    def row(t: Column, cell: Column, mark: int, n: int, failure_t: Column, s_t: Column) -> Column:
+        return F.struct(
+            t.alias("t"), cell.alias("cell"), F.lit(mark).alias("mark"), F.lit(n).cast("bigint").alias("n"),
+            failure_t.alias("failure_t"), s_t.alias("s_t"),
         )
-    )
-    mark_rows = successes.select(*keys, "s_t").distinct().select(
-        *keys, "s_t", floor_cell(F.col("s_t"), width).alias("cell"), marks.alias("m"),
-    ).select(
-        *keys, "cell", "m.t", "m.mark", F.lit(0).cast("bigint").alias("n"),
-        nothing.alias("failure_t"), "s_t",
+
+    # Marks 0 and 2 sort before and after failures of the same instant: closed bounds.
+    marks = F.array(row(at - width, cell, 0, 0, nothing, at), row(at, cell, 2, 0, nothing, at))
+    counted_in = F.array(row(at, cell, 1, 1, at, nothing), row(at, cell + 1, 1, 1, at, nothing))
+    # Partial aggregation makes a burst of equal times cost one row.
+    rows = (
+        timed.where(is_login("failure") | is_login("success"))
+        .select(*keys, F.inline(F.when(is_login("failure"), counted_in).otherwise(marks)))
+        .groupBy(*keys, "cell", "t", "mark", "failure_t", "s_t").agg(F.sum("n").alias("n"))
     )
     order = "PARTITION BY dataset_id, username, source_ip, cell ORDER BY t, mark"
     counted = (
-        pool_rows.unionByName(mark_rows)
-        .withColumn(
+        rows.withColumn(
             "running",
             F.expr(f"sum(n) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"),
         )
@@ -247,14 +239,10 @@ def brute_force(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
     )
 
 
-def unusual_ip(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
-    """Successful login from an address outside the allowlist."""
+def _unusual_ip(cfg: RuleSettings) -> SingleEvent:
     ip = F.col("source_ip")
-    hits = events.where(
-        is_login("success") & (ip != "") & ~ip.isin(*cfg.normal_login_ips)
-    )
     return _single_event(
-        hits,
+        is_login("success") & (ip != "") & ~ip.isin(*cfg.normal_login_ips),
         2,
         "Successful login from unusual IP",
         severity=F.lit("medium"),
@@ -266,6 +254,11 @@ def unusual_ip(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
     )
 
 
+def unusual_ip(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
+    """Successful login from an address outside the allowlist."""
+    return fired(events, [_unusual_ip(cfg)])
+
+
 def vpn_privilege(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
     """VPN connect, then privilege actions of the same user within the window.
 
@@ -275,39 +268,30 @@ def vpn_privilege(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
     keys = ["dataset_id", "username"]
     width = cfg.vpn_window_us
     columns = [*keys, "event_id", "event_timestamp", "asset"]
-    actions = _by_instant(
-        events.where(is_privilege_action(cfg) & has_user()).select(*columns), keys
-    )
-    connects = (
-        events.where(
-            is_vpn_connect() & has_user() & F.col("event_timestamp").isNotNull()
-        )
-        .select(*columns)
-        .withColumn("v_t", F.unix_micros("event_timestamp"))
+    timed = events.where(has_user() & F.col("event_timestamp").isNotNull()).withColumn(
+        "at", F.unix_micros("event_timestamp")
     )
+    connects = timed.where(is_vpn_connect()).select(*columns, F.col("at").alias("v_t"))
 
-    cell = floor_cell(F.col("t"), width)
-    nothing = F.lit(None).cast("bigint")
-    pool_rows = actions.select(
-        *keys,
-        F.explode(F.array(cell, cell - 1)).alias("cell"),
-        "t",
-        F.lit(1).alias("mark"),
-        "n",
-        F.struct("t", "last.event_id", "last.asset").alias("action"),
-        nothing.alias("v_t"),
-    )
-    marks = F.explode(
-        F.array(
-            F.struct(F.col("v_t").alias("t"), F.lit(0).alias("mark")),
-            F.struct((F.col("v_t") + width).alias("t"), F.lit(2).alias("mark")),
+    at = F.col("at")
+    cell = floor_cell(at, width)
+    event = F.struct("event_id", "asset")
+
+    def row(t: Column, cell: Column, mark: int, n: int, last: Column, v_t: Column) -> Column:
+        return F.struct(
+            t.alias("t"), cell.alias("cell"), F.lit(mark).alias("mark"), F.lit(n).cast("bigint").alias("n"),
+            last.alias("last"), v_t.alias("v_t"),
         )
-    )
-    mark_rows = connects.select(*keys, "v_t").distinct().select(
-        *keys, "v_t", floor_cell(F.col("v_t"), width).alias("cell"), marks.alias("m"),
-    ).select(
-        *keys, "cell", "m.t", "m.mark", F.lit(0).cast("bigint").alias("n"),
-        F.lit(None).cast("struct<t:bigint,event_id:bigint,asset:string>").alias("action"), "v_t",
+
+    no_event, nothing = F.when(F.lit(False), event), F.lit(None).cast("bigint")
+    marks = F.array(row(at, cell, 0, 0, no_event, at), row(at + width, cell, 2, 0, no_event, at))
+    counted_in = F.array(row(at, cell, 1, 1, event, nothing), row(at, cell - 1, 1, 1, event, nothing))
+    is_action = is_privilege_action(cfg)
+    rows = (
+        timed.where(is_action | is_vpn_connect())
+        .select(*keys, F.inline(F.when(is_action, counted_in).otherwise(marks)))
+        .groupBy(*keys, "cell", "t", "mark", "v_t").agg(F.sum("n").alias("n"), F.max("last").alias("last"))
+        .withColumn("action", F.when(F.col("mark") == 1, F.struct("t", "last.event_id", "last.asset")))
     )
     so_far = (
         Window.partitionBy(*keys, "cell")
@@ -315,8 +299,7 @@ def vpn_privilege(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     counted = (
-        pool_rows.unionByName(mark_rows)
-        .withColumn("running", F.sum("n").over(so_far))
+        rows.withColumn("running", F.sum("n").over(so_far))
         .withColumn("latest", F.last("action", ignorenulls=True).over(so_far))
         .where(F.col("mark") != 1)
     )
@@ -357,15 +340,11 @@ def vpn_privilege(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
     )
 
 
-def api_download(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
-    """Successful bulk export or archive download through the API gateway."""
-    hits = events.where(
+def _api_download(cfg: RuleSettings) -> SingleEvent:
+    return _single_event(
         (F.col("source_system") == "api_gateway")
         & F.col("event_type").isin(*cfg.download_event_types)
-        & (F.col("outcome") == "200")
-    )
-    return _single_event(
-        hits,
+        & (F.col("outcome") == "200"),
         4,
         "Suspicious API data download",
         severity=F.lit("high"),
@@ -377,10 +356,14 @@ def api_download(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
     )
 
 
-def endpoint_credential(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
-    """Credential-access or malware detection on an endpoint."""
+def api_download(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
+    """Successful bulk export or archive download through the API gateway."""
+    return fired(events, [_api_download(cfg)])
+
+
+def _endpoint_credential(cfg: RuleSettings) -> SingleEvent:
     return _single_event(
-        events.where(is_endpoint_detection(cfg)),
+        is_endpoint_detection(cfg),
         5,
         "Endpoint malware or credential access",
         severity=F.coalesce(blank_to_null(F.col("severity")), F.lit("high")),
@@ -392,6 +375,11 @@ def endpoint_credential(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> Data
     )
 
 
+def endpoint_credential(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
+    """Credential-access or malware detection on an endpoint."""
+    return fired(events, [_endpoint_credential(cfg)])
+
+
 def multiple_high(events: DataFrame, cfg: RuleSettings = DEFAULTS) -> DataFrame:
     """First 24-hour window in which a user has three or more serious events.
 
@@ -478,8 +466,6 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     return joined.drop(*(f"__{key}" for key in keys))
 
 
-
-
 # --------------------------------------------------------------------------- registry
 
 
@@ -496,30 +482,54 @@ class Rule:
     pool_by_ip: bool = False
     lead_last: bool = False
     width_us: Callable[[RuleSettings], int] | None = None
+    #: The events the rule looks at; without it, all.
+    reads: Callable[[RuleSettings], Column] | None = None
+    #: For a rule that fires on one event: those of a registry share one scan.
+    single: Callable[[RuleSettings], SingleEvent] | None = None
 
 
 RULES: tuple[Rule, ...] = (
     Rule(1, brute_force, pool=lambda cfg: is_login("failure"), pool_by_ip=True, lead_last=True,
-         width_us=lambda cfg: cfg.brute_force_window_us),
-    Rule(2, unusual_ip),
-    Rule(3, vpn_privilege, pool=is_privilege_action, width_us=lambda cfg: cfg.vpn_window_us),
-    Rule(4, api_download),
-    Rule(5, endpoint_credential),
-    Rule(6, multiple_high, pool=is_serious, width_us=lambda cfg: cfg.high_window_us),
+         width_us=lambda cfg: cfg.brute_force_window_us,
+         reads=lambda cfg: is_login("failure") | is_login("success")),
+    Rule(2, unusual_ip, single=_unusual_ip),
+    Rule(3, vpn_privilege, pool=is_privilege_action, width_us=lambda cfg: cfg.vpn_window_us,
+         reads=lambda cfg: is_privilege_action(cfg) | is_vpn_connect()),
+    Rule(4, api_download, single=_api_download),
+    Rule(5, endpoint_credential, single=_endpoint_credential),
+    Rule(6, multiple_high, pool=is_serious, width_us=lambda cfg: cfg.high_window_us, reads=is_serious),
 )
 
 
+def relevant_events(
+    events: DataFrame, rules: tuple[Rule, ...] = RULES, cfg: RuleSettings = DEFAULTS
+) -> DataFrame:
+    """The events that some rule looks at, written once: the only scan of the event table itself.
+
+    Every lead and every pool event of an alert is among them.
+    """
+    masks = [
+        rule.single(cfg).fires if rule.single else rule.reads(cfg) if rule.reads else F.lit(True) for rule in rules
+    ]
+    return materialize(events.where(reduce(Column.__or__, masks)), "rule-events")
+
+
 def detect(
     events: DataFrame,
     rules: tuple[Rule, ...] = RULES,
     cfg: RuleSettings = DEFAULTS,
 ) -> DataFrame:
-    """All candidates of all rules, for all scopes."""
-    found = [rule.candidates(events, cfg) for rule in rules]
-    result = found[0]
-    for frame in found[1:]:
-        result = result.unionByName(frame)
-    return result
+    """All candidates of all rules, for all scopes, from one scan of the events."""
+    return detect_in(relevant_events(events, rules, cfg), rules, cfg)
+
+
+def detect_in(
+    relevant: DataFrame, rules: tuple[Rule, ...] = RULES, cfg: RuleSettings = DEFAULTS
+) -> DataFrame:
+    """The same, from the events that the rules look at; single-event rules share one scan of them."""
+    single = [rule.single(cfg) for rule in rules if rule.single]
+    found = [rule.candidates(relevant, cfg) for rule in rules if not rule.single]
+    return reduce(DataFrame.unionByName, found + ([fired(relevant, single)] if single else []))
 
 
 def in_scope(df: DataFrame, dataset_id: int | None) -> DataFrame:

@@ -76,7 +76,7 @@ def _state(spark: SparkSession, sf_dir: str) -> inv.Investigation:
 
 
 def _evidence(state: inv.Investigation) -> summary.Evidence:
-    return summary.gather_evidence(state.incidents, state.alerts, state.links, state.events)
+    return summary.gather_evidence(state.incidents, state.alerts, state.links, state.relevant)
 
 
 # --------------------------------------------------------------------------- rules
@@ -277,7 +277,7 @@ def browse_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def incident_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = _state(spark, sf_dir)
-    items = browse.incident_detail(state.incidents, state.alerts, state.links, state.events)
+    items = browse.incident_detail(state.incidents, state.alerts, state.links, state.relevant)
     return items.withColumn("seen", F.unix_micros("seen")).withColumnRenamed("seen", "seen_us")
 
 
@@ -351,7 +351,7 @@ def missing_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def evidence_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = _state(spark, sf_dir)
-    listed = evidence.alert_evidence(state.alerts, state.events)
+    listed = evidence.alert_evidence(state.alerts, state.relevant)
     return summary.document_parts(summary.prompt_pieces(_evidence(state), listed))
 
 

@@ -13,17 +13,23 @@ from sentrel.session import materialize
 
 @dataclass(frozen=True)
 class Investigation:
-    """Stored state after detection and correlation."""
+    """Stored state after detection and correlation.
+
+    ``relevant`` are the events that some rule looks at; all evidence lies among them.
+    """
 
     events: DataFrame
+    relevant: DataFrame
     alerts: DataFrame
     incidents: DataFrame
     links: DataFrame
 
 
-def detect(events: DataFrame, stored: DataFrame | None = None) -> DataFrame:
+def detect(
+    events: DataFrame, stored: DataFrame | None = None, relevant: DataFrame | None = None
+) -> DataFrame:
     """New alerts of all scopes, written once: correlation reads them several times."""
-    found = rules.detect(events)
+    found = rules.detect(events) if relevant is None else rules.detect_in(relevant)
     if stored is not None:
         found = rules.new_alerts(found, stored)
     return materialize(found, "alerts")
@@ -35,12 +41,14 @@ def correlate_alerts(alerts: DataFrame, run_at: Column | None = None) -> DataFra
 
 def investigate(events: DataFrame, run_at: Column | None = None) -> Investigation:
     """Run the rules and the correlation over every scope in one pass."""
-    assigned = correlate_alerts(detect(events), run_at)
+    relevant = rules.relevant_events(events)
+    assigned = correlate_alerts(detect(events, relevant=relevant), run_at)
     return Investigation(
         events,
+        relevant,
         assigned,
         materialize(correlate.build_incidents(assigned, run_at), "incidents"),
-        materialize(evidence.incident_events(assigned, events), "incident-events"),
+        materialize(evidence.incident_events(assigned, relevant), "incident-events"),
     )
 
 
