@@ -280,6 +280,18 @@ SQL: dict[str, str] = {
     "csv_records": FILE_ROWS,
     "ndjson_records": FILE_ROWS,
     "json_array_records": FILE_ROWS,
+    "upload_records": FILE_ROWS,
+    "source_files": f"{S} SELECT {COLS} FROM n_all",
+    "upload_loaded": f"{U} SELECT dataset_id, {COLS} FROM auto WHERE dataset_id = 2 AND t IS NOT NULL",
+    "mappings_replaced": f"{W} SELECT dataset_id, path AS source_field, target_field, "
+    "CASE WHEN dataset_id IN (2, 4) THEN 'uppercase' ELSE 'direct' END AS transformation_type, "
+    "CASE WHEN dataset_id IN (2, 4) THEN 'mapping_required' WHEN bool_or(target_field = 'timestamp') OVER (PARTITION BY dataset_id) "
+    "THEN 'ready_to_normalize' ELSE 'mapping_required' END AS status FROM suggestions WHERE target_field IS NOT NULL "
+    "QUALIFY NOT (dataset_id IN (2, 4) AND target_field = 'timestamp')",
+    "source_types": f"{U} SELECT dataset_id, source_type, count(*) AS n FROM up GROUP BY 1, 2",
+    "upload_listing": f"{U}, per_file AS (SELECT dataset_id, file_name, count(*) AS n FROM up GROUP BY 1, 2), "
+    "sets AS (SELECT dataset_id, sum(n)::BIGINT AS record_count, string_agg(file_name || ':' || (n * 100), ' ' ORDER BY file_name) AS files "
+    "FROM per_file GROUP BY 1) SELECT *, row_number() OVER (ORDER BY dataset_id % 3 DESC, dataset_id DESC) AS place FROM sets",
     "normalize_auth": _source("n_auth"),
     "normalize_vpn": _source("n_vpn"),
     "normalize_cloud": _source("n_cloud"),

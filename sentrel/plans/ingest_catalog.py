@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sentrel.operators import normalize, profile, uploads
+from sentrel.operators import browse, normalize, profile, uploads
+from sentrel.plans import workflow
 from sentrel.plans.registry import query
 from sentrel.schema import NORMALIZED_COLUMNS, TARGET_FIELDS
 from sentrel.session import materialize, shared_dir
@@ -16,6 +18,9 @@ from sentrel.sources.sinks import Store
 from sentrel.sources.telemetry import canonical_events
 
 
+FIRST_SET, SECOND_SET = datetime(2024, 2, 1), datetime(2024, 2, 2)
+
+
 def _uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The uploads as stored: rendering them is not part of any job."""
     return materialize(feeds.upload_records(spark, sf_dir), "upload-feed")
@@ -183,22 +188,141 @@ def ndjson_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cells(files.read_ndjson(spark, path))
 
 
+def _write_arrays(rows: DataFrame, path: str, group: str, order: str) -> None:
+    """JSON objects (column ``payload``) as files that hold an array each, one for each group."""
+    in_file = Window.partitionBy(group).orderBy(order)
+    first, last = F.row_number().over(in_file) == 1, F.lead(order).over(in_file).isNull()
+    rows.select(
+        group,
+        F.concat(F.when(first, "[").otherwise(","), F.col("payload"), F.when(last, "]").otherwise("")).alias("value"),
+    ).write.partitionBy(group).text(path)
+
+
+def _day() -> Column:
+    return F.to_date("event_timestamp").alias("day")
+
+
 @query
 def json_array_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events written as JSON arrays, a file for each day, and read back."""
     path = f"{shared_dir(spark)}/stages/json-{uuid.uuid4().hex}"
-    in_day = Window.partitionBy("day").orderBy("event_id")
-    place, last = F.row_number().over(in_day), F.lead("event_id").over(in_day).isNull()
-    lines = _file_rows(spark, sf_dir, F.to_date("event_timestamp").alias("day")).select(
-        "day",
-        F.concat(
-            F.when(place == 1, "[").otherwise(","), F.to_json(F.struct("event_id", "username", "note")), F.when(last, "]").otherwise("")
-        ).alias("value"),
-    )
-    lines.write.partitionBy("day").text(path)
+    rows = _file_rows(spark, sf_dir, _day())
+    rows = rows.withColumn("payload", F.to_json(F.struct("event_id", "username", "note")))
+    _write_arrays(rows, path, "day", "event_id")
     return _cells(files.read_json(spark, path))
 
 
+@query
+def upload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One upload of all three formats, read by suffix."""
+    path = f"{shared_dir(spark)}/stages/upload-{uuid.uuid4().hex}"
+    rows = _file_rows(spark, sf_dir, _day())
+    kind = F.col("event_id").cast("bigint") % 3
+    payload = F.to_json(F.struct("event_id", "username", "note"))
+    rows.where(kind == 0).drop("day").write.option("header", True).option("escape", '"').csv(f"{path}/a")
+    as_json = rows.where(kind == 1).withColumn("payload", payload)
+    _write_arrays(as_json, f"{path}/b-text", "day", "event_id")
+    rows.where(kind == 2).select(payload).write.text(f"{path}/c-text")
+    # The text writer names its files .txt; the readers are told their kind by the folder.
+    read = files.read_csv(spark, f"{path}/a", suffix=".csv").unionByName(
+        files.read_json(spark, f"{path}/b-text", lone_object=True)
+    ).unionByName(files.read_ndjson(spark, f"{path}/c-text"))
+    return _cells(read)
+
+
+@query
+def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five sources written as their files, extracted, normalized and stored."""
+    root = f"{shared_dir(spark)}/stages/sources-{uuid.uuid4().hex}"
+    feed = _sources(spark, sf_dir)
+    for source in files.SOURCE_FILES:
+        own = feed.where(F.col("source_name") == source.source_name)
+        path = f"{root}/in/{source.file_name}"
+        if source.file_name.endswith(".csv"):
+            cells = F.from_json("payload", feeds.csv_schema(source.source_name))
+            own.select(cells.alias("cells")).select("cells.*").write.option("header", True).option(
+                "escape", '"'
+            ).csv(path)
+        else:
+            _write_arrays(own.withColumn("part", F.col("record_no") % 8), path, "part", "record_no")
+    store = Store(spark, f"{root}/store")
+    workflow.load_sources(store, f"{root}/in")
+    return _flat(sinks.events(store))
+
+
+@query
+def upload_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One dataset's records as NDJSON, loaded leniently into the store by its stored mappings (none)."""
+    root = f"{shared_dir(spark)}/stages/load-{uuid.uuid4().hex}"
+    own = _uploads(spark, sf_dir).where(F.col("dataset_id") == 2)
+    own.select("payload").write.text(f"{root}/in/upload.ndjson")
+    renamed = f"{root}/in"
+    store = Store(spark, f"{root}/store")
+    lines = files.read_ndjson(spark, f"{renamed}/upload.ndjson").withColumns(
+        {"dataset_id": F.lit(2).cast("bigint"), "source_type": F.lit("vpn"), "source_name": F.lit("vpn")}
+    )
+    normalized = uploads.normalize_uploads(files.with_event_ids(lines), sinks.mappings(store))
+    sinks.append_events(store, uploads.timestamp_gate(normalized, strict=False))
+    return _flat(sinks.events(store), "dataset_id")
+
+
+@query
+def mappings_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored mappings and statuses after two datasets' sets were replaced."""
+    store = Store(spark, f"{shared_dir(spark)}/stages/mappings-{uuid.uuid4().hex}")
+    suggestions = materialize(profile.suggest_mappings(_fields(spark, sf_dir)), "suggestions")
+    chosen = suggestions.where(F.col("target_field").isNotNull()).select(
+        "dataset_id", F.col("path").alias("source_field"), "target_field",
+        F.lit("direct").alias("transformation_type"), F.lit(None).cast("string").alias("default_value"),
+    )
+    sets = suggestions.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("record_count")).select(
+        "dataset_id", F.concat(F.lit("set "), F.col("dataset_id").cast("string")).alias("name"),
+        F.lit(None).cast("string").alias("description"), F.lit(FIRST_SET).cast("timestamp").alias("created_at"),
+        F.lit("mapping_required").alias("status"), F.lit("generic").alias("source_type"), "record_count",
+    )
+    sinks.append_dataset(store, sets, FIRST_SET)
+    none = suggestions.where("false")
+    sinks.store_mappings(store, chosen, none, FIRST_SET)
+    again = chosen.where(F.col("dataset_id").isin(2, 4) & (F.col("target_field") != "timestamp"))
+    sinks.store_mappings(store, again.withColumn("transformation_type", F.lit("uppercase")), none, SECOND_SET)
+    return sinks.mappings(store).join(sinks.datasets(store), "dataset_id").select(
+        "dataset_id", "source_field", "target_field", "transformation_type", "status"
+    )
+
+
+@query
+def source_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source types of the uploads as given in any case and with blanks, checked and cleaned."""
+    given = _uploads(spark, sf_dir).withColumn(
+        "source_type",
+        F.when(F.col("record_no") % 3 == 0, F.upper("source_type"))
+        .when(F.col("record_no") % 3 == 1, F.concat(F.lit(" "), F.col("source_type"), F.lit(" ")))
+        .otherwise(F.col("source_type")),
+    )
+    return uploads.check_source_types(given).groupBy("dataset_id", "source_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def upload_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Uploaded datasets with their files, and their place in the listing."""
+    feed = _uploads(spark, sf_dir)
+    sets = feed.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("record_count")).select(
+        "dataset_id", "record_count",
+        F.expr("timestamp_micros(1704067200000000 + (dataset_id % 3) * 1000000)").alias("created_at"),
+    )
+    found = feed.groupBy("dataset_id", F.col("file_name").alias("original_filename")).agg(
+        (F.count(F.lit(1)) * 100).alias("size_bytes")
+    )
+    listed = browse.list_uploads(sets, found).withColumn("place", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.orderBy("place"))
+    return listed.select(
+        "dataset_id", "record_count", place.alias("place"),
+        F.array_join(
+            F.transform("files", lambda f: F.concat_ws(":", f["original_filename"], f["size_bytes"].cast("string"))), " "
+        ).alias("files"),
+    )
+
+
 @query
 def flatten_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every leaf field of every uploaded record."""

@@ -30,6 +30,23 @@ def _json(**fields: Column) -> Column:
     return F.to_json(F.struct(*(value.alias(name) for name, value in fields.items())))
 
 
+#: Columns of the sources that come as CSV files, all text.
+CSV_COLUMNS = {
+    "vpn": (
+        "vpn_event_id", "time", "user", "client_ip", "assigned_private_ip", "device_name", "action", "result",
+        "session_id",
+    ),
+    "api_access": (
+        "request_id", "timestamp", "user", "source_ip", "asset", "http_method", "path", "status_code",
+        "response_bytes", "records_returned", "request_category",
+    ),
+}
+
+
+def csv_schema(source: str) -> str:
+    return ", ".join(f"`{name}` string" for name in CSV_COLUMNS[source])
+
+
 def source_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of the five built-in sources, no dataset."""
     k, u, kind = F.col("k"), F.col("user_id"), F.col("kind")
