@@ -68,37 +68,52 @@ def _prepared(docs: DataFrame, topic: Column) -> DataFrame:
     )
 
 
-def _targets(cells: DataFrame, name: str, settings: Settings) -> DataFrame:
-    """``value, mass``: the tokens that the marginal should hold, adding up to all tokens, or to
-    the share ``keep`` of them with no value above what it has.
+def _targets(cells: DataFrame, settings: Settings) -> DataFrame:
+    """``dimension, value, mass``: the tokens that each marginal should hold, adding up to all tokens, or
+    to the share ``keep`` of them with no value above what it has.
     """
-    present = cells.groupBy(name).agg(F.sum("tokens").cast("double").alias("tokens"))
-    if name in settings.targets:
-        rows = [
-            (MISSING if key is None else f"={key}", float(share))
-            for key, share in settings.targets[name].items()
-        ]
-        given = cells.sparkSession.createDataFrame(rows, f"{name} string, share double")
-        wanted = present.join(given, name, "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
+    present = reduce(
+        DataFrame.unionByName,
+        (
+            cells.groupBy(F.col(name).alias("value")).agg(F.sum("tokens").cast("double").alias("tokens"))
+            .withColumn("dimension", F.lit(name))
+            for name in DIMENSIONS
+        ),
+    )
+    given = [
+        (name, MISSING if key is None else f"={key}", float(share))
+        for name, shares in settings.targets.items() for key, share in shares.items()
+    ]
+    tempered = F.when(F.col("tokens") > 0, F.pow("tokens", F.lit(settings.temper))).otherwise(0.0)
+    if given:
+        table = cells.sparkSession.createDataFrame(given, "dimension string, value string, given double")
+        named = F.col("dimension").isin(*settings.targets)
+        present = present.join(table, ["dimension", "value"], "left").withColumn(
+            "share", F.when(named, F.coalesce("given", F.lit(0.0))).otherwise(tempered)
+        )
     else:
-        wanted = present.withColumn("share", F.when(F.col("tokens") > 0, F.pow("tokens", F.lit(settings.temper))).otherwise(0.0))
-    totals = wanted.agg(F.sum("share"), F.sum("tokens")).first()
-    if not totals[0]:
-        return wanted.select(name, F.lit(0.0).alias("mass"))
+        present = present.withColumn("share", tempered)
+    whole = Window.partitionBy("dimension")
+    present = present.withColumns(
+        {"all_tokens": F.sum("tokens").over(whole), "all_share": F.sum("share").over(whole)}
+    )
+    share, tokens = F.col("share"), F.col("tokens")
     if settings.keep is None:
-        return wanted.select(name, (F.col("share") / F.lit(totals[0]) * F.lit(totals[1])).alias("mass"))
-    scale, filled = 0.0, None
-    while True:
-        # Values that the scale fills stay full, as it only grows.
-        full = F.col("share") * F.lit(scale) >= F.col("tokens")
-        held, free, number = wanted.where(F.col("share") > 0).agg(
-            F.sum(F.when(full, F.col("tokens"))), F.sum(F.when(~full, F.col("share"))), F.count_if(full)
-        ).first()
-        if not free or number == filled:
-            break
-        scale, filled = max(scale, (settings.keep * totals[1] - (held or 0.0)) / free), number
-    mass = F.least("tokens", F.col("share") * F.lit(scale))
-    return wanted.select(name, F.when(F.col("share") > 0, mass).otherwise(0.0).alias("mass"))
+        mass = F.when(F.col("all_share") > 0, share / F.col("all_share") * F.col("all_tokens")).otherwise(0.0)
+        return present.select("dimension", "value", mass.alias("mass"))
+    # Values in the order in which a growing scale fills them; the scale is that of the first value
+    # which it does not fill when all before it are full.
+    order = Window.partitionBy("dimension").orderBy(F.when(share > 0, tokens / share), "value")
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    sum_before = lambda column: F.coalesce(F.sum(F.when(share > 0, column)).over(earlier), F.lit(0.0))
+    wanted = F.lit(settings.keep) * F.col("all_tokens")
+    scale = (wanted - sum_before(tokens)) / (F.col("all_share") - sum_before(share))
+    present = present.withColumn("scale", F.when(share > 0, scale))
+    open_scale = F.when(F.col("scale") * share <= tokens, F.col("scale"))
+    return present.withColumn("scale", F.min(open_scale).over(whole)).select(
+        "dimension", "value",
+        F.when(share > 0, F.least(tokens, F.coalesce(share * F.col("scale"), tokens))).otherwise(0.0).alias("mass"),
+    )
 
 
 def _factor(settings: Settings) -> Column:
@@ -144,8 +159,10 @@ def rake(cells: DataFrame, settings: Settings, stages: Stages) -> DataFrame:
     """
     start = 1.0 if settings.keep is None else float(settings.keep)
     current = cells.withColumn("weight", F.lit(start))
+    targets = stages.write(_targets(cells, settings))
     for name in DIMENSIONS:
-        current = current.join(_targets(cells, name, settings).withColumnRenamed("mass", f"mass_{name}"), name)
+        own = targets.where(F.col("dimension") == name)
+        current = current.join(own.select(F.col("value").alias(name), F.col("mass").alias(f"mass_{name}")), name)
     written = stages.write(current)
     moved, done = None, 0
     while done < settings.sweeps:

@@ -162,7 +162,11 @@ def train(
         run, "doc_id string, label int, buckets binary, shares binary"
     ).toArrow().sort_by("doc_id")
     held = [arrays(found.column(name), kind) for name, kind in (("buckets", "<u4"), ("shares", "<f4"))]
-    return fit(list(zip(found.column("label").to_pylist(), *held)), 2, settings)
+    model = fit(list(zip(found.column("label").to_pylist(), *held)), 2, settings)
+    # The driver lives on long after training: what the sample took goes back to the system.
+    del found, held
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def arrays(column: pa.ChunkedArray, kind: str) -> list[np.ndarray]:
