@@ -103,14 +103,15 @@ def _targets(cells: DataFrame, settings: Settings) -> DataFrame:
         return present.select("dimension", "value", mass.alias("mass"))
     # Values in the order in which a growing scale fills them; the scale is that of the first value
     # which it does not fill when all before it are full.
-    order = Window.partitionBy("dimension").orderBy(F.when(share > 0, tokens / share), "value")
+    ratio = F.when(share > 0, tokens / share)
+    order = Window.partitionBy("dimension").orderBy(ratio, "value")
     earlier = order.rowsBetween(Window.unboundedPreceding, -1)
     sum_before = lambda column: F.coalesce(F.sum(F.when(share > 0, column)).over(earlier), F.lit(0.0))
     wanted = F.lit(settings.keep) * F.col("all_tokens")
     scale = (wanted - sum_before(tokens)) / (F.col("all_share") - sum_before(share))
     present = present.withColumn("scale", F.when(share > 0, scale))
-    open_scale = F.when(F.col("scale") * share <= tokens, F.col("scale"))
-    return present.withColumn("scale", F.min(open_scale).over(whole)).select(
+    unfilled = F.when(F.col("scale") * share <= tokens, F.struct(ratio.alias("ratio"), "value", "scale"))
+    return present.withColumn("scale", F.min(unfilled).over(whole)["scale"]).select(
         "dimension", "value",
         F.when(share > 0, F.least(tokens, F.coalesce(share * F.col("scale"), tokens))).otherwise(0.0).alias("mass"),
     )
