@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sentrel.llm import bpe, mixing, quality
@@ -22,6 +23,24 @@ def steps(spark):
     return out
 
 
+CLASHING = (
+    "tokens", "probability", "sampled", "component", "digest", "many", "n_removed", "n_lines", "score", "label", "place",
+)
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES, ids=lambda x: x if isinstance(x, str) else "")
+def test_stages_take_clashing_columns_and_empty_tables(spark, name, stage):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(60)
+    extra = docs.withColumns({c: F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")) for c in CLASHING})
+    out = stage(spark, extra, SF_DIR)
+    rows = out.collect()
+    assert 0 < len(rows) <= 60
+    if name != "encode":
+        assert out.schema == extra.schema
+        assert all(r[c] == f"{c} of {r['doc_id']}" for r in rows for c in CLASHING)
+    assert stage(spark, extra.limit(0), SF_DIR).collect() == []
+
+
 def test_stages_keep_the_columns(steps):
     assert all(step.columns == steps[0].columns for step in steps[1:-1])
 
