@@ -6,6 +6,7 @@ returns what an encoded document comes to.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
@@ -17,6 +18,22 @@ from sentrel.llm.stages import Stages, table
 from sentrel.session import configure
 
 
+#: Columns that stages read; all others pass through whatever their names.
+READ = ("doc_id", "text", "lang", "source", "topic", "n_chars")
+
+
+def keeps_columns(stage: Callable[[SparkSession, DataFrame, str], DataFrame]):
+    """A stage during which other columns have names that clash with no operator's own."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = [name if name in READ else f"passed__{i}" for i, name in enumerate(docs.columns)]
+        return stage(spark, docs.toDF(*names), sf_dir).toDF(*docs.columns)
+
+    return run
+
+
+@keeps_columns
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier accepts; it learns as the query does, by fold 2 of 4."""
     configure(spark)
@@ -24,6 +41,7 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return quality.reject(docs, quality.train(docs, labels, "quality", 4, 2))
 
 
+@keeps_columns
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the runs of lines that repeat an earlier one.
 
@@ -41,6 +59,7 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.select(columns)
 
 
+@keeps_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates: the one of the smallest ``doc_id``.
 
@@ -76,6 +95,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return kept.unionByName(first.select("__row.*"))
 
 
+@keeps_columns
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The sample of documents whose tokens hold the target shares."""
     configure(spark)
