@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import json
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -167,6 +169,34 @@ def test_flattening_has_one_plan_and_one_scan(spark, tmp_path):
     assert plan.count("Generate explode") == profile.OPENED_LEVELS + 1
 
 
+def test_records_of_few_levels_are_not_walked(spark, monkeypatch):
+    """Neither many objects nor braces in strings make a record deep."""
+    monkeypatch.setattr(
+        profile, "deep_fields",
+        lambda text: F.when(text.isNotNull(), F.raise_error(F.lit("walked")).cast(profile.LEAVES)),
+    )
+    bodies = ({"m": {"o": {"n": 1}}, "g": {"c": 2}, "h": {}}, {"a": '{{{{"\\', "b": {"c": {"d": "{"}}}, {"x": "{" * 100_000})
+    found = profile.flatten_paths(uploaded(spark, *bodies)).select("record_no", "path").collect()
+    assert {tuple(row) for row in found} == {
+        (1, "m.o.n"), (1, "g.c"), (2, "a"), (2, "b.c.d"), (3, "x")
+    }
+    # Closing braces in strings close nothing.
+    with pytest.raises(Exception, match="walked"):
+        profile.flatten_paths(uploaded(spark, {"a": "}}}", "b": {"c": {"d": {"e": "}"}}}})).collect()
+
+
+def test_walking_holds_few_records_at_a_time():
+    text = json.dumps({"a": {"b": {"c": {f"k{n}": {"v": n} for n in range(30)}}}})
+    texts = pa.array([text, None, "{}"] * 2_000)
+    tracemalloc.start()
+    found = profile._walked(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8_000_000
+    own = [{"key": key, "json": value} for key, value in profile.leaf_fields(text)]
+    assert found.to_pylist() == [own, None, []] * 2_000
+
+
 def test_one_source_per_target(spark):
     fields = spark.createDataFrame(
         [(1, "zeit.time", 1), (1, "event_time", 2), (1, "timestamp", 3)], "dataset_id bigint, path string, seen bigint"
