@@ -197,6 +197,38 @@ def test_walking_holds_few_records_at_a_time():
     assert found.to_pylist() == [own, None, []] * 2_000
 
 
+def test_first_samples_over_files_and_missing_numbers(spark):
+    """Samples and first places as a plain loop finds them; leaves are hashed, not sorted."""
+    rows = [
+        (n % 2 + 1, "generic", None if n % 5 == 0 else f"f{n % 3}", None if n % 7 == 0 else n % 11,
+         json.dumps({"a": n * 7 % 13, "b": {"c": n % 2}, "b.c": "x", f"k{n % 4}": None}))
+        for n in range(120)
+    ]
+    paths = profile.flatten_paths(spark.createDataFrame(rows, UPLOAD))
+    least, seen = {}, {}
+    order = lambda place: tuple((part is not None, part) for part in place)
+    for dataset, _, file, number, text in rows:
+        body = json.loads(text)
+        leaves = [(k, v) for k, v in body.items() if k != "b"] + [("b.c", body["b"]["c"])]
+        for path, value in leaves:
+            sample, place = "null" if value is None else str(value), order((file, number))
+            held = least.setdefault((dataset, path), {})
+            held[sample] = min(held.get(sample, place), place)
+            seen[dataset, path] = min(seen.get((dataset, path), place), place)
+    wanted = {
+        (*field, place, sample)
+        for field, held in least.items()
+        for place, sample in enumerate(sorted(held, key=lambda s: (held[s], s))[:3], 1)
+    }
+    found = profile.field_samples(paths)
+    assert {(r["dataset_id"], r["path"], r["place"], r["sample"]) for r in found.collect()} == wanted
+    fields = profile.first_seen(paths)
+    assert {(r["dataset_id"], r["path"]): order(r["seen"]) for r in fields.collect()} == seen
+    for df in (found, fields):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.rindex("HashAggregate") > plan.rindex("SortAggregate")
+
+
 def test_one_source_per_target(spark):
     fields = spark.createDataFrame(
         [(1, "zeit.time", 1), (1, "event_time", 2), (1, "timestamp", 3)], "dataset_id bigint, path string, seen bigint"
