@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from sentrel.operators import browse, correlate, evidence, profile, rules
+from sentrel.plans import ingest_catalog  # noqa: F401
+from sentrel.plans.registry import QUERIES
 from sentrel.session import materialize, shared_dir
 from sentrel.sources import feeds, records
 from sentrel.sources.telemetry import canonical_events
@@ -84,6 +86,10 @@ def test_ranks_are_limited_before_the_shuffle(spark, events):
         assert "Exchange" in text[before:after]
 
 
+def test_the_audit_flattens_the_uploads_once(spark):
+    assert "Generate" not in plan(QUERIES["mapping_audit"](spark, SF_DIR))
+
+
 def test_filters_and_columns_reach_the_scan(spark, events):
     text = details(rules.api_download(events))
     assert "EqualTo(source_system,api_gateway)" in text
