@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from sentrel.operators import browse, correlate, evidence, profile, rules
+from sentrel.operators import browse, correlate, evidence, profile, rules, uploads
 from sentrel.plans import ingest_catalog  # noqa: F401
 from sentrel.plans.registry import QUERIES
 from sentrel.session import materialize, shared_dir
@@ -86,6 +86,13 @@ def test_ranks_are_limited_before_the_shuffle(spark, events):
         assert "Exchange" in text[before:after]
 
 
+def test_mappings_do_not_deal_records_by_dataset(spark):
+    """Mappings of unknown size: their rules are small, so records stay where they are."""
+    stored = materialize(feeds.upload_records(spark, SF_DIR), "uploads")
+    text = plan(uploads.normalize_uploads(stored, feeds.mapping_table(spark)))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
 def test_the_audit_flattens_the_uploads_once(spark):
     assert "Generate" not in plan(QUERIES["mapping_audit"](spark, SF_DIR))
 
