@@ -75,8 +75,11 @@ def _records(df: DataFrame) -> DataFrame:
 def _json_elements(spark: SparkSession, path: str | list[str], lone_object: bool, suffix: str | None) -> DataFrame:
     """Segments of JSON documents with the elements they hold; null where a segment is no JSON."""
     text = F.btrim(F.regexp_replace("text", "^\ufeff", ""), F.lit(" \t\r\n"))
-    body = F.when(F.col("tail"), text).otherwise(F.concat(text, F.lit("}")))
-    first, tail = F.col("place") == 0, F.col("tail")
+    # A column of its own, made once for all the cases.
+    segments = json_segments(spark, path, suffix).withColumn(
+        "body", F.when(F.col("tail"), text).otherwise(F.concat(text, F.lit("}")))
+    )
+    body, first, tail = F.col("body"), F.col("place") == 0, F.col("tail")
     rest = F.when(body.startswith(","), F.concat(F.lit("["), F.substring(body, 2, 2**30)))
     of_array = (
         F.when(first & ~tail, F.concat(body, F.lit("]")))
@@ -90,7 +93,7 @@ def _json_elements(spark: SparkSession, path: str | list[str], lone_object: bool
     document = F.when(F.col("opener") == "[", F.when(~tail | body.endswith("]"), of_array))
     if lone_object:
         document = F.when(F.col("opener") == "{", of_object).otherwise(document)
-    return json_segments(spark, path, suffix).select(
+    return segments.select(
         "file", "file_name", "block", "place",
         F.when(F.col("sound"), F.try_variant_get(F.try_parse_json(document), "$", "array<variant>")).alias("elements"),
     )
@@ -118,8 +121,8 @@ def read_json(
     opened = segments.select(
         "file_name", (F.col("place") + 1).alias("record_no"),
         F.explode(F.coalesce("elements", wrong.cast("array<variant>"))).alias("element"),
-    )
-    text = F.to_json("element")
+    ).withColumn("text", F.to_json("element"))
+    text = F.col("text")
     return _records(opened.withColumn("payload", F.when(text.startswith("{"), text).otherwise(not_object)))
 
 
@@ -200,10 +203,12 @@ def _csv_rows(spark: SparkSession, path: str | list[str], suffix: str | None) ->
     kept = F.filter(
         named, lambda column: (column["name"] != "") & ~F.array_contains(later(column), column["name"])
     )
-    headers = (
+    # One row per file, of a known size: the records are not shuffled by file for it.
+    headers = materialize(
         records.where(F.col("record") == 1)
         .select("file", csv_cells(F.regexp_replace("text", "^\ufeff", "")).alias("names"))
-        .select("file", kept.alias("columns"), F.size("names").alias("width"))
+        .select("file", kept.alias("columns"), F.size("names").alias("width")),
+        "csv-headers",
     )
     cells = F.transform("columns", lambda column: F.struct(column["name"], F.get("cells", column["at"])))
     return records.where(F.col("record") > 1).join(headers, "file").select(
@@ -312,8 +317,11 @@ def _unknown_files(spark: SparkSession, path: str) -> DataFrame:
 def with_event_ids(records: DataFrame, sources: tuple[SourceFile, ...] = SOURCE_FILES) -> DataFrame:
     """Add ``event_id``: 1, 2, 3, ... by source, file and record number.
 
-    Numbers follow from per-file counts, so the records themselves are never sorted.
+    Numbers follow from per-file counts, so the records themselves are never sorted. Records and
+    counts are written first: files are read once, and as the size of the counts, one row per
+    file, is known, they reach the records without a shuffle by file.
     """
+    records = materialize(records, "numbered-records")
     rank: Column = F.lit(len(sources))
     for place, source in enumerate(sources):
         rank = F.when(F.col("source_name") == source.source_name, F.lit(place)).otherwise(rank)
@@ -324,9 +332,12 @@ def with_event_ids(records: DataFrame, sources: tuple[SourceFile, ...] = SOURCE_
     earlier = Window.orderBy(F.asc_nulls_first("dataset_id"), rank, "source_name", "file_name").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = files.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).select(
-        F.col("dataset_id").alias("__scope"), F.col("source_name").alias("__source"),
-        F.col("file_name").alias("__file"), "before",
+    offsets = materialize(
+        files.withColumn("before", F.coalesce(F.sum("rows").over(earlier), F.lit(0))).select(
+            F.col("dataset_id").alias("__scope"), F.col("source_name").alias("__source"),
+            F.col("file_name").alias("__file"), "before",
+        ),
+        "file-offsets",
     )
     joined = records.join(
         offsets,

@@ -32,16 +32,16 @@ def ndjson_rejects(lines: DataFrame) -> DataFrame:
     return _texts(lines).withColumn("reason", reason).where("reason IS NOT NULL").drop("payload")
 
 
-def first_of_each(normalized: DataFrame) -> DataFrame:
+def first_of_each(normalized: DataFrame, canonical: Column | None = None) -> DataFrame:
     """One row per distinct payload within scope, source system and event type.
 
-    Payloads are compared as canonical JSON, so key order does not matter; the first delivery
-    is kept. Keeping rank one is a group limit: each task passes on at most one copy of a
-    payload, however many there are.
+    Payloads are compared as canonical JSON (``canonical``, where a caller has it already), so key
+    order does not matter; the first delivery is kept. Keeping rank one is a group limit: each
+    task passes on at most one copy of a payload, however many there are.
     """
     order = Window.partitionBy("event_key").orderBy("file_name", "record_no")
     return (
-        normalized.withColumn("event_key", event_key()).withColumn("copy_no", F.row_number().over(order))
+        normalized.withColumn("event_key", event_key(canonical)).withColumn("copy_no", F.row_number().over(order))
         .where(F.col("copy_no") == 1)
         .drop("copy_no")
     )
@@ -56,9 +56,8 @@ def not_stored(fresh: DataFrame, stored: DataFrame, keys: list[str]) -> DataFram
     return fresh.join(known, condition, "left_anti")
 
 
-def event_key() -> Column:
+def event_key(canonical: Column | None = None) -> Column:
     """Digest of what identifies an event: scope, source system, type, and payload in canonical form."""
-    parts = F.struct(
-        "dataset_id", "source_system", "event_type", canonical_json(F.col("payload")).alias("payload")
-    )
+    payload = canonical_json(F.col("payload")) if canonical is None else canonical
+    parts = F.struct("dataset_id", "source_system", "event_type", payload.alias("payload"))
     return F.sha2(F.to_json(parts), 256)

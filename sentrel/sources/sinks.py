@@ -126,7 +126,9 @@ def append_events(store: Store, normalized: DataFrame) -> dict[str, int]:
     known = raw_events(store).select("event_key", F.col("event_id").alias("stored_id"))
     seen = Observation()
     normalized = normalized.observe(seen, F.count(F.lit(1)).alias("processed"))
-    distinct = first_of_each(normalized).withColumn("raw_payload", canonical_json(F.col("payload")))
+    # The canonical payload is made once, for the key and for the raw table.
+    canonical = normalized.withColumn("raw_payload", canonical_json(F.col("payload"))).drop("payload")
+    distinct = first_of_each(canonical, F.col("raw_payload"))
     # Joined by key at every size: only this run's rows are shuffled, to the stored buckets.
     keyed = materialize(
         distinct.hint("merge").join(known, "event_key", "left")
@@ -140,14 +142,17 @@ def append_events(store: Store, normalized: DataFrame) -> dict[str, int]:
     if added:
         store.append("event_ids", store.spark.createDataFrame([(largest,)], "last_id bigint"))
         append_raw(store, keyed.where(is_new))
-    fresh = keyed.where(is_new).select(*EVENT_SCHEMA.fieldNames())
+    fresh, inserted = keyed.where(is_new).select(*EVENT_SCHEMA.fieldNames()), added
     if low is not None:
         held = store.read("normalized_events", EVENT_SCHEMA, dated=True).where(F.col("event_id").between(low, high))
         again = not_stored(keyed.where(~is_new), held, ["event_id"])
-        fresh = fresh.unionByName(again.select(*EVENT_SCHEMA.fieldNames()))
-    fresh = materialize(fresh, "normalized-events")
+        # Written first: it is read from the table that it is appended to.
+        fresh = materialize(
+            fresh.unionByName(again.select(*EVENT_SCHEMA.fieldNames())), "normalized-events"
+        )
+        inserted = fresh.count()
     store.append("normalized_events", fresh, "event_timestamp")
-    processed, inserted = seen.get["processed"], fresh.count()
+    processed = seen.get["processed"]
     return {
         "processed": processed,
         "raw_inserted": added,

@@ -5,7 +5,8 @@ means depends on the state it starts in: inside quotes or not, and how deep. Eac
 under both starting states, which makes it a function from state to state; functions compose, so
 splits are summed up to one row each, a running composition over these few rows gives every split
 its true starting state, and pieces find their own record borders. Only records that lie in
-several pieces are gathered, each by its own key.
+several pieces are gathered, each by its own key. The rows of the splits are written before the
+pieces are joined to them: as Spark then knows that they are few, pieces are not shuffled for it.
 """
 
 from __future__ import annotations
@@ -129,6 +130,7 @@ def csv_records(spark: SparkSession, path: str | list[str], suffix: str | None =
         *SPLIT, "begins_in",
         _earlier(F.when(F.col("begins_in"), F.col("starts_in")).otherwise(F.col("starts_out"))).alias("before"),
     )
+    splits = materialize(splits, "csv-splits")
     placed = lines.join(splits, SPLIT).withColumns(
         {
             "inside": F.when(F.col("begins_in"), inside(True)).otherwise(inside(False)),
@@ -254,6 +256,7 @@ def json_segments(spark: SparkSession, path: str | list[str], suffix: str | None
         ).alias("before"),
         F.min(F.when(F.col("last_block"), ended)).over(in_file).alias("sound"),
     )
+    splits = materialize(splits, "json-splits")
     ends = F.when(F.col("last"), F.col("last_ends")).otherwise(F.col("has_ends") & by_start("ends"))
     placed = chunks.join(splits, SPLIT).withColumn("ends", ends).withColumn(
         "place", F.col("before")

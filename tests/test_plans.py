@@ -9,7 +9,7 @@ from sentrel.operators import browse, correlate, evidence, profile, rules, uploa
 from sentrel.plans import ingest_catalog  # noqa: F401
 from sentrel.plans.registry import QUERIES
 from sentrel.session import materialize, shared_dir
-from sentrel.sources import feeds, records
+from sentrel.sources import feeds, files, records
 from sentrel.sources.telemetry import canonical_events
 from tests.fixtures import event, failure, frame, minutes
 
@@ -93,6 +93,25 @@ def test_mappings_do_not_deal_records_by_dataset(spark):
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
 
 
+def test_files_are_read_once_and_records_not_dealt_by_file(spark, tmp_path):
+    """Numbering looks at the records twice, and headers, splits and counts are few."""
+    (tmp_path / "a.csv").write_text("a,b\n1,2\n3,4\n")
+    (tmp_path / "b.json").write_text('[{"a": 1}, {"a": 2}]')
+    root = str(tmp_path)
+    table = files.read_csv(spark, f"{root}/a.csv")
+    assert "BroadcastHashJoin" in plan(table) and "Exchange hashpartitioning(file#" not in plan(table)
+    documents = files.read_json(spark, f"{root}/b.json")
+    assert "Exchange hashpartitioning(file#" not in plan(documents).split("Aggregate")[-1]
+    found = files.with_event_ids(table.unionByName(documents).withColumns(
+        {"dataset_id": F.lit(1).cast("bigint"), "source_name": F.lit("s")}
+    ))
+    assert "Exchange hashpartitioning" not in plan(found) and "Generate" not in plan(found)
+    assert {(r["event_id"], r["file_name"], r["record_no"], r["payload"]) for r in found.collect()} == {
+        (1, "a.csv", 1, '{"a":"1","b":"2"}'), (2, "a.csv", 2, '{"a":"3","b":"4"}'),
+        (3, "b.json", 1, '{"a":1}'), (4, "b.json", 2, '{"a":2}'),
+    }
+
+
 def test_the_audit_flattens_the_uploads_once(spark):
     assert "Generate" not in plan(QUERIES["mapping_audit"](spark, SF_DIR))
 
